@@ -14,14 +14,14 @@ LON_SPAN = (29.0, 34.0)
 NUMBER_PATTERN = r"([-+]?\d*\.\d+|\d+)"
 
 
-def grid(degrees: Column) -> Column:
-    """Two-decimal grid line, about 1.1 km."""
+def grid(degrees: str) -> str:
+    """Two-decimal grid line, about 1.1 km; SQL text in and out."""
     return round_to(degrees, 2)
 
 
-def segment_key(lat: Column, lon: Column) -> Column:
+def segment_key(lat: str, lon: str) -> str:
     """Grid cell name ``<lat>_<lon>``."""
-    return F.concat_ws("_", grid(lat).cast("string"), grid(lon).cast("string"))
+    return f"concat(CAST({grid(lat)} AS STRING), '_', CAST({grid(lon)} AS STRING))"
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

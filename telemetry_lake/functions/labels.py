@@ -1,12 +1,9 @@
-"""Threshold ladders and small value maps as plain CASE expressions."""
+"""Threshold ladders and small value maps as CASE expressions; SQL text in and out."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # --- fixed values: ladders are (upper bound, label), then the label above all bounds ---
 SPEED_STEPS = ((5, "stopped"), (40, "slow"), (90, "medium"), (120, "fast"))
 SPEED_TOP = "overspeed"
@@ -72,76 +69,78 @@ BAND_CODE = {"free_flow": 0, "moderate": 1, "heavy": 2, "standstill": 3}
 BAND_ORDINAL = {"free_flow": 0, "light": 1, "moderate": 2, "heavy": 3, "gridlock": 4}
 
 
-def ladder(value: Column, steps: Sequence[tuple], top) -> Column:
+def literal(value) -> str:
+    """SQL literal of a constant."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "\\'") + "'"
+    return f"{value}D" if isinstance(value, float) else str(value)
+
+
+def _steps(value: str, compare: str, steps: Sequence[tuple], rest) -> str:
+    arms = " ".join(f"WHEN {value} {compare} {literal(float(bound))} THEN {literal(label)}" for bound, label in steps)
+    return f"CASE WHEN {value} IS NULL THEN NULL {arms} ELSE {literal(rest)} END"
+
+
+def ladder(value: str, steps: Sequence[tuple], top) -> str:
     """Label of the first step whose bound lies above ``value``; NULL has no label."""
-    chain = F.when(value.isNull(), F.lit(None))
-    for bound, label in steps:
-        chain = chain.when(value < F.lit(bound), F.lit(label))
-    return chain.otherwise(F.lit(top))
+    return _steps(value, "<", steps, top)
 
 
-def ladder_down(value: Column, steps: Sequence[tuple], bottom) -> Column:
+def ladder_down(value: str, steps: Sequence[tuple], bottom) -> str:
     """Label of the first step whose bound lies below ``value``; NULL has no label."""
-    chain = F.when(value.isNull(), F.lit(None))
-    for bound, label in steps:
-        chain = chain.when(value > F.lit(bound), F.lit(label))
-    return chain.otherwise(F.lit(bottom))
+    return _steps(value, ">", steps, bottom)
 
 
-def mapped(value: Column, table: Mapping, default=None) -> Column:
+def mapped(value: str, table: Mapping, default=None) -> str:
     """Constant lookup; anything the table does not name, NULL too, gets ``default``."""
-    by_result: dict = {}
-    for key, result in table.items():
-        by_result.setdefault(result, []).append(key)
-    chain = None
-    for result, keys in by_result.items():
-        hit = value.isin(*keys)
-        chain = F.when(hit, F.lit(result)) if chain is None else chain.when(hit, F.lit(result))
-    return chain.otherwise(F.lit(default))
+    arms = " ".join(f"WHEN {literal(key)} THEN {literal(result)}" for key, result in table.items())
+    return f"CASE {value} {arms} ELSE {literal(default)} END"
 
 
-def speed_band(speed: Column) -> Column:
+def speed_band(speed: str) -> str:
     return ladder(speed, SPEED_STEPS, SPEED_TOP)
 
 
-def fuel_band(level: Column) -> Column:
+def fuel_band(level: str) -> str:
     return ladder(level, FUEL_STEPS, FUEL_TOP)
 
 
-def congestion_band(ratio: Column) -> Column:
+def congestion_band(ratio: str) -> str:
     return ladder(ratio, CONGESTION_STEPS, CONGESTION_TOP)
 
 
-def weather_severity(condition: Column) -> Column:
+def weather_severity(condition: str) -> str:
     return mapped(condition, WEATHER_SEVERITY, WEATHER_SEVERITY_DEFAULT)
 
 
-def weather_speed_factor(condition: Column) -> Column:
+def weather_speed_factor(condition: str) -> str:
     return mapped(condition, WEATHER_SPEED_FACTOR, WEATHER_SPEED_FACTOR_DEFAULT)
 
 
-def severity_score(event_type: Column) -> Column:
+def severity_score(event_type: str) -> str:
     return mapped(event_type, EVENT_SEVERITY, 0)
 
 
-def severity_label(event_type: Column) -> Column:
+def severity_label(event_type: str) -> str:
     return mapped(event_type, EVENT_SEVERITY_LABEL, "unknown")
 
 
-def engine_health(temperature: Column) -> Column:
+def engine_health(temperature: str) -> str:
     return ladder_down(temperature, ENGINE_STEPS_DOWN, ENGINE_BOTTOM)
 
 
-def road_congestion(road_type: Column, speed: Column) -> Column:
+def road_congestion(road_type: str, speed: str) -> str:
     """Heavy / moderate / light, judged against the road type's own speeds."""
-    chain = None
-    for road, steps in ROAD_CONGESTION_STEPS.items():
-        for bound, label in steps:
-            hit = (road_type == road) & (speed < bound)
-            chain = F.when(hit, F.lit(label)) if chain is None else chain.when(hit, F.lit(label))
-    return chain.otherwise(F.lit(ROAD_CONGESTION_TOP))
+    arms = " ".join(
+        f"WHEN {road_type} = {literal(road)} AND {speed} < {literal(float(bound))} THEN {literal(label)}"
+        for road, steps in ROAD_CONGESTION_STEPS.items()
+        for bound, label in steps
+    )
+    return f"CASE {arms} ELSE {literal(ROAD_CONGESTION_TOP)} END"
 
 
-def band_code(band: Column, table: Mapping = BAND_CODE) -> Column:
+def band_code(band: str, table: Mapping = BAND_CODE) -> str:
     """Integer code of a congestion band; pass BAND_ORDINAL for the full 0-4 order."""
     return mapped(band, table, 0)

@@ -1,44 +1,43 @@
-"""Rounding and division that give the same answer on every run.
+"""Rounding, division and limits, as SQL text in and SQL text out.
 
-Partial aggregates merge in whatever order tasks finish, so the last bits of a
-distributed average move between runs.  Rounding such a value straight to two
-places flips ties at random; snapping it to a finer grid first does not.
+Text keeps a projection of fifty derived columns one call to the JVM; pass it to ``F.expr`` or
+``selectExpr``.
+
+Partial aggregates merge in whatever order tasks finish, so the last bits of a distributed average
+move between runs.  Rounding such a value straight to two places flips ties at random; snapping it
+to a finer grid first does not.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 GUARD_DIGITS = 3
 
 
-def snap(value: Column, digits: int) -> Column:
+def _scale(digits: int) -> str:
+    return f"{10**digits}D"
+
+
+def snap(value: str, digits: int) -> str:
     """Nearest point of the 10^-digits grid."""
-    scale = float(10**digits)
-    return F.floor(value * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    return f"(floor(({value}) * {_scale(digits)} + 0.5D) / {_scale(digits)})"
 
 
-def round_to(value: Column, digits: int) -> Column:
+def round_to(value: str, digits: int) -> str:
     """Half-away-from-zero rounding in double arithmetic, stable at ties."""
-    scale = float(10**digits)
-    steady = snap(value, digits + GUARD_DIGITS) * F.lit(scale)
-    whole = F.when(steady < 0, F.ceil(steady - F.lit(0.5))).otherwise(F.floor(steady + F.lit(0.5)))
-    return whole / F.lit(scale)
+    steady = f"{snap(value, digits + GUARD_DIGITS)} * {_scale(digits)}"
+    return f"(CASE WHEN {steady} < 0 THEN ceil({steady} - 0.5D) ELSE floor({steady} + 0.5D) END / {_scale(digits)})"
 
 
-def ratio(top: Column, bottom: Column) -> Column:
+def ratio(top: str, bottom: str) -> str:
     """``top / bottom`` as double, NULL where ``bottom`` is zero."""
-    return top.cast("double") / F.nullif(bottom.cast("double"), F.lit(0.0))
+    return f"(CAST({top} AS DOUBLE) / nullif(CAST({bottom} AS DOUBLE), 0D))"
 
 
-def clip(value: Column, low, high) -> Column:
+def clip(value: str, low: str, high: str) -> str:
     """Limit to [low, high]; NULL stays NULL (greatest/least alone would skip it)."""
-    low = low if isinstance(low, Column) else F.lit(low)
-    high = high if isinstance(high, Column) else F.lit(high)
-    return F.when(value.isNotNull(), F.greatest(low, F.least(high, value)))
+    return f"CASE WHEN ({value}) IS NOT NULL THEN greatest({low}, least({high}, {value})) END"
 
 
-def imply(flag: Column) -> Column:
+def imply(condition: str) -> str:
     """A condition on a missing reading counts as not met."""
-    return F.coalesce(flag, F.lit(False))
+    return f"coalesce({condition}, false)"

@@ -67,25 +67,22 @@ def clamp_range(df: DataFrame, limits: Limits, null_policy: str = "keep") -> Dat
     if null_policy not in ("keep", "floor"):
         raise ValueError(f"null_policy must be 'keep' or 'floor', not {null_policy!r}")
 
-    def limited(name: str) -> Column:
+    def limited(name: str) -> str:
         low, high = limits[name]
         kind = df.schema[name].dataType.simpleString()
         kind = "double" if kind in ("float", "double") else kind
-        reading = F.col(name).cast(kind)
+        reading, low, high = (f"CAST({x} AS {kind})" for x in (name, low, high))
         if null_policy == "floor":
-            reading = F.coalesce(reading, F.lit(low).cast(kind))
-        return clip(reading, F.lit(low).cast(kind), F.lit(high).cast(kind)).alias(name)
+            reading = f"coalesce({reading}, {low})"
+        return f"{clip(reading, low, high)} AS {name}"
 
-    return df.select(*[limited(c) if c in limits else F.col(c) for c in df.columns])
+    return df.selectExpr(*[limited(c) if c in limits else f"`{c}`" for c in df.columns])
 
 
 def out_of_range(df: DataFrame, limits: Limits) -> Column:
     """True where any limited column lies outside its range; to be evaluated on raw readings."""
-    flag = F.lit(False)
-    for name, (low, high) in limits.items():
-        if name in df.columns:
-            flag = flag | imply((F.col(name) < low) | (F.col(name) > high))
-    return flag
+    tests = [imply(f"{c} < {low} OR {c} > {high}") for c, (low, high) in limits.items() if c in df.columns]
+    return F.expr(" OR ".join(tests) or "false")
 
 
 def sensor_clamp_flag(df: DataFrame, limits: Limits = TELEMETRY_LIMITS) -> DataFrame:
@@ -94,11 +91,8 @@ def sensor_clamp_flag(df: DataFrame, limits: Limits = TELEMETRY_LIMITS) -> DataF
 
 
 def derive_bands(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {
-            "speed_band": labels.speed_band(F.col("speed_kmh")),
-            "fuel_band": labels.fuel_band(F.col("fuel_level_pct")),
-        }
+    return df.selectExpr(
+        "*", f"{labels.speed_band('speed_kmh')} AS speed_band", f"{labels.fuel_band('fuel_level_pct')} AS fuel_band"
     )
 
 
@@ -107,12 +101,8 @@ def flag_anomalies(
     above: Mapping[str, float] = ANOMALY_ABOVE,
     below: Mapping[str, float] = ANOMALY_BELOW,
 ) -> DataFrame:
-    flag = F.lit(False)
-    for name, limit in above.items():
-        flag = flag | imply(F.col(name) > limit)
-    for name, limit in below.items():
-        flag = flag | imply(F.col(name) < limit)
-    return df.withColumn("is_anomaly", flag)
+    tests = [f"{c} > {limit}" for c, limit in above.items()] + [f"{c} < {limit}" for c, limit in below.items()]
+    return df.withColumn("is_anomaly", F.expr(" OR ".join(imply(t) for t in tests) or "false"))
 
 
 def with_event_time(df: DataFrame, source: str = "timestamp_unix") -> DataFrame:
@@ -137,24 +127,24 @@ def partition_columns(df: DataFrame, time_col: str = "event_time") -> DataFrame:
 def weather_attributes(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
-            "weather_severity": labels.weather_severity(F.col("condition")),
-            "speed_factor": labels.weather_speed_factor(F.col("condition")),
+            "weather_severity": F.expr(labels.weather_severity("condition")),
+            "speed_factor": F.expr(labels.weather_speed_factor("condition")),
         }
     )
 
 
 def congestion_ratio(df: DataFrame) -> DataFrame:
     """Share of free-flow speed lost, always recomputed; expects free flow clipped to 1 or more."""
-    lost = F.lit(1.0) - F.col("current_speed_kmh") / F.col("free_flow_speed_kmh")
-    return df.withColumn("congestion_ratio", clip(lost, 0.0, 1.0))
+    lost = clip("1D - current_speed_kmh / free_flow_speed_kmh", "0D", "1D")
+    return df.withColumn("congestion_ratio", F.expr(lost))
 
 
 def congestion_band(df: DataFrame) -> DataFrame:
-    return df.withColumn("congestion_band", labels.congestion_band(F.col("congestion_ratio")))
+    return df.withColumn("congestion_band", F.expr(labels.congestion_band("congestion_ratio")))
 
 
 def gps_bucket(df: DataFrame) -> DataFrame:
-    return df.withColumns({"gps_lat_bucket": grid(F.col("latitude")), "gps_lon_bucket": grid(F.col("longitude"))})
+    return df.withColumns({"gps_lat_bucket": F.expr(grid("latitude")), "gps_lon_bucket": F.expr(grid("longitude"))})
 
 
 def filter_valid_events(df: DataFrame, types: Sequence[str] = ROAD_EVENT_TYPES) -> DataFrame:
@@ -162,7 +152,7 @@ def filter_valid_events(df: DataFrame, types: Sequence[str] = ROAD_EVENT_TYPES)
 
 
 def severity_score(df: DataFrame) -> DataFrame:
-    return df.withColumn("severity_score", labels.severity_score(F.col("event_type")))
+    return df.withColumn("severity_score", F.expr(labels.severity_score("event_type")))
 
 
 def clean_telemetry(

@@ -134,7 +134,7 @@ def dim_route(spark: SparkSession) -> DataFrame:
 
 def dim_weather_condition(spark: SparkSession, free_flow: float = FREE_FLOW_KMH) -> DataFrame:
     rows = inline_values(spark, WEATHER_CONDITIONS, WEATHER_COLUMNS)
-    return rows.withColumn("speed_reduction_kmh", round_to((F.lit(1.0) - F.col("speed_factor")) * free_flow, 1))
+    return rows.withColumn("speed_reduction_kmh", F.expr(round_to(f"(1D - speed_factor) * {free_flow}D", 1)))
 
 
 def dim_road_event_type(spark: SparkSession) -> DataFrame:
@@ -158,8 +158,8 @@ def date_span(df: DataFrame, column: str) -> DataFrame:
     return ends.select(F.explode(F.sequence("first", "last")).alias("date_actual"))
 
 
-def _by_month(month: Column, table: dict, default: str) -> Column:
-    return labels.mapped(month, {m: name for name, months in table.items() for m in months}, default)
+def _by_month(table: dict, default: str) -> Column:
+    return F.expr(labels.mapped("month(date_actual)", {m: name for name, months in table.items() for m in months}, default))
 
 
 def calendar(dates: DataFrame) -> DataFrame:
@@ -183,8 +183,8 @@ def calendar(dates: DataFrame) -> DataFrame:
         (~weekend).alias("is_workday_cairo"),
         (F.dayofmonth(day) == 1).alias("is_month_start"),
         (day == F.last_day(day)).alias("is_month_end"),
-        _by_month(month, SEASONS, SEASON_DEFAULT).alias("egypt_season"),
-        _by_month(month, TYPICAL_HEAT, TYPICAL_HEAT_DEFAULT).alias("typical_heat_category"),
+        _by_month(SEASONS, SEASON_DEFAULT).alias("egypt_season"),
+        _by_month(TYPICAL_HEAT, TYPICAL_HEAT_DEFAULT).alias("typical_heat_category"),
     )
 
 

@@ -173,7 +173,7 @@ def route_hourly(df: DataFrame, window: str = "1 hour", streaming: bool | None =
 
 def fuel_daily(df: DataFrame, window: str = "1 day", streaming: bool | None = None, co2: float = CO2_KG_PER_LITRE):
     daily = rollup(df, window, ["vehicle_type"], FUEL_DAILY, streaming)
-    return daily.withColumn("estimated_co2_kg", round_to(F.col("total_fuel_consumed_l") * co2, 2))
+    return daily.withColumn("estimated_co2_kg", F.expr(round_to(f"total_fuel_consumed_l * {co2}D", 2)))
 
 
 def road_event_summary(df: DataFrame, window: str = "15 minutes", streaming: bool | None = None) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from telemetry_lake.functions.numeric import ratio, round_to
+from telemetry_lake.functions import labels
+from telemetry_lake.functions.numeric import imply, ratio, round_to
 from telemetry_lake.functions.timeparts import hour_of
 from telemetry_lake.operators.gold import CO2_KG_PER_LITRE
 from telemetry_lake.operators.staging import FUEL_PRICE_EGP
@@ -133,9 +134,8 @@ def fleet_totals_share(stg_fuel: DataFrame) -> DataFrame:
             "fleet_total_fuel_l": fleet,
             "fleet_total_co2_kg": F.sum("estimated_co2_kg").over(day),
             "fleet_total_cost_egp": F.sum("estimated_cost_egp").over(day),
-            "pct_of_fleet_fuel": round_to(ratio(F.col("total_fuel_consumed_l"), fleet) * 100, 1),
-        }
-    )
+            }
+    ).withColumn("pct_of_fleet_fuel", F.expr(round_to(ratio("total_fuel_consumed_l", "fleet_total_fuel_l") + " * 100", 1)))
 
 
 # --- marts ---------------------------------------------------------------------------------
@@ -169,18 +169,17 @@ def mart_vehicle_performance(
         .transform(join_date_dim, dim_date)
         .transform(join_weather_hour, stg_weather, weather, weather_mode)
     )
-    unhindered = ratio(F.col("avg_speed_kmh"), F.col("weather_speed_factor"))
-    litres = F.col("total_fuel_consumed_l")
+    unhindered = ratio("avg_speed_kmh", "weather_speed_factor")
     return joined.withColumnsRenamed(
         {"fuel_base_l100km": "manufacturer_fuel_rate_l100km", "distance_km": "route_total_km"}
     ).withColumns(
         {
-            "excess_fuel_rate_l100km": round_to(
-                F.col("avg_fuel_rate_l100km") - F.col("manufacturer_fuel_rate_l100km"), 2
+            "excess_fuel_rate_l100km": F.expr(
+                round_to("avg_fuel_rate_l100km - manufacturer_fuel_rate_l100km", 2)
             ),
-            "fuel_cost_egp": round_to(litres * price, 3),
-            "co2_kg": round_to(litres * co2, 5),
-            "was_significantly_slowed": F.coalesce(F.col("avg_speed_kmh") < unhindered * SLOWED_SHARE, F.lit(False)),
+            "fuel_cost_egp": F.expr(round_to(f"total_fuel_consumed_l * {price}D", 3)),
+            "co2_kg": F.expr(round_to(f"total_fuel_consumed_l * {co2}D", 5)),
+            "was_significantly_slowed": F.expr(imply(f"avg_speed_kmh < {unhindered} * {SLOWED_SHARE}D")),
         }
     )
 
@@ -229,7 +228,7 @@ def mart_route_analytics(
     }
     blended["road_closure_count"] = F.coalesce("road_closure_count", "grid_road_closure_count", F.lit(0))
     bands = ("stopped", "slow", "medium", "fast", "overspeed")
-    shares = {f"pct_{b}": round_to(ratio(F.col(f"count_{b}"), F.col("total_events")) * 100, 1) for b in bands}
+    shares = {f"pct_{b}": F.expr(round_to(ratio(f"count_{b}", "total_events") + " * 100", 1)) for b in bands}
     stamp = F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")
     key = F.concat(*[
         part for c in (F.col("route_name"), F.col("road_type")) for part in (F.coalesce(c, F.lit("")), F.lit("|"))
@@ -237,8 +236,8 @@ def mart_route_analytics(
     result = joined.withColumns(blended).withColumns(
         {
             **shares,
-            "route_mid_lat": round_to((F.col("start_latitude") + F.col("end_latitude")) / 2, 4),
-            "route_mid_lon": round_to((F.col("start_longitude") + F.col("end_longitude")) / 2, 4),
+            "route_mid_lat": F.expr(round_to("(start_latitude + end_latitude) / 2", 4)),
+            "route_mid_lon": F.expr(round_to("(start_longitude + end_longitude) / 2", 4)),
             "congestion_cause": _congestion_cause(F.col("avg_congestion_ratio")),
             "route_analytics_key": F.md5(key),
         }
@@ -253,24 +252,16 @@ def mart_fuel_environment(stg_fuel: DataFrame, dim_date: DataFrame, stg_weather:
         .transform(join_date_dim, dim_date)
         .transform(join_weather_daily, weather_daily(stg_weather))
     )
-    cooling = F.col("total_fuel_consumed_l") * ratio(F.col("avg_ac_load"), F.col("avg_fuel_rate_l100km"))
+    cooling = "total_fuel_consumed_l * " + ratio("avg_ac_load", "avg_fuel_rate_l100km")
     return joined.withColumns(
         {
-            "projected_annual_co2_kg": round_to(F.col("estimated_co2_kg") * DAYS_PER_YEAR, 1),
-            "projected_annual_cost_egp": round_to(F.col("estimated_cost_egp") * DAYS_PER_YEAR, 0),
-            "estimated_ac_fuel_consumed_l": round_to(cooling, 3),
+            "projected_annual_co2_kg": F.expr(round_to(f"estimated_co2_kg * {DAYS_PER_YEAR}", 1)),
+            "projected_annual_cost_egp": F.expr(round_to(f"estimated_cost_egp * {DAYS_PER_YEAR}", 0)),
+            "estimated_ac_fuel_consumed_l": F.expr(round_to(cooling, 3)),
         }
     ).drop("total_events")
 
 
-def _weight(column: str, table: dict[str, float]) -> Column:
-    chain = None
-    for label, weight in table.items():
-        hit = F.col(column) == label
-        chain = F.when(hit, F.lit(weight)) if chain is None else chain.when(hit, F.lit(weight))
-    return chain.otherwise(F.lit(1.0))
-
-
 def mart_incidents_safety(
     stg_incident: DataFrame,
     stg_events: DataFrame,
@@ -304,6 +295,8 @@ def mart_incidents_safety(
         .transform(join_weather_hour, stg_weather, weather, weather_mode)
     )
     severity = F.col("avg_severity_score")
+    sight = labels.mapped("visibility_risk", VISIBILITY_WEIGHT, 1.0)
+    storm = labels.mapped("weather_severity", SEVERITY_WEIGHT, 1.0)
     dim_view = F.col("visibility_risk").isin("very_high_risk", "high_risk")
     reported, sensed = F.col("incident_count") > 0, F.col("telemetry_event_count") > 0
     return joined.withColumns(
@@ -311,10 +304,7 @@ def mart_incidents_safety(
             "signal_agreement": F.when(reported & sensed, "confirmed_by_both")
             .when(reported, "road_events_topic_only")
             .otherwise("telemetry_only"),
-            "composite_risk_score": round_to(
-                severity * _weight("visibility_risk", VISIBILITY_WEIGHT) * _weight("weather_severity", SEVERITY_WEIGHT),
-                2,
-            ),
+            "composite_risk_score": F.expr(round_to(f"avg_severity_score * {sight} * {storm}", 2)),
             "is_high_risk_incident": F.coalesce((severity >= 3) & dim_view, F.lit(False)),
         }
     ).drop("is_workday_cairo")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telemetry_lake.functions import labels
@@ -24,9 +24,9 @@ ROUTE_OPTIONAL = {
 }
 
 
-def _steady(name: str) -> Column:
+def _steady(name: str) -> str:
     """An average on a fixed fine grid, so that a label does not depend on the order of summing."""
-    return snap(F.col(name), 6)
+    return snap(name, 6)
 
 
 def _stage(
@@ -35,21 +35,19 @@ def _stage(
     text: Sequence[str],
     rounded: Mapping[str, int],
     counts: Sequence[str],
-    derived: Mapping[str, Column],
+    derived: Mapping[str, str],
     kept: Sequence[str] = (),
 ) -> DataFrame:
     """One projection: window bounds, text keys, rounded doubles, bigint counts, labels."""
-    for name in required:
-        df = df.where(F.col(name).isNotNull())
-    return df.select(
-        F.col("window_start").cast("timestamp").alias("window_start"),
-        F.col("window_end").cast("timestamp").alias("window_end"),
-        *[F.col(c).cast("string").alias(c) for c in text],
-        *[round_to(F.col(c).cast("double"), digits).alias(c) for c, digits in rounded.items()],
-        *[F.col(c).cast("bigint").alias(c) for c in counts],
-        F.col("partition_date").cast("date").alias("partition_date"),
-        *[F.col(c) for c in kept],
-        *[expression.alias(name) for name, expression in derived.items()],
+    return df.where(" AND ".join(f"{name} IS NOT NULL" for name in required)).selectExpr(
+        "CAST(window_start AS TIMESTAMP) AS window_start",
+        "CAST(window_end AS TIMESTAMP) AS window_end",
+        *[f"CAST({c} AS STRING) AS {c}" for c in text],
+        *[f"{round_to(c, digits)} AS {c}" for c, digits in rounded.items()],
+        *[f"CAST({c} AS BIGINT) AS {c}" for c in counts],
+        "CAST(partition_date AS DATE) AS partition_date",
+        *kept,
+        *[f"{expression} AS {name}" for name, expression in derived.items()],
     )
 
 
@@ -69,14 +67,13 @@ def stg_vehicle_5min(df: DataFrame) -> DataFrame:
             "speed_band": labels.speed_band(_steady("avg_speed_kmh")),
             "fuel_band": labels.fuel_band(_steady("avg_fuel_level_pct")),
             "engine_health": labels.engine_health(_steady("max_engine_temp_c")),
-            "had_anomaly": F.coalesce(F.col("anomaly_count") > 0, F.lit(False)),
+            "had_anomaly": "coalesce(anomaly_count > 0, false)",
         },
     )
     return staged.withColumn("avg_rpm", F.col("avg_rpm").cast("int"))
 
 
 def stg_route_hourly(df: DataFrame) -> DataFrame:
-    slow = F.col("count_stopped") + F.col("count_slow")
     return _stage(
         optional_columns(df, ROUTE_OPTIONAL),
         required=("window_start",),
@@ -88,14 +85,14 @@ def stg_route_hourly(df: DataFrame) -> DataFrame:
         ),
         kept=tuple(ROUTE_OPTIONAL),
         derived={
-            "congestion_level": labels.road_congestion(F.col("road_type"), _steady("avg_speed_kmh")),
-            "pct_slow_or_stopped": round_to(ratio(slow, F.col("total_events")) * 100, 1),
+            "congestion_level": labels.road_congestion("road_type", _steady("avg_speed_kmh")),
+            "pct_slow_or_stopped": round_to(ratio("count_stopped + count_slow", "total_events") + " * 100", 1),
         },
     )
 
 
 def stg_fuel_daily(df: DataFrame, price: float = FUEL_PRICE_EGP) -> DataFrame:
-    cost = F.col("total_fuel_consumed_l") * price
+    cost = f"total_fuel_consumed_l * {price}D"
     return _stage(
         df,
         required=("window_start",),
@@ -106,8 +103,8 @@ def stg_fuel_daily(df: DataFrame, price: float = FUEL_PRICE_EGP) -> DataFrame:
         counts=("unique_vehicles", "total_events"),
         derived={
             "estimated_cost_egp": round_to(cost, 2),
-            "co2_per_vehicle_kg": round_to(ratio(F.col("estimated_co2_kg"), F.col("unique_vehicles")), 2),
-            "cost_per_vehicle_egp": round_to(ratio(cost, F.col("unique_vehicles")), 2),
+            "co2_per_vehicle_kg": round_to(ratio("estimated_co2_kg", "unique_vehicles"), 2),
+            "cost_per_vehicle_egp": round_to(ratio(cost, "unique_vehicles"), 2),
             "efficiency_rating": labels.ladder(
                 _steady("avg_fuel_rate_l100km"), labels.EFFICIENCY_STEPS, labels.EFFICIENCY_TOP
             ),
@@ -123,8 +120,8 @@ def stg_road_event_summary(df: DataFrame) -> DataFrame:
         rounded={"avg_speed_at_event_kmh": 2},
         counts=("event_count", "vehicles_involved"),
         derived={
-            "severity_score": labels.severity_score(F.col("road_event")),
-            "severity_label": labels.severity_label(F.col("road_event")),
+            "severity_score": labels.severity_score("road_event"),
+            "severity_label": labels.severity_label("road_event"),
         },
     )
 
@@ -141,7 +138,7 @@ def stg_weather_hourly(df: DataFrame) -> DataFrame:
         },
         counts=("observation_count",),
         derived={
-            "speed_reduction_pct": round_to((F.lit(1.0) - F.col("avg_speed_factor")) * 100, 1),
+            "speed_reduction_pct": round_to("(1D - avg_speed_factor) * 100", 1),
             "heat_category": labels.ladder(temperature, labels.HEAT_STEPS, labels.HEAT_TOP),
             "ac_load_extra_l100km": labels.ladder(temperature, labels.AC_LOAD_STEPS, labels.AC_LOAD_TOP),
             "visibility_risk": labels.ladder(
@@ -165,9 +162,9 @@ def stg_traffic_30min(df: DataFrame) -> DataFrame:
         counts=("road_closure_count", "observation_count"),
         derived={
             "pct_of_free_flow": round_to(
-                ratio(F.col("avg_current_speed_kmh"), F.col("avg_free_flow_speed_kmh")) * 100, 1
+                ratio("avg_current_speed_kmh", "avg_free_flow_speed_kmh") + " * 100", 1
             ),
-            "congestion_score": round_to(F.col("avg_congestion_ratio") * 10, 1),
+            "congestion_score": round_to("avg_congestion_ratio * 10", 1),
         },
     )
 
@@ -179,7 +176,7 @@ def stg_incident_summary(df: DataFrame) -> DataFrame:
         text=("event_type", "road_type"),
         rounded={"avg_severity_score": 2, "avg_latitude": 4, "avg_longitude": 4},
         counts=("incident_count", "vehicles_involved", "max_severity_score"),
-        derived={"severity_label": labels.severity_label(F.col("event_type"))},
+        derived={"severity_label": labels.severity_label("event_type")},
     )
 
 

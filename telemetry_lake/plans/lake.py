@@ -7,12 +7,12 @@ layer from the files instead.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetry_lake.operators import cleaning, dims, gold, marts, staging
+from telemetry_lake.operators import alerts, cleaning, dims, features, gold, insights, marts, quality, serving, staging
 from telemetry_lake.session import configure
 from telemetry_lake.sources.event_views import event_view, read_events
 
@@ -109,7 +109,47 @@ class Lake:
             self.stg("weather_hourly"), weather_mode=weather_mode, how=how,
         )
 
+    # quality -----------------------------------------------------------------------------
+    def checks(self) -> DataFrame:
+        """Every table's checks, one row per check."""
+        tables = {
+            **{f"stg_{t}": self.stg(t) for t in staging.STAGING},
+            "dim_vehicle": self.dim_vehicle,
+            "mart_fuel_environment": self.mart_fuel_environment(),
+            "mart_incidents_safety": self.mart_incidents_safety(),
+        }
+        return reduce(DataFrame.unionByName, [quality.run_checks(df, name) for name, df in tables.items()])
+
     # serving -----------------------------------------------------------------------------
+    @cached_property
+    def realtime_telemetry(self) -> DataFrame:
+        return serving.serving_telemetry(self.telemetry)
+
+    @cached_property
+    def tagged(self) -> DataFrame:
+        return self.telemetry.transform(alerts.alert_prefilter).transform(alerts.tag_alert_rules)
+
+    @cached_property
+    def realtime_alerts(self) -> DataFrame:
+        return alerts.serving_alerts(self.tagged)
+
+    @cached_property
+    def now(self):
+        """The newest reading, in place of the wall clock."""
+        return self.latest(self.events, "ts").cast("timestamp")
+
+    @cached_property
+    def features(self) -> DataFrame:
+        return features.engineer_features(self.telemetry, self.traffic, self.weather, self.road_events)
+
+    @cached_property
+    def telemetry_scored(self) -> DataFrame:
+        return insights.telemetry_predictions(self.telemetry, self.predictions)
+
+    @cached_property
+    def events_scored(self) -> DataFrame:
+        return insights.events_predictions(self.road_events, self.predictions)
+
     def latest(self, df: DataFrame, column: str = "event_time"):
         """The newest moment in ``df`` as a scalar subquery, in place of the wall clock."""
         return df.select(F.max(column)).scalar()

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from telemetry_lake.functions.numeric import snap
 
@@ -13,13 +12,13 @@ DIGITS = 6
 def present(df: DataFrame, *dropped: str) -> DataFrame:
     """Doubles on the 10^-6 grid, timestamps without zone, arrival time dropped."""
 
-    def column(field):
-        kind = field.dataType.simpleString()
+    def column(field) -> str:
+        name, kind = f"`{field.name}`", field.dataType.simpleString()
         if kind == "double":
-            return snap(F.col(field.name), DIGITS).alias(field.name)
+            return f"{snap(name, DIGITS)} AS {name}"
         if kind == "timestamp":
-            return F.col(field.name).cast("timestamp_ntz").alias(field.name)
-        return F.col(field.name)
+            return f"CAST({name} AS TIMESTAMP_NTZ) AS {name}"
+        return name
 
     hidden = {"ingestion_time", *dropped}
-    return df.select(*[column(f) for f in df.schema.fields if f.name not in hidden])
+    return df.selectExpr(*[column(f) for f in df.schema.fields if f.name not in hidden])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings, safe to change on a live session.  Time buckets, dates and hours assume UTC.
 # AQE splits skewed join partitions and turns a join into a broadcast only after measuring the side.
@@ -48,3 +48,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="telemetry-lake-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and go on from the files.
+
+    For results that several later steps read: they are computed once, survive lost executors, and
+    each step reads only the columns it needs.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
