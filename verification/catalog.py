@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from verification.dialect import rnd, snap
+from verification.analytics import SQL as ANALYTICS
 from verification.layers import MART_FUEL, fixed, mart_incidents, mart_route, mart_vehicle
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = dict(ANALYTICS)
 
 _V5 = (
     "avg_speed_kmh max_speed_kmh min_speed_kmh avg_rpm avg_engine_temp_c max_engine_temp_c avg_fuel_level_pct "
