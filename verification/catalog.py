@@ -78,3 +78,54 @@ SQL["mart_fuel_environment"] = fixed(
 )
 SQL["mart_incidents_safety"] = fixed(mart_incidents("t_weather_hourly"), "avg_speed_at_event")
 SQL["mart_incidents_safety_full"] = fixed(mart_incidents("t_weather_hourly", "FULL"), "avg_speed_at_event")
+
+# --- jobs: windows a stream has closed, tables read back -----------------------------------
+_DOUBLES = {
+    "vehicle_5min": _V5,
+    "route_hourly": "avg_speed_kmh max_speed_kmh avg_traffic_density avg_fuel_rate_l100km",
+    "fuel_daily": "total_fuel_consumed_l avg_fuel_rate_l100km avg_fuel_level_pct estimated_co2_kg",
+    "road_event_summary": "avg_speed_at_event_kmh",
+    "weather_hourly": (
+        "avg_temp_c max_temp_c avg_feels_like_c avg_humidity_pct avg_wind_kmh avg_visibility_km avg_pressure_hpa "
+        "avg_speed_factor min_speed_factor"
+    ),
+    "traffic_30min": (
+        "avg_congestion_ratio max_congestion_ratio avg_current_speed_kmh avg_free_flow_speed_kmh avg_speed_deficit_kmh "
+        "avg_traffic_density"
+    ),
+    "incident_summary": "avg_severity_score avg_latitude avg_longitude",
+}
+for _t, (_rows, _delay) in {
+    "vehicle_5min": ("s_telemetry", 10),
+    "route_hourly": ("s_telemetry", 10),
+    "fuel_daily": ("s_telemetry", 10),
+    "road_event_summary": ("(SELECT * FROM s_telemetry WHERE road_event <> 'NONE')", 10),
+    "weather_hourly": ("s_weather", 15),
+    "traffic_30min": ("s_traffic", 15),
+    "incident_summary": ("s_road_events", 30),
+}.items():
+    SQL[f"stream_{_t}"] = fixed(
+        f"SELECT * FROM g_{_t} WHERE window_end <= (SELECT max(event_time) FROM {_rows}) - INTERVAL {_delay} MINUTE", _DOUBLES[_t]
+    )
+SQL["stream_alerts"] = fixed(
+    "SELECT * EXCLUDE (timestamp), make_timestamp(timestamp_unix * 1000000) AS ts FROM alert_rows"
+)
+SQL["stream_bronze"] = fixed(
+    """SELECT strftime(event_time, '%Y-%m-%d') AS partition_date, CAST(hour(event_time) AS INT) AS partition_hour, count(*) AS rows,
+  count(CASE WHEN timestamp_unix % 50 <> 0 THEN vehicle_id END) AS parsed FROM v_telemetry GROUP BY 1, 2"""
+)
+SQL["stream_dedup_events"] = fixed(
+    "SELECT vehicle_type, count(*) AS rows, count(*) AS ids FROM s_telemetry GROUP BY vehicle_type"
+)
+SQL["gold_sink_batch"] = fixed("SELECT * FROM g_fuel_daily", _DOUBLES["fuel_daily"])
+SQL["read_partition_batch"] = fixed(
+    "SELECT * FROM g_fuel_daily WHERE partition_date = '2024-01-10'", _DOUBLES["fuel_daily"]
+)
+SQL["layer_freshness"] = fixed(
+    """SELECT 'fuel_daily' AS "table", 'OK' AS status, CAST(1 AS BIGINT) AS files, strftime(max(ts), '%Y-%m-%d') AS partition FROM events
+UNION ALL SELECT 'vehicle_5min', 'MISSING', CAST(0 AS BIGINT), NULL"""
+)
+SQL["gold_output_check"] = fixed(
+    """SELECT 'fuel_daily' AS "table", CAST(count(DISTINCT partition_date) AS BIGINT) AS files FROM g_fuel_daily WHERE partition_date = '2024-01-10'
+UNION ALL SELECT 'route_hourly', CAST(0 AS BIGINT)"""
+)
