@@ -12,7 +12,7 @@ from telemetry_lake.functions.labels import BAND_CODE, band_code
 from telemetry_lake.functions.numeric import clip
 from telemetry_lake.functions.timeparts import cycle, floor_minutes, is_rush_hour, is_weekend_iso
 from telemetry_lake.operators.asof import asof_nearest
-from telemetry_lake.operators.quantiles import quantile_struct
+from telemetry_lake.operators.quantiles import quantiles
 from telemetry_lake.operators.windows import delta, lag_features, rolling_mean, rolling_std
 from telemetry_lake.session import settle
 
@@ -172,8 +172,8 @@ def median_fill(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     holed = [c for c in columns if gaps[c]]
     if not holed:
         return df
-    medians = quantile_struct(df, holed)
-    return df.withColumns({c: F.coalesce(F.col(c), medians[c]) for c in holed})
+    medians = quantiles(df, holed, [0.5])
+    return df.fillna({c: medians[c, 0.5] for c in holed if medians[c, 0.5] is not None})
 
 
 def next_window_label(df: DataFrame) -> DataFrame:

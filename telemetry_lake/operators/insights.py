@@ -10,7 +10,7 @@ from telemetry_lake.functions.geo import segment_key
 from telemetry_lake.functions.labels import RISK_STEPS, RISK_TOP, ladder
 from telemetry_lake.functions.numeric import ratio, round_to, snap
 from telemetry_lake.functions.timeparts import floor_minutes
-from telemetry_lake.operators.quantiles import quantile_struct
+from telemetry_lake.operators.quantiles import quantiles
 from telemetry_lake.session import settle
 
 # fixed values
@@ -257,12 +257,9 @@ def speed_histogram(scored: DataFrame, low: float = 0.0, high: float = 250.0, bi
 def behaviour_lift(scored: DataFrame, q: float = HIGH_QUANTILE) -> DataFrame:
     """How much likelier an alert is when both speed and acceleration are in their top fifth."""
     scored = settle(scored.select("speed_kmh", "acceleration_ms2", "will_alert"), "behaviour")
-    cut = quantile_struct(scored, ["speed_kmh", "acceleration_ms2"], q)
-
-    def usable(value: Column, fallback: float) -> Column:
-        return F.when(value.isNull() | (value == 0), F.lit(fallback)).otherwise(value)
-
-    speed, accel = usable(cut["speed_kmh"], SPEED_FALLBACK), usable(cut["acceleration_ms2"], ACCEL_FALLBACK)
+    cut = quantiles(scored, ["speed_kmh", "acceleration_ms2"], [q])
+    speed = F.lit(cut["speed_kmh", q] or SPEED_FALLBACK)  # missing or 0: the fallback
+    accel = F.lit(cut["acceleration_ms2", q] or ACCEL_FALLBACK)
     risky = F.coalesce((F.col("speed_kmh") > speed) & (F.col("acceleration_ms2") > accel), F.lit(False))
     alert = F.col("will_alert").cast("double")
     shares = scored.agg(
@@ -280,8 +277,7 @@ def behaviour_lift(scored: DataFrame, q: float = HIGH_QUANTILE) -> DataFrame:
 
 def root_cause_lift(predictions: DataFrame, q: float = HIGH_QUANTILE) -> DataFrame:
     """Per factor: its mean among the riskiest fifth, scaled to its range, and its lift over all rows."""
-    cut = quantile_struct(predictions, ["alert_prob"], q)["alert_prob"]
-    risky = F.col("alert_prob") >= cut
+    risky = F.col("alert_prob") >= F.lit(quantiles(predictions, ["alert_prob"], [q])["alert_prob", q])
     sums = predictions.agg(
         *[
             measure.alias(f"{f}_{name}")

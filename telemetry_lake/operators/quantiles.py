@@ -2,89 +2,111 @@
 
 ``percentile`` keeps every distinct value of a group in one buffer, and a window over the whole
 frame sorts it in one task.  Here values are first counted and the counts written to the shared
-folder (a repeated value is one row from then on, and the source is read once), then the interval
+folder (a repeated value is one row from then on, and the source is read once).  Then the interval
 that holds the wanted rank is narrowed: split it into equal cells, count the cells, keep the one
-with the rank.  Each level reads the counts once and leaves one row per wanted rank.  What remains
-after the last level is ranked exactly, whatever its size.
+with the rank, until it holds few enough distinct values to be ranked outright.  The driver only
+ever sees one row per wanted rank.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from telemetry_lake.session import settle
 
 CELLS = 2048
-LEVELS = 2
+RANKABLE = 100_000  # distinct values one task may sort
 
 
-def _counted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v")) for c in columns])
-    values = df.select(F.inline(pairs)).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    return values.groupBy("name", "v").agg(F.count(F.lit(1)).alias("n"))
+class Search(NamedTuple):
+    """Where the value of one rank of one column lies: interval, rows before it, distinct values in it."""
 
+    id: int
+    name: str
+    rank: int
+    lo: float
+    hi: float
+    before: int
+    size: int
 
-def _wanted(counted: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """One row per (column, probability, lower or upper neighbour) with its rank and search interval."""
-    whole = counted.groupBy("name").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("total"))
-    place = (F.col("total") - 1) * F.col("prob")
-    ends = F.array(
-        F.struct(F.lit("low").alias("side"), F.floor(place).alias("rank")),
-        F.struct(F.lit("high").alias("side"), F.ceil(place).alias("rank")),
-    )
-    return (
-        whole.select("*", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
-        .select("name", "prob", "lo", "hi", (place - F.floor(place)).alias("part"), F.inline(ends))
-        .withColumn("before", F.lit(0).cast("bigint"))
-    )
 
+SEARCH_DDL = "id INT, name STRING, rank BIGINT, lo DOUBLE, hi DOUBLE, before BIGINT, size BIGINT"
 
-_KEY = ("name", "prob", "side")
+
+def _counted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v")) for c in columns])
+    values = df.select(F.inline(pairs)).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    return values.groupBy("name", "v").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _inside(counted: DataFrame, wanted: DataFrame) -> DataFrame:
-    # ``wanted`` has two rows per requested quantile, however large the data
-    within = (F.col("c.name") == F.col("w.name")) & F.col("c.v").between(F.col("w.lo"), F.col("w.hi"))
-    return counted.alias("c").join(F.broadcast(wanted.alias("w")), within).select("w.*", "c.v", "c.n")
+def _inside(counted: DataFrame, searches: Sequence[Search]) -> DataFrame:
+    """Counted values within each search's interval."""
+    wanted = F.broadcast(counted.sparkSession.createDataFrame(list(searches), SEARCH_DDL))  # a row per rank
+    return counted.join(wanted, "name").where(F.col("v").between(F.col("lo"), F.col("hi")))
 
 
-def _located(steps: DataFrame, order: str) -> DataFrame:
-    """Of each search's steps, the one whose running count covers the rank."""
-    run = W.partitionBy(*_KEY).orderBy(order)
-    upto = F.sum("n").over(run.rowsBetween(W.unboundedPreceding, 0))
+def _locate(steps: DataFrame, order: str) -> DataFrame:
+    """Of each search's steps, the one whose running count covers its rank."""
+    upto = F.sum("n").over(W.partitionBy("id").orderBy(order).rowsBetween(W.unboundedPreceding, 0))
     placed = steps.withColumn("upto", F.col("before") + upto).withColumn("before", F.col("upto") - F.col("n"))
     return placed.where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("upto")))
 
 
-def _narrow(counted: DataFrame, wanted: DataFrame) -> DataFrame:
-    width = F.col("hi") - F.col("lo")
-    cell = F.when(width > 0, F.least(F.floor((F.col("v") - F.col("lo")) / width * CELLS), F.lit(CELLS - 1))).otherwise(0)
+def _narrow(counted: DataFrame, searches: Sequence[Search]) -> list[Search]:
+    # halved first, so that an interval as wide as the double range does not overflow
+    cell = F.expr(f"least(floor((v / 2 - lo / 2) / (hi / 2 - lo / 2) * {CELLS}), {CELLS - 1})")
     cells = (
-        _inside(counted, wanted)
-        .groupBy(*_KEY, "rank", "part", "before", cell.alias("cell"))
-        .agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        _inside(counted, searches)
+        .groupBy("id", "name", "rank", "before", cell.alias("cell"))
+        .agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("size"))
     )
-    return _located(cells, "cell").select(*wanted.columns)
+    return [Search(*r) for r in _locate(cells, "cell").select(*Search._fields).collect()]
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """(name, prob, value): quantiles with linear interpolation, NULLs left out."""
+def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[tuple[str, float], float | None]:
+    """{(column, probability): value} with linear interpolation; None for a column without values."""
     counted = settle(_counted(df, columns), "value-counts")
-    wanted = _wanted(counted, probs)
-    for _ in range(LEVELS):
-        wanted = _narrow(counted, wanted)
-    found = _located(_inside(counted, wanted), "v")
-    low = F.max(F.when(F.col("side") == "low", F.col("v")))
-    high = F.max(F.when(F.col("side") == "high", F.col("v")))
-    return found.groupBy("name", "prob").agg((low + (high - low) * F.max("part")).alias("value"))
-
-
-def quantile_struct(df: DataFrame, columns: Sequence[str], prob: float = 0.5) -> Column:
-    """One quantile of several columns as a scalar subquery; read ``result[column]``."""
-    found = exact_quantiles(df, columns, [prob])
-    row = found.agg(*[F.max(F.when(F.col("name") == c, F.col("value"))).alias(c) for c in columns])
-    return row.select(F.struct(*columns).alias("q")).scalar()
+    extent = counted.groupBy("name").agg(
+        F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("total"), F.count(F.lit(1)).alias("size")
+    )
+    whole = {r.name: r for r in extent.collect()}
+    ranks = {
+        (c, p): (math.floor((whole[c].total - 1) * p), math.ceil((whole[c].total - 1) * p))
+        for c in columns
+        for p in probs
+        if c in whole
+    }
+    wanted = sorted({(c, rank) for (c, _), pair in ranks.items() for rank in pair})
+    searches = [Search(i, c, r, whole[c].lo, whole[c].hi, 0, whole[c].size) for i, (c, r) in enumerate(wanted)]
+
+    found: dict[tuple[str, int], float] = {}
+    while searches:
+        found |= {(s.name, s.rank): s.lo for s in searches if s.lo == s.hi}
+        searches = [s for s in searches if s.lo < s.hi]
+        small = [s for s in searches if s.size <= RANKABLE]
+        if small:
+            exact = _locate(_inside(counted, small), "v").select("name", "rank", "v").collect()
+            found |= {(r.name, r["rank"]): r.v for r in exact}
+        large = [s for s in searches if s.size > RANKABLE]
+        searches = _narrow(counted, large) if large else []
+
+    def value(c: str, p: float) -> float | None:
+        if c not in whole:
+            return None
+        low, high = (found[c, rank] for rank in ranks[c, p])
+        place = (whole[c].total - 1) * p
+        return low + (high - low) * (place - math.floor(place))
+
+    return {(c, p): value(c, p) for c in columns for p in probs}
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """(name, prob, value) rows of ``quantiles``."""
+    rows = [(c, float(p), v) for (c, p), v in quantiles(df, columns, probs).items()]
+    return df.sparkSession.createDataFrame(rows, "name STRING, prob DOUBLE, value DOUBLE")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from telemetry_lake.functions.numeric import snap
+from telemetry_lake.functions.numeric import GUARD_DIGITS, snap
 
 DIGITS = 6
 
@@ -14,8 +14,8 @@ def present(df: DataFrame, *dropped: str) -> DataFrame:
 
     def column(field) -> str:
         name, kind = f"`{field.name}`", field.dataType.simpleString()
-        if kind == "double":
-            return f"{snap(name, DIGITS)} AS {name}"
+        if kind == "double":  # the finer grid first: an average may lie halfway between two points
+            return f"{snap(snap(name, DIGITS + GUARD_DIGITS), DIGITS)} AS {name}"
         if kind == "timestamp":
             return f"CAST({name} AS TIMESTAMP_NTZ) AS {name}"
         return name

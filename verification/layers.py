@@ -41,7 +41,7 @@ def compose(sql: str) -> str:
 def fixed(sql: str, doubles: str = "") -> str:
     """Compose, with the named double columns brought to six places."""
     if doubles:
-        replaced = ", ".join(f"{snap(c)} AS {c}" for c in doubles.split())
+        replaced = ", ".join(f"{snap(snap(c, 9), 6)} AS {c}" for c in doubles.split())
         sql = f"SELECT * REPLACE ({replaced}) FROM ({sql})"
     return compose(sql)
 
