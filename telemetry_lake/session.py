@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings, safe to change on a live session.  Time buckets, dates and hours assume UTC.
 # AQE splits skewed join partitions and turns a join into a broadcast only after measuring the side.
+# The JVM never compiles methods over 8000 bytes; past that, wide projections run faster as several
+# small generated methods than as one big interpreted one.
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -16,6 +18,7 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
