@@ -23,9 +23,11 @@ def snap(value: str, digits: int) -> str:
 
 
 def round_to(value: str, digits: int) -> str:
-    """Half-away-from-zero rounding in double arithmetic, stable at ties."""
-    steady = f"{snap(value, digits + GUARD_DIGITS)} * {_scale(digits)}"
-    return f"(CASE WHEN {steady} < 0 THEN ceil({steady} - 0.5D) ELSE floor({steady} + 0.5D) END / {_scale(digits)})"
+    """Half-away-from-zero rounding; the last step is in integers, so a tie is a tie."""
+    step = 10**GUARD_DIGITS
+    fine = f"floor(({value}) * {_scale(digits + GUARD_DIGITS)} + 0.5D)"
+    whole = f"CASE WHEN {fine} < 0 THEN -(({step // 2} - {fine}) DIV {step}) ELSE ({fine} + {step // 2}) DIV {step} END"
+    return f"({whole} / {_scale(digits)})"
 
 
 def ratio(top: str, bottom: str) -> str:

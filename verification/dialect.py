@@ -12,13 +12,11 @@ def snap(x: str, digits: int = 6) -> str:
 
 
 def rnd(x: str, digits: int) -> str:
-    """Half away from zero after snapping to three finer digits."""
-    scale = f"{10**digits}e0"
-    steady = f"({snap(x, digits + GUARD)} * {scale})"
-    return (
-        f"(CAST(CASE WHEN {steady} < 0 THEN ceil({steady} - 0.5e0) ELSE floor({steady} + 0.5e0) END AS BIGINT)"
-        f" / {scale})"
-    )
+    """Half away from zero, decided on whole thousandths of the last digit."""
+    step = 10**GUARD
+    fine = f"CAST(floor(({x}) * {10 ** (digits + GUARD)}e0 + 0.5e0) AS BIGINT)"
+    whole = f"CASE WHEN {fine} < 0 THEN -(({step // 2} - {fine}) // {step}) ELSE ({fine} + {step // 2}) // {step} END"
+    return f"({whole} / {10**digits}e0)"
 
 
 def clip(x: str, low, high) -> str:
