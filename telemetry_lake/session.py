@@ -21,6 +21,15 @@ RUNTIME = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# For long-running streams: state on executor disks instead of the heap, with changes written to the
+# checkpoint as a log.  Pass to ``build_session``; a query keeps the store it was started with.
+LARGE_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""

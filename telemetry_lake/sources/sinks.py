@@ -106,6 +106,7 @@ def upsert_alerts(alerts: DataFrame, path: str) -> None:
     are read back.
     """
     fresh = alerts.withColumn("alert_date", F.date_format("ts", "yyyy-MM-dd")).dropDuplicates(["alert_id"])
+    batch = fresh.persist()  # read for its first and last date and for the join
     table = read_or_none(alerts.sparkSession, path)
     if table is not None:
         # partition values such as 2024-01-31 are read back as dates
@@ -114,7 +115,10 @@ def upsert_alerts(alerts: DataFrame, path: str) -> None:
         last = fresh.select(F.max("alert_date")).scalar()
         known = known.where(F.col("alert_date").between(first, last)).select("alert_date", "alert_id")
         fresh = fresh.join(known, ["alert_date", "alert_id"], "left_anti")
-    append_rows(fresh, path, ["alert_date"])
+    try:
+        append_rows(fresh, path, ["alert_date"])
+    finally:
+        batch.unpersist()
 
 
 def alert_upsert_sink(alerts: DataFrame, path: str, checkpoint: str, trigger_seconds: int | None = None) -> StreamingQuery:

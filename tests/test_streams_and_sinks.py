@@ -131,3 +131,22 @@ def test_stream_dedup_and_listener(spark, tmp_path):
     sinks.write_stream(once, f"{tmp_path}/out", f"{tmp_path}/ck", sinks.DAILY).awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/out").count() == 59
     spark.streams.removeListener(watch)
+
+
+def test_prediction_and_recommendation_logs(spark, tmp_path):
+    from telemetry_lake.operators import recommend
+    from tests.test_operators import predictions
+
+    scored = predictions(spark, ("a", 0.7, 1, 50.0, 0.5, 0.0, 0.0))
+    for _ in range(2):
+        sinks.predictions_sink(scored, f"{tmp_path}/predictions")
+    assert spark.read.parquet(f"{tmp_path}/predictions").count() == 2
+    found = recommend.recommendations(scored)
+    sinks.recommendation_history_sink(found, f"{tmp_path}/history", "2024-06-01 12:00:00")
+    calm = recommend.recommendations(scored.limit(0))
+    sinks.recommendation_history_sink(calm, f"{tmp_path}/history", "2024-06-01 12:05:00")
+    kept = spark.read.parquet(f"{tmp_path}/history")
+    assert rows(kept, "category") == [("Maintenance",), ("Route Diversion",), ("Weather Alert",)]
+    assert kept.where("category = 'Route Diversion'").first().triggered_by == '["congestion_level=0.500"]'
+    shown = recommend.recommendation_history(kept, F.lit("2024-06-02 11:00:00").cast("timestamp"))
+    assert shown.count() == 3
