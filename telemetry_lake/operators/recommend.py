@@ -6,6 +6,10 @@ per segment and category by an aggregate, so no segment is ever gathered as a gr
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -21,10 +25,6 @@ NOMINAL = (
     "LOW", "System Status", "All systems nominal — no immediate action required", "N/A", 0.0,
     "No critical conditions detected in current data.", "N/A", "N/A",
 )
-FIELDS = (
-    "priority", "category", "action", "segment_id", "confidence", "reasoning", "triggered_by",
-    "estimated_impact", "time_window",
-)
 # thresholds of top_explained: category -> (feature shown, column, value if missing, threshold)
 EXPLAINED = {
     "Route Diversion": (
@@ -50,202 +50,117 @@ DEPLOY_PROB_CRITICAL, DEPLOY_PROB_OTHER = 0.75, 0.6
 FAR_ABOVE = 1.2
 
 
-def _number(df: DataFrame, name: str, kind: str = "double") -> Column:
-    return F.coalesce(F.col(name).cast(kind), F.lit(0).cast(kind)) if name in df.columns else F.lit(0).cast(kind)
+class Rule(NamedTuple):
+    """One recommendation rule.  ``when``, ``priority`` and ``confidence`` are SQL over a row's readings;
+    wording holes are ``{s}`` segment, ``{c}`` ``{p}`` ``{w}`` percentages, ``{v}`` speed."""
+
+    category: str
+    when: str
+    priority: str
+    confidence: str
+    action: str
+    reasoning: str
+    triggers: tuple[str, ...]
+    impact: str
+    window: str
+
+
+# --- fixed values: per category the first rule that applies to a row is the one that counts ---
+RULES = (
+    Rule(
+        "Route Diversion", "congestion_level >= 0.4D", "CASE WHEN congestion_level >= 0.6D THEN 'HIGH' ELSE 'MODERATE' END",
+        "congestion_level", "Activate dynamic route diversion for {s} — elevated congestion",
+        "Elevated congestion level ({c}) detected on {s}. Recommend dynamic route diversion to relieve pressure.",
+        ("congestion_level",), "Reduces travel time by ~15%", LATER,
+    ),
+    Rule(
+        "Route Diversion", "active_events >= 1", "'HIGH'", "0.8D", "Issue route advisory for {s} — active road events",
+        "Active road event detected on {s}. Drivers should be advised of alternative routes.",
+        ("active_events",), "Reduces incident-related delays by ~30%", LATER,
+    ),
+    Rule(
+        "Route Diversion", "alert_prob >= 0.5D OR will_alert = 1 OR (speed > 0 AND speed < 15)", "'CRITICAL'",
+        "CASE WHEN alert_prob = 0 THEN 0.8D ELSE alert_prob END",
+        "Issue emergency route diversion for {s} — high risk / near standstill",
+        "Critical alert probability ({p}) or very low speed ({v} km/h) detected. Immediate diversions necessary.",
+        ("alert_prob", "speed"), "Prevents secondary collisions; reduces incident cascade", SOON,
+    ),
+    Rule(
+        "Maintenance", "active_events >= 1", "'MODERATE'", "0.7D",
+        "Schedule maintenance crew inspection for {s} — active event detected",
+        "Active event ongoing on segment {s}. Inspection needed to ensure safety and clear path.",
+        ("active_events",), "Prevents maintenance-related incidents by ~40%", LATER,
+    ),
+    Rule(
+        "Maintenance", "alert_prob >= 0.4D OR congestion_level >= 0.7D", "'HIGH'", "greatest(alert_prob, congestion_level)",
+        "Dispatch road clearance team to {s} — elevated safety risk",
+        "Elevated safety risk (alert prob {p}, congestion {c}) requires preemptive dispatch to ensure road clearance.",
+        ("alert_prob", "congestion_level"), "Reduces clearance time by ~50%; prevents secondary incidents", SOON,
+    ),
+    Rule(
+        "Weather Alert", "weather_risk >= 0.4D", "'HIGH'", "weather_risk",
+        "Pre-position emergency response near {s} — high composite weather risk",
+        "Composite weather risk ({w}) is high. Emergency services should be positioned nearby.",
+        ("weather_risk",), "Reduces weather incident response time by ~40%", LATER,
+    ),
+    Rule(
+        "Weather Alert", "weather_risk >= 0.15D OR alert_prob >= 0.35D", "'MODERATE'", "greatest(weather_risk, alert_prob)",
+        "Issue weather advisory warning for {s} — reduce speed advisory",
+        "Weather risk ({w}) combined with elevated alert probability ({p}) suggests advisory warning.",
+        ("weather_risk", "alert_prob"), "Reduces weather-related accidents by ~45%", LATER,
+    ),
+    Rule(
+        FALLBACK_CATEGORY, "will_alert = 1", "CASE WHEN alert_prob >= 0.4D THEN 'MODERATE' ELSE 'LOW' END", "alert_prob",
+        "Increase monitoring for {s} — elevated incident risk detected",
+        "Model prediction indicates elevated incident risk ({p}) for this segment. Recommend increased monitoring and readiness.",
+        ("alert_prob", "will_alert"), "Early detection enables faster response", SOON,
+    ),
+)
+READINGS = ("congestion_level", "alert_prob", "speed", "active_events", "weather_risk", "will_alert")
+TRIGGER_TEXT = {
+    "congestion_level": ("congestion_level=", 3, ""),
+    "alert_prob": ("alert_prob=", 3, ""),
+    "weather_risk": ("weather_risk=", 3, ""),
+    "speed": ("speed=", 1, " km/h"),
+}
 
 
-def _percent(share: str) -> Column:
-    return F.format_string("%.1f%%", F.expr(round_to(f"{share} * 100", 1)))
+def _readings(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """The numbers the rules look at, NULL or absent as 0."""
+    numbers = [
+        f"coalesce(CAST({c} AS DOUBLE), 0D) AS {c}" if c in df.columns else f"0D AS {c}" for c in READINGS
+    ]
+    return df.selectExpr(*keys, "segment_id", "timestamp", *numbers)
 
 
-def _plain(value: str, digits: int) -> Column:
-    return F.format_string(f"%.{digits}f", F.expr(round_to(value, digits)))
+def _calls() -> Column:
+    """Whether a row calls for any recommendation at all."""
+    return F.expr(" OR ".join(imply(r.when) for r in RULES))
 
 
-def _text(template: str, **parts: Column) -> Column:
-    """Concatenate a template with ``{name}`` holes."""
-    pieces: list[Column] = []
-    rest = template
-    while "{" in rest:
-        head, tail = rest.split("{", 1)
-        name, rest = tail.split("}", 1)
-        pieces += [F.lit(head), parts[name]]
-    return F.concat(*pieces, F.lit(rest))
+def _fixed(value: str, digits: int) -> str:
+    return f"format_string('%.{digits}f', {round_to(value, digits)})"
 
 
-def _recommendation(priority, category: str, action, confidence, reasoning, triggers, impact: str, window: str) -> Column:
-    priority = priority if isinstance(priority, Column) else F.lit(priority)
-    confidence = confidence if isinstance(confidence, Column) else F.lit(confidence)
-    return F.struct(
-        priority.alias("priority"),
-        F.lit(category).alias("category"),
-        action.alias("action"),
-        confidence.cast("double").alias("confidence"),
-        reasoning.alias("reasoning"),
-        F.array(*triggers).alias("triggered_by"),
-        F.lit(impact).alias("estimated_impact"),
-        F.lit(window).alias("time_window"),
-    )
+def _wording(template: str) -> str:
+    """SQL that fills a template's holes."""
+    holes = {
+        "s": "segment_id", "v": _fixed("speed", 1),
+        **{k: _fixed(f"{c} * 100", 1) + ", '%'" for k, c in (("c", "congestion_level"), ("p", "alert_prob"), ("w", "weather_risk"))},
+    }
+    parts = [holes[piece] if i % 2 else f"'{piece}'" for i, piece in enumerate(re.split(r"[{}]", template))]
+    return f"concat({', '.join(parts)})"
 
 
-def _readings(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """The numbers the rules look at, NULL as 0, and once each the texts the wording uses."""
-    numbers = {c: _number(df, c) for c in ("congestion_level", "alert_prob", "speed", "active_events", "weather_risk")}
-    plain = df.select(
-        *keys, "segment_id", "timestamp", *[v.alias(c) for c, v in numbers.items()],
-        _number(df, "will_alert", "int").alias("will_alert"),
-    )
-    return plain.where(_calls()).withColumns(
-        {
-            "jam_pct": _percent("congestion_level"),
-            "prob_pct": _percent("alert_prob"),
-            "weather_pct": _percent("weather_risk"),
-            "speed_1": _plain("speed", 1),
-            "t_jam": F.concat(F.lit("congestion_level="), _plain("congestion_level", 3)),
-            "t_prob": F.concat(F.lit("alert_prob="), _plain("alert_prob", 3)),
-            "t_weather": F.concat(F.lit("weather_risk="), _plain("weather_risk", 3)),
-            "t_events": F.concat(F.lit("active_events="), F.floor("active_events").cast("string")),
-        }
-    )
+def _trigger(reading: str) -> str:
+    if reading in TRIGGER_TEXT:
+        head, digits, tail = TRIGGER_TEXT[reading]
+        return f"concat('{head}', {_fixed(reading, digits)}, '{tail}')"
+    return f"concat('{reading}=', CAST(floor({reading}) AS STRING))"
 
 
-def _calls() -> Column:
-    """Whether a row calls for any recommendation at all."""
-    tests = (
-        "congestion_level >= 0.4D", "active_events >= 1", "alert_prob >= 0.35D", "will_alert = 1",
-        "weather_risk >= 0.15D", "speed > 0 AND speed < 15",
-    )
-    return F.expr(" OR ".join(imply(t) for t in tests))
-
-
-def _candidates() -> list[Column]:
-    """Per category the recommendation a row calls for, or NULL."""
-    seg = F.col("segment_id")
-    jam, prob, speed = F.col("congestion_level"), F.col("alert_prob"), F.col("speed")
-    events, weather, alert = F.col("active_events"), F.col("weather_risk"), F.col("will_alert") == 1
-    t_jam, t_prob, t_weather, t_events = (F.col(f"t_{n}") for n in ("jam", "prob", "weather", "events"))
-    t_speed = F.concat(F.lit("speed="), F.col("speed_1"), F.lit(" km/h"))
-
-    diversion = (
-        F.when(
-            jam >= 0.4,
-            _recommendation(
-                F.when(jam >= 0.6, "HIGH").otherwise("MODERATE"),
-                "Route Diversion",
-                _text("Activate dynamic route diversion for {s} — elevated congestion", s=seg),
-                jam,
-                _text(
-                    "Elevated congestion level ({c}) detected on {s}. Recommend dynamic route diversion to relieve pressure.",
-                    c=F.col("jam_pct"), s=seg,
-                ),
-                [t_jam],
-                "Reduces travel time by ~15%",
-                LATER,
-            ),
-        )
-        .when(
-            events >= 1,
-            _recommendation(
-                "HIGH",
-                "Route Diversion",
-                _text("Issue route advisory for {s} — active road events", s=seg),
-                0.8,
-                _text("Active road event detected on {s}. Drivers should be advised of alternative routes.", s=seg),
-                [t_events],
-                "Reduces incident-related delays by ~30%",
-                LATER,
-            ),
-        )
-        .when(
-            (prob >= 0.5) | alert | ((speed > 0) & (speed < 15)),
-            _recommendation(
-                "CRITICAL",
-                "Route Diversion",
-                _text("Issue emergency route diversion for {s} — high risk / near standstill", s=seg),
-                F.when(prob == 0, 0.8).otherwise(prob),
-                _text(
-                    "Critical alert probability ({p}) or very low speed ({v} km/h) detected. Immediate diversions necessary.",
-                    p=F.col("prob_pct"), v=F.col("speed_1"),
-                ),
-                [t_prob, t_speed],
-                "Prevents secondary collisions; reduces incident cascade",
-                SOON,
-            ),
-        )
-    )
-    maintenance = F.when(
-        events >= 1,
-        _recommendation(
-            "MODERATE",
-            "Maintenance",
-            _text("Schedule maintenance crew inspection for {s} — active event detected", s=seg),
-            0.7,
-            _text("Active event ongoing on segment {s}. Inspection needed to ensure safety and clear path.", s=seg),
-            [t_events],
-            "Prevents maintenance-related incidents by ~40%",
-            LATER,
-        ),
-    ).when(
-        (prob >= 0.4) | (jam >= 0.7),
-        _recommendation(
-            "HIGH",
-            "Maintenance",
-            _text("Dispatch road clearance team to {s} — elevated safety risk", s=seg),
-            F.greatest(prob, jam),
-            _text(
-                "Elevated safety risk (alert prob {p}, congestion {c}) requires preemptive dispatch to ensure road clearance.",
-                p=F.col("prob_pct"), c=F.col("jam_pct"),
-            ),
-            [t_prob, t_jam],
-            "Reduces clearance time by ~50%; prevents secondary incidents",
-            SOON,
-        ),
-    )
-    caution = F.when(
-        weather >= 0.4,
-        _recommendation(
-            "HIGH",
-            "Weather Alert",
-            _text("Pre-position emergency response near {s} — high composite weather risk", s=seg),
-            weather,
-            _text("Composite weather risk ({w}) is high. Emergency services should be positioned nearby.", w=F.col("weather_pct")),
-            [t_weather],
-            "Reduces weather incident response time by ~40%",
-            LATER,
-        ),
-    ).when(
-        (weather >= 0.15) | (prob >= 0.35),
-        _recommendation(
-            "MODERATE",
-            "Weather Alert",
-            _text("Issue weather advisory warning for {s} — reduce speed advisory", s=seg),
-            F.greatest(weather, prob),
-            _text(
-                "Weather risk ({w}) combined with elevated alert probability ({p}) suggests advisory warning.",
-                w=F.col("weather_pct"), p=F.col("prob_pct"),
-            ),
-            [t_weather, t_prob],
-            "Reduces weather-related accidents by ~45%",
-            LATER,
-        ),
-    )
-    fallback = F.when(
-        alert & diversion.isNull() & maintenance.isNull() & caution.isNull(),
-        _recommendation(
-            F.when(prob >= 0.4, "MODERATE").otherwise("LOW"),
-            FALLBACK_CATEGORY,
-            _text("Increase monitoring for {s} — elevated incident risk detected", s=seg),
-            prob,
-            _text(
-                "Model prediction indicates elevated incident risk ({p}) for this segment. Recommend increased monitoring and readiness.",
-                p=F.col("prob_pct"),
-            ),
-            [t_prob, F.lit("will_alert=1")],
-            "Early detection enables faster response",
-            SOON,
-        ),
-    )
-    return [diversion, maintenance, caution, fallback]
+def _by_rule(text: Callable[[Rule], str]) -> str:
+    return "CASE rule " + " ".join(f"WHEN {i} THEN {text(r)}" for i, r in enumerate(RULES)) + " END"
 
 
 def _rank(priority: Column) -> Column:
@@ -256,22 +171,39 @@ def _rank(priority: Column) -> Column:
 
 
 def recommend_rows(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Best recommendation per (keys, segment, category); ties go to the newest row."""
-    tagged = _readings(df, keys).select(
-        *keys, "segment_id", "timestamp", F.inline(F.array_compact(F.array(*_candidates())))
-    )
+    """Best recommendation per (keys, segment, category); ties go to the newest row.
+
+    Only numbers are shuffled; the wording is put together for the rows that remain.
+    """
+    first_rule: dict[str, str] = {}
+    for i, r in enumerate(RULES):
+        fired = f"named_struct('category', '{r.category}', 'rule', {i}, 'priority', {r.priority}, 'confidence', CAST({r.confidence} AS DOUBLE))"
+        first_rule[r.category] = first_rule.get(r.category, "CASE") + f" WHEN {r.when} THEN {fired}"
+    per_category = ", ".join(f"{chain} END" for chain in first_rule.values())
+    tagged = _readings(df, keys).where(_calls()).selectExpr("*", f"inline(array_compact(array({per_category})))")
     order = F.struct(
         _rank(F.col("priority")).alias("rank"),
         (-F.unix_micros(F.col("timestamp"))).alias("newest"),
         (-F.col("confidence")).alias("surest"),
-        "reasoning",
+        *READINGS,
     )
-    body = F.struct("priority", "action", "confidence", "reasoning", "triggered_by", "estimated_impact", "time_window")
+    body = F.struct("rule", "priority", "confidence", *READINGS)
     best = tagged.groupBy(*keys, "segment_id", "category").agg(F.min_by(body, order).alias("best"))
     # the fallback only stands where its segment has nothing else; at most four rows per segment here
     others = F.max(F.col("category") != FALLBACK_CATEGORY).over(W.partitionBy(*keys, "segment_id"))
     kept = best.withColumn("has_other", others).where((F.col("category") != FALLBACK_CATEGORY) | ~F.col("has_other"))
-    return kept.select(*keys, "segment_id", "category", "best.*").select(*keys, *FIELDS)
+    return kept.select(*keys, "segment_id", "category", "best.*").selectExpr(
+        *keys,
+        "priority",
+        "category",
+        f"{_by_rule(lambda r: _wording(r.action))} AS action",
+        "segment_id",
+        "confidence",
+        f"{_by_rule(lambda r: _wording(r.reasoning))} AS reasoning",
+        _by_rule(lambda r: f"array({', '.join(map(_trigger, r.triggers))})") + " AS triggered_by",
+        f"{_by_rule(lambda r: repr(r.impact))} AS estimated_impact",
+        f"{_by_rule(lambda r: repr(r.window))} AS time_window",
+    )
 
 
 def by_urgency(recommendations: DataFrame) -> DataFrame:
@@ -286,7 +218,7 @@ def _nominal(df: DataFrame) -> DataFrame:
         F.lit(n).alias("confidence"), F.lit(r).alias("reasoning"), F.array().cast("array<string>").alias("triggered_by"),
         F.lit(i).alias("estimated_impact"), F.lit(t).alias("time_window"),
     )
-    return row.where(~df.where(_calls()).exists())
+    return row.where(~_readings(df, ()).where(_calls()).exists())
 
 
 def recommendations(predictions: DataFrame) -> DataFrame:
