@@ -138,6 +138,11 @@ class Lake:
         """The newest reading, in place of the wall clock."""
         return self.latest(self.events, "ts").cast("timestamp")
 
+    @cached_property
+    def beginning(self):
+        """The second of the first reading."""
+        return F.date_trunc("second", self.events.select(F.min("ts").cast("timestamp")).scalar())
+
     @cached_property
     def features(self) -> DataFrame:
         return features.engineer_features(self.telemetry, self.traffic, self.weather, self.road_events)

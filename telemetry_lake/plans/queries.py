@@ -251,13 +251,12 @@ query(lambda lake: serving.critical_alerts_30min(lake.realtime_alerts, lake.now)
 query(lambda lake: serving.fleet_avg_speed(lake.realtime_telemetry, lake.now), "fleet_avg_speed")
 query(lambda lake: serving.fleet_avg_fuel(lake.realtime_telemetry, lake.now), "fleet_avg_fuel")
 query(lambda lake: serving.fleet_avg_engine_temp(lake.realtime_telemetry, lake.now), "fleet_avg_engine_temp")
-_RANGE = ("2024-01-05 00:00:00", "2024-01-25 00:00:00")
 for _name, _column in (("speed", "speed_kmh"), ("engine_temp", "engine_temp_c"), ("fuel", "fuel_level_pct")):
-    query(lambda lake, c=_column: serving.vehicle_series(lake.realtime_telemetry, *_RANGE, c), f"vehicle_{_name}_series")
+    query(lambda lake, c=_column: serving.vehicle_series(lake.realtime_telemetry, lake.beginning, lake.now, c), f"vehicle_{_name}_series")
 for _name in serving.SERIES_THRESHOLDS:
-    query(lambda lake, n=_name: serving.threshold_series(lake.realtime_telemetry, *_RANGE, n), f"threshold_series_{_name}")
+    query(lambda lake, n=_name: serving.threshold_series(lake.realtime_telemetry, lake.beginning, lake.now, n), f"threshold_series_{_name}")
 query(lambda lake: serving.alerts_by_severity(lake.realtime_alerts, lake.now, "24 HOURS"), "alerts_by_severity")
-query(lambda lake: serving.alert_rate_per_minute(lake.realtime_alerts, *_RANGE), "alert_rate_per_minute")
+query(lambda lake: serving.alert_rate_per_minute(lake.realtime_alerts, lake.beginning, lake.now), "alert_rate_per_minute")
 query(lambda lake: serving.recent_alerts(lake.realtime_alerts, lake.now, "24 HOURS"), "recent_alerts")
 
 # --- risk analytics ------------------------------------------------------------------------

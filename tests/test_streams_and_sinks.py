@@ -150,3 +150,30 @@ def test_prediction_and_recommendation_logs(spark, tmp_path):
     assert kept.where("category = 'Route Diversion'").first().triggered_by == '["congestion_level=0.500"]'
     shown = recommend.recommendation_history(kept, F.lit("2024-06-02 11:00:00").cast("timestamp"))
     assert shown.count() == 3
+
+
+def test_partition_and_recent_reads_are_pruned(spark, tmp_path):
+    silver = cleaning.clean_telemetry(fixtures.telemetry(spark))
+    sinks.write_partitions(silver, f"{tmp_path}/telemetry")
+    one = readers.read_partition(spark, str(tmp_path), "telemetry", silver_schema("telemetry"), "2024-06-01", 12)
+    plan = one.select("speed_kmh")._jdf.queryExecution().executedPlan().toString()
+    assert "partition_date#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "partition_hour#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "ReadSchema: struct<speed_kmh:double>" in plan
+    recent = readers.read_recent_days(spark.read.parquet(f"{tmp_path}/telemetry"), "2024-06-02 00:00:00", 1)
+    assert recent.count() == 59
+    assert "partition_date" in recent._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_hot_key_with_a_third_of_the_rows(spark):
+    """A hot vehicle in one hour: same counts as worked out by hand, whatever the partitioning."""
+    many = spark.range(3000).select(
+        F.concat(F.lit("CAR-"), F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id"))).alias("vehicle_id"),
+        F.lit("sedan").alias("vehicle_type"), F.lit("r").alias("route_name"), F.lit("urban").alias("road_type"),
+        F.lit("NONE").alias("road_event"), F.lit("slow").alias("speed_band"), F.lit(False).alias("is_anomaly"),
+        F.lit(10.0).alias("speed_kmh"), F.lit(1).alias("traffic_density"), F.lit(5.0).alias("fuel_rate_l100km"),
+        F.timestamp_seconds(F.lit(fixtures.START)).alias("event_time"),
+    )
+    for streaming in (False, True):
+        r = gold.route_hourly(many, streaming=streaming).first()
+        assert (r.total_events, r.unique_vehicles, r.count_slow) == (3000, 2000, 3000)

@@ -211,7 +211,7 @@ SQL["critical_alerts_30min"] = _panel("count(*)", "rt_alerts", 30, "severity = '
 SQL["fleet_avg_speed"] = _panel(rnd("avg(speed_kmh)", 1), "rt_telemetry", 2)
 SQL["fleet_avg_fuel"] = _panel(rnd("avg(fuel_level_pct)", 1), "rt_telemetry", 2)
 SQL["fleet_avg_engine_temp"] = _panel(rnd("avg(engine_temp_c)", 1), "rt_telemetry", 2)
-_IN_RANGE = "ts BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-25 00:00:00'"
+_IN_RANGE = f"ts BETWEEN date_trunc('second', (SELECT min(ts) FROM events)) AND {_NOW}"
 for _name, _column in (("speed", "speed_kmh"), ("engine_temp", "engine_temp_c"), ("fuel", "fuel_level_pct")):
     SQL[f"vehicle_{_name}_series"] = fixed(
         f"""SELECT date_trunc('second', ts) AS time, vehicle_id AS metric, {rnd(f'avg({_column})', 1)} AS value
