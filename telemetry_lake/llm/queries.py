@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetry_lake.llm import bpe_count, exact, lines, minhash, mixing, packing
+from telemetry_lake.llm import bpe_count, exact, lines, minhash, mixing, packing, quality_rules, toxicity
 from telemetry_lake.llm.common import table
 
 TOKEN_LIMIT = 2048
@@ -36,6 +36,14 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality(table(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -57,5 +65,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_minhash_dedup, op2_line_dedup, op5_mixing, op7_token_counts, op8_exact_dedup, op10_packing)
+    for f in (
+        op1_minhash_dedup, op2_line_dedup, op3_quality_rules, op4_toxicity, op5_mixing, op7_token_counts, op8_exact_dedup,
+        op10_packing,
+    )
 }

@@ -65,3 +65,64 @@ SELECT doc_id,
   sha256(coalesce(array_to_string(kept, chr(10)), '')) AS text_sha256
 FROM k
 """
+
+RATES = {
+    "word_length": ("word_chars", "n_words", 2, 0),
+    "symbols": ("n_symbols", "word_chars", 4, 40),
+    "shouts": ("n_shouts", "n_words", 4, 200),
+    "capitals": ("n_capitals", "word_chars", 4, 150),
+    "dup_lines": ("n_dup_lines", "n_lines", 4, 250),
+    "repeats": ("n_repeat_words", "n_words", 4, 150),
+}
+STACKED = " UNION ALL ".join(f"SELECT lang, source, '{r}' AS rate, {r} AS value FROM rated WHERE NOT base_failed" for r in RATES)
+
+
+def level(name: str) -> str:
+    pick = ", ".join(f"max(CASE WHEN rate = '{r}' THEN q END) AS {name}_{r}" for r in RATES)
+    keys = {"s": "lang, source, ", "l": "lang, ", "a": ""}[name]
+    return f"""
+{name}_c AS (SELECT {keys}rate, cell, sum(n) AS n FROM sketch GROUP BY ALL),
+{name}_u AS (
+  SELECT *, sum(n) OVER (PARTITION BY {keys}rate ORDER BY cell ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS up_to,
+    sum(n) OVER (PARTITION BY {keys}rate) AS docs FROM {name}_c),
+{name}_q AS (SELECT {keys}rate, max(docs) AS docs, min(cell) AS q FROM {name}_u WHERE up_to * 1000 >= docs * 500 GROUP BY ALL),
+{name} AS (SELECT {keys}max(docs) AS {name}_docs, {pick} FROM {name}_q {"GROUP BY " + keys.rstrip(", ") if keys else ""})"""
+
+
+BEYOND = ", ".join(
+    f"CASE WHEN {r} > {m} * (CASE WHEN s_docs >= 200 THEN s_{r} WHEN l_docs >= 200 THEN l_{r} ELSE coalesce(a_{r}, 0) END) + {a} THEN '{r}' END"
+    for r, (_, _, m, a) in RATES.items()
+)
+# The position of each window that occurs twice or more covers five words, or as many as lie before the next one.
+SQL["op3_quality_rules"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT row, regexp_extract_all(text, '{WORD}') AS words FROM d),
+g AS (
+  SELECT row, i, array_to_string(words[i:i + 4], ' ') AS five
+  FROM (SELECT row, words, unnest(range(1, len(words) - 3)) AS i FROM w WHERE len(words) >= 5)),
+t AS (SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY row, five) AS n FROM g) WHERE n > 1),
+v AS (
+  SELECT row, CAST(sum(least(5, coalesce(following - i, 5))) AS BIGINT) AS n_repeat_words
+  FROM (SELECT row, i, lead(i) OVER (PARTITION BY row ORDER BY i) AS following FROM t) GROUP BY row),
+y AS (SELECT row, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS lines FROM d),
+m AS (
+  SELECT d.doc_id, d.lang, d.source, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words, len(lines) AS n_lines, len(regexp_extract_all(text, '!')) AS n_shouts,
+    len(regexp_extract_all(text, '\p{{Lu}}')) AS n_capitals
+  FROM d JOIN w USING (row) JOIN y USING (row) LEFT JOIN v USING (row)),
+rated AS (
+  SELECT *, {", ".join(f"coalesce(({p} * 1000) // nullif({q}, 0), 0) AS {r}" for r, (p, q, _, _) in RATES.items())},
+    n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
+  FROM m),
+stacked AS ({STACKED}),
+sketch AS (
+  SELECT lang, source, rate, (value >> greatest(length(bin(value)) - 7, 0)) << greatest(length(bin(value)) - 7, 0) AS cell, count(*) AS n
+  FROM stacked GROUP BY ALL),
+{level("s")}, {level("l")}, {level("a")},
+j AS (
+  SELECT rated.*, CASE WHEN base_failed THEN 'base' ELSE concat_ws(',', {BEYOND}) END AS reason
+  FROM rated LEFT JOIN s ON rated.lang IS NOT DISTINCT FROM s.lang AND rated.source IS NOT DISTINCT FROM s.source
+  LEFT JOIN l ON rated.lang IS NOT DISTINCT FROM l.lang CROSS JOIN a)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, reason = '' AS kept, reason FROM j
+"""
