@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetry_lake.llm import bpe_count, exact, lines, minhash, mixing, packing, quality_rules, toxicity
+from telemetry_lake.llm import bpe_count, exact, kn_quality, lines, minhash, mixing, packing, pii, quality_rules, toxicity
 from telemetry_lake.llm.common import table
 
 TOKEN_LIMIT = 2048
@@ -49,6 +49,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entities = pii.personal_data(table(spark, sf_dir, "documents"))
+    return entities.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("found")).alias("spans"),
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = bpe_count.token_counts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -59,6 +67,12 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trusted text: the documents labelled as of good quality."""
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1")
+    return kn_quality.quality(table(spark, sf_dir, "documents"), trusted)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -66,7 +80,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_minhash_dedup, op2_line_dedup, op3_quality_rules, op4_toxicity, op5_mixing, op7_token_counts, op8_exact_dedup,
-        op10_packing,
+        op1_minhash_dedup, op2_line_dedup, op3_quality_rules, op4_toxicity, op5_mixing, op6_personal_data, op7_token_counts,
+        op8_exact_dedup, op9_quality_classifier, op10_packing,
     )
 }

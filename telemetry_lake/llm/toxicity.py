@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from telemetry_lake.llm.common import own_columns
 
@@ -309,26 +310,27 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, score, n_toxic_tokens, spans: one row per row of ``docs``.
+    """``docs`` with _score, _n_toxic_tokens, _spans: one row per row.
 
-    ``spans`` are start:end code points of the offending stretches, comma-joined.  Null, empty and
-    blank texts have no tokens and the lowest score.
+    ``_spans`` are start:end code points of the offending stretches, comma-joined.  Null, empty and
+    blank texts have no tokens and the lowest score.  The other columns are passed through untouched.
     """
+    added = ["_score", "_n_toxic_tokens", "_spans"]
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added])
+    schema = StructType([*docs.schema.fields, StructField(added[0], DoubleType()), StructField(added[1], LongType()), StructField(added[2], StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Remembered(lambda raw: model.token_odds(raw.decode("utf-8", "replace")))
         for batch in batches:
-            nodes = marginals(chains((v.as_py() for v in batch.column(1)), known), model.switch)
+            texts = batch.column("text")
+            nodes = marginals(chains((v.as_py() for v in texts), known), model.switch)
             best = [model.score(n) for n in nodes]
             counts = [int((n >= 0.5).sum()) for n in nodes]
-            spans = [offending(batch.column(1)[i].as_py(), n) if counts[i] else "" for i, n in enumerate(nodes)]
-            yield pa.record_batch(
-                [batch.column(0), pa.array(best, pa.float64()), pa.array(counts, pa.int64()), pa.array(spans, pa.string())],
-                ["doc_id", "score", "n_toxic_tokens", "spans"],
-            )
+            spans = [offending(texts[i].as_py(), n) if counts[i] else "" for i, n in enumerate(nodes)]
+            found = [pa.array(best, pa.float64()), pa.array(counts, pa.int64()), pa.array(spans, pa.string())]
+            yield pa.record_batch([*batch.columns, *found], names=[*batch.schema.names, *added])
 
-    slim = own_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
-    return slim.mapInArrow(run, "doc_id long, score double, n_toxic_tokens long, spans string")
+    return docs.mapInArrow(run, schema)
 
 
 def offending(text: str, node: np.ndarray) -> str:
@@ -346,9 +348,17 @@ def offending(text: str, node: np.ndarray) -> str:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted, n_toxic_tokens, spans."""
-    scored = score(docs, fit(docs, labels))
+    """doc_id, held_out, score, predicted, n_toxic_tokens, spans: one row per row of ``docs``.
+
+    A null doc_id is not held out.  An empty table gives an empty result.  Extra columns are ignored.
+    """
+    scored = score(own_columns(docs, "doc_id", "text"), fit(docs, labels))
     return scored.select(
-        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score",
-        (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_toxic_tokens", "spans",
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), F.col("_score").alias("score"),
+        (F.col("_score") >= 0.5).cast("int").alias("predicted"), F.col("_n_toxic_tokens").alias("n_toxic_tokens"), F.col("_spans").alias("spans"),
     )
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic."""
+    return score(docs, fit(docs, labels)).filter("_score < 0.5").drop("_score", "_n_toxic_tokens", "_spans")
