@@ -24,6 +24,7 @@ from telemetry_lake.session import settle
 
 ROUND_BITS = 3
 SEGMENT_BITS = 12
+ROW = pa.schema([("segment", pa.int32()), ("run", pa.int32()), ("digest", pa.binary()), ("n_bytes", pa.int64()), ("keep_id", pa.int64()), ("copies", pa.int64())])
 RUN = "segment int, run int, digest binary, n_bytes long, keep_id long, copies long"
 
 
@@ -33,8 +34,8 @@ def merge_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-        rows = rows.combine_chunks()
+        rows = pa.Table.from_arrays(batch.columns, schema=ROW)
+        rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
         new = np.ones(rows.num_rows, bool)
         if rows.num_rows > 1:
             changed = None
