@@ -18,16 +18,17 @@ def _scale(digits: int) -> str:
 
 
 def snap(value: str, digits: int) -> str:
-    """Nearest point of the 10^-digits grid."""
-    return f"(floor(({value}) * {_scale(digits)} + 0.5D) / {_scale(digits)})"
+    """Nearest point of the 10^-digits grid; infinities and NaN stay, large values to the last bit or so."""
+    return f"(rint(({value}) * {_scale(digits)}) / {_scale(digits)})"
 
 
 def round_to(value: str, digits: int) -> str:
-    """Half-away-from-zero rounding; the last step is in integers, so a tie is a tie."""
-    step = 10**GUARD_DIGITS
-    fine = f"floor(({value}) * {_scale(digits + GUARD_DIGITS)} + 0.5D)"
-    whole = f"CASE WHEN {fine} < 0 THEN -(({step // 2} - {fine}) DIV {step}) ELSE ({fine} + {step // 2}) DIV {step} END"
-    return f"({whole} / {_scale(digits)})"
+    """Half-away-from-zero rounding, in doubles throughout.
+
+    The value is first brought to whole thousandths of the last digit, so a tie is a tie.
+    """
+    fine = f"rint(({value}) * {_scale(digits + GUARD_DIGITS)})"
+    return f"(round({fine} / {10**GUARD_DIGITS}D, 0) / {_scale(digits)})"
 
 
 def ratio(top: str, bottom: str) -> str:

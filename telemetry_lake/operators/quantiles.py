@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from telemetry_lake.session import settle
 
 CELLS = 2048
-RANKABLE = 100_000  # distinct values one task may sort
+RANKABLE = CELLS  # an interval with no more distinct values than cells is ranked directly
 
 
 class Search(NamedTuple):
@@ -72,9 +72,14 @@ def _narrow(counted: DataFrame, searches: Sequence[Search]) -> list[Search]:
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[tuple[str, float], float | None]:
     """{(column, probability): value} with linear interpolation; None for a column without values."""
     counted = settle(_counted(df, columns), "value-counts")
+    low, high = F.lit(float("-inf")), F.lit(float("inf"))
+    finite = (F.col("v") > low) & (F.col("v") < high)
+    within = lambda column: F.when(finite, column)
     extent = counted.groupBy("name").agg(
-        F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("total"), F.count(F.lit(1)).alias("size")
-    )
+        F.min(within(F.col("v"))).alias("lo"), F.max(within(F.col("v"))).alias("hi"), F.sum("n").alias("total"),
+        F.count(within(F.lit(1))).alias("size"), F.coalesce(F.sum(F.when(F.col("v") == low, F.col("n"))), F.lit(0)).alias("below"),
+        F.coalesce(F.sum(F.when(F.col("v") == high, F.col("n"))), F.lit(0)).alias("above"),
+    )
     whole = {r.name: r for r in extent.collect()}
     ranks = {
         (c, p): (math.floor((whole[c].total - 1) * p), math.ceil((whole[c].total - 1) * p))
@@ -83,9 +88,15 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) ->
         if c in whole
     }
     wanted = sorted({(c, rank) for (c, _), pair in ranks.items() for rank in pair})
-    searches = [Search(i, c, r, whole[c].lo, whole[c].hi, 0, whole[c].size) for i, (c, r) in enumerate(wanted)]
-
+    # Infinities are counted, not searched: cells of an infinite interval would have no width.
     found: dict[tuple[str, int], float] = {}
+    for c, r in wanted:
+        if r < whole[c].below:
+            found[c, r] = -math.inf
+        elif r >= whole[c].total - whole[c].above:
+            found[c, r] = math.inf
+    wanted = [w for w in wanted if w not in found]
+    searches = [Search(i, c, r, whole[c].lo, whole[c].hi, whole[c].below, whole[c].size) for i, (c, r) in enumerate(wanted)]
     while searches:
         found |= {(s.name, s.rank): s.lo for s in searches if s.lo == s.hi}
         searches = [s for s in searches if s.lo < s.hi]
@@ -101,6 +112,8 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) ->
             return None
         low, high = (found[c, rank] for rank in ranks[c, p])
         place = (whole[c].total - 1) * p
+        if low == high or place == math.floor(place):
+            return low
         return low + (high - low) * (place - math.floor(place))
 
     return {(c, p): value(c, p) for c in columns for p in probs}

@@ -77,10 +77,7 @@ class Lake:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return dims.dim_date(self.spark, "2024-01-01", 366)
-
-    @cached_property
-    def dim_date_of_events(self) -> DataFrame:
+        """A day for each day between the first event and the last, whatever year they are of."""
         return dims.calendar(dims.date_span(self.events, "ts"))
 
     @cached_property
@@ -115,6 +112,12 @@ class Lake:
         tables = {
             **{f"stg_{t}": self.stg(t) for t in staging.STAGING},
             "dim_vehicle": self.dim_vehicle,
+            "dim_route": self.dim_route,
+            "dim_date": self.dim_date,
+            "dim_weather_condition": dims.dim_weather_condition(self.spark),
+            "dim_road_event_type": self.dim_event,
+            "mart_vehicle_performance": self.mart_vehicle_performance(),
+            "mart_route_analytics": self.mart_route_analytics(),
             "mart_fuel_environment": self.mart_fuel_environment(),
             "mart_incidents_safety": self.mart_incidents_safety(),
         }

@@ -59,7 +59,7 @@ for _table in (
 query(lambda lake: dims.vehicles_seen(lake.stg("vehicle_5min")), "vehicles_seen")
 query(lambda lake: dims.join_vehicle_specs(dims.vehicles_seen(lake.stg("vehicle_5min"))), "join_vehicle_specs")
 query(lambda lake: lake.dim_vehicle, "dim_vehicle")
-query(lambda lake: lake.dim_date_of_events, "dim_date")
+query(lambda lake: lake.dim_date, "dim_date")
 
 
 def _with_use(dim: DataFrame, facts: DataFrame, key: str) -> DataFrame:

@@ -31,6 +31,9 @@ LARGE_STATE = {
 }
 
 
+_MADE: set[str] = set()  # scratch folders of the applications this process has run
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in RUNTIME.items():
@@ -49,7 +52,7 @@ def build_session(app: str = "telemetry-lake", master: str | None = None, **conf
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder of ``spark.checkpoint.dir``.
+    """A fresh path in the shared folder of ``spark.checkpoint.dir``, removed when the application ends.
 
     A machine-local folder is used only in local mode, where it is shared by definition.
     """
@@ -59,7 +62,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="telemetry-lake-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    own = f"{base.rstrip('/')}/telemetry-lake-{spark.sparkContext.applicationId}"
+    if own not in _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(own)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _MADE.add(own)
+    return f"{own}/{label}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

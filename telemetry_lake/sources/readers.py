@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 from telemetry_lake.operators.lifecycle import list_files
 
 # fixed values
-MAX_OFFSETS, ALERT_MAX_OFFSETS = 5000, 2000
 TRAINING_DAYS = 30
 RECENT_FILES = 10
 
@@ -19,19 +18,25 @@ def kafka_source(
     spark: SparkSession,
     topic: str,
     servers: str,
-    max_offsets: int = MAX_OFFSETS,
+    max_offsets: int | None = None,
     group: str | None = None,
     starting: str = "latest",
+    fail_on_data_loss: bool = True,
 ) -> DataFrame:
-    """One topic as a stream with the lineage columns (needs the Kafka connector on the classpath)."""
+    """One topic as a stream with the lineage columns (needs the Kafka connector on the classpath).
+
+    Without ``max_offsets`` a trigger takes all there is.  Lost offsets stop the query unless
+    ``fail_on_data_loss`` is off.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
-        "maxOffsetsPerTrigger": str(max_offsets),
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
         "kafka.group.id": group or f"telemetry-lake-{topic}",
     }
+    if max_offsets is not None:
+        options["maxOffsetsPerTrigger"] = str(max_offsets)
     return with_lineage(spark.readStream.format("kafka").options(**options).load())
 
 
@@ -46,8 +51,19 @@ def with_lineage(messages: DataFrame) -> DataFrame:
     )
 
 
+def malformed_messages(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The messages whose value is no JSON object of the schema, as they came, for a sink of their own."""
+    marked = T.StructType([*schema.fields, T.StructField("_broken", T.StringType())])
+    parsed = F.from_json("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+    payload = df.withColumn("_payload", parsed)
+    return payload.where(F.col("_payload").isNull() | F.col("_payload._broken").isNotNull()).drop("_payload")
+
+
 def parse_json_stream(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Flatten the JSON value; partition by arrival time.  A malformed value gives a row of NULLs."""
+    """Flatten the JSON value; partition by arrival time.
+
+    A malformed value gives a row of NULLs here; ``malformed_messages`` has the value itself.
+    """
     arrival = F.col("kafka_timestamp")
     return df.withColumn("payload", F.from_json("value", schema)).select(
         "payload.*",

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from telemetry_lake.operators import cleaning
 from telemetry_lake.schemas import TELEMETRY_DDL, struct_of
-from telemetry_lake.sources.readers import parse_json_stream, with_lineage
+from telemetry_lake.sources.readers import malformed_messages, parse_json_stream, with_lineage
 from tests import fixtures
 from tests.conftest import rows
 
@@ -32,13 +32,13 @@ def test_other_streams(spark):
     ]
     jam = cleaning.clean_traffic(fixtures.traffic(spark)).orderBy("timestamp_unix").collect()
     assert len(jam) == 25
-    assert jam[12].congestion_ratio == pytest.approx(1 - jam[12].current_speed_kmh / 90)
-    assert {(r.gps_lat_bucket, r.gps_lon_bucket) for r in jam} >= {(30.04, 31.24), (30.09, 31.33)}
+    assert jam[12].congestion_ratio == pytest.approx(1 - jam[12].current_speed_kmh / 80)
+    assert {(r.gps_lat_bucket, r.gps_lon_bucket) for r in jam} >= {(29.91, 31.11), (30.07, 31.34)}
     events = by_id(cleaning.clean_road_events(fixtures.road_events(spark)))
-    assert sorted(events) == ["EVT-1", "EVT-2", "EVT-3", "EVT-4", "EVT-8"]
-    assert (events["EVT-8"].latitude, events["EVT-8"].longitude) == (30.5, 32.0)
-    assert {i: e.severity_score for i, e in events.items()} == {"EVT-1": 4, "EVT-2": 1, "EVT-3": 2, "EVT-4": 3, "EVT-8": 1}
-    assert events["EVT-1"].event_time.isoformat().startswith("2024-06-01T12:30")
+    assert sorted(events) == ["R0", "R1", "R2", "R3", "R7"]
+    assert (events["R7"].latitude, events["R7"].longitude) == (30.5, 32.0)
+    assert {i: e.severity_score for i, e in events.items()} == {"R0": 2, "R1": 3, "R2": 1, "R3": 4, "R7": 4}
+    assert events["R0"].event_time.isoformat().startswith("2024-06-01T12:10")
 
 
 def test_missing_readings(spark):
@@ -82,6 +82,7 @@ def test_malformed_json_gives_a_row_of_nulls(spark):
     assert rows(parsed, "vehicle_id", "partition_date", "partition_hour") == [
         ("CAR-1001", "2024-06-01", 12), (None, "2024-06-01", 12),
     ]
+    assert rows(malformed_messages(with_lineage(messages), struct_of(TELEMETRY_DDL)), "value") == [("{oops",)]
 
 
 def test_conform_and_optional_columns(spark):

@@ -292,3 +292,30 @@ def test_file_reports(spark, tmp_path):
     assert lifecycle.expired_partitions(files, F.current_timestamp(), 7).count() == 0
     assert lifecycle.expired_partitions(files, F.current_timestamp() + F.expr("INTERVAL 8 DAYS"), 7).count() == 2
     assert lifecycle.partition_exists(files, "2024-06-01", 9) and not lifecycle.partition_exists(files, "2024-06-01", 10)
+
+
+def test_rounding_has_no_range(spark):
+    """Large values, infinities and NaN come through: nothing wraps, clips or throws."""
+    from telemetry_lake.functions.numeric import round_to
+    from telemetry_lake.plans.output import present
+
+    values = [9.3e9, 5e12, 1e14, float("nan"), float("-inf"), float("inf"), 2.5e-7, -1.0049995, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i INT, v DOUBLE")
+    shown = {r.i: r.v for r in present(df).collect()}
+    rounded = {r.i: r.v for r in df.selectExpr("i", f"{round_to('v', 5)} AS v").collect()}
+    for got in (shown, rounded):
+        assert [got[i] for i in (0, 1, 2)] == pytest.approx([9.3e9, 5e12, 1e14], rel=1e-15)  # the last bit may differ
+        assert [got[i] for i in (4, 5, 8)] == [float("-inf"), float("inf"), None] and got[3] != got[3]
+    assert (shown[6], shown[7], rounded[7]) == (0.0, -1.005, -1.005)
+    half = spark.sql(f"SELECT {round_to('0.125D', 2)} AS a, {round_to('-0.125D', 2)} AS b, {round_to('2.5D', 0)} AS c").first()
+    assert tuple(half) == (0.13, -0.13, 3.0)
+
+
+def test_marts_of_another_year(spark, sf_dir):
+    """The calendar follows the facts."""
+    from telemetry_lake.plans.lake import Lake
+    from telemetry_lake.sources.event_views import read_events
+
+    moved = read_events(spark, sf_dir).withColumn("ts", F.expr("ts + INTERVAL 2 YEARS"))
+    mart = Lake(spark, moved).mart_fuel_environment()
+    assert mart.count() > 0 and mart.where("day_name IS NULL").count() == 0

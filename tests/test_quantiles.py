@@ -16,6 +16,7 @@ def test_same_as_numpy(spark, monkeypatch, rankable):
         "ties": [float(rng.randrange(5)) for _ in range(2100)],
         "wild": [rng.choice([-1e300, 1e-300, 0.0, 1.0, 1e300]) * rng.random() for _ in range(2100)],
         "gaps": [None if rng.random() < 0.5 else rng.gauss(0, 1) for _ in range(2100)],
+        "endless": [rng.choice([float("-inf"), float("inf"), 1.0, 2.0, 3.0, 4.0]) for _ in range(2100)],
         "empty": [None] * 2100,
     }
     df = spark.createDataFrame(list(zip(*data.values())), ", ".join(f"{c} DOUBLE" for c in data))
@@ -26,6 +27,10 @@ def test_same_as_numpy(spark, monkeypatch, rankable):
         for p in probs:
             if not present:
                 assert got[c, p] is None
+            elif c == "endless":
+                place = (len(present) - 1) * p
+                low, high = sorted(present)[int(place)], sorted(present)[-(-int(place * 4) // 4)]
+                assert got[c, p] == low or got[c, p] == high, (c, p)
             else:
                 assert got[c, p] == pytest.approx(float(np.quantile(np.array(present), p)), rel=1e-12), (c, p)
 

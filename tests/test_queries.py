@@ -23,7 +23,7 @@ def test_entry(spark):
 def test_names_agree():
     assert set(SQL) <= set(QUERIES)
     assert {n for n in QUERIES if n not in SQL} == {
-        "storage_usage", "expired_partitions", "train_incident_model", "score_segments", "top20_feature_importance",
+        "train_incident_model", "score_segments", "top20_feature_importance",
     }
 
 

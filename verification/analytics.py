@@ -733,13 +733,16 @@ SQL["check_accepted_values"] = fixed(
 
 def _table_checks() -> str:
     from telemetry_lake.operators.quality import TABLE_CHECKS
-    from verification.layers import MART_FUEL, mart_incidents
+    from verification.layers import MART_FUEL, mart_incidents, mart_route, mart_vehicle
 
     REL["mart_fuel_rows"], REL["mart_incident_rows"] = MART_FUEL, mart_incidents("t_weather_hourly")
+    REL["mart_vehicle_all"], REL["mart_route_all"] = mart_vehicle("t_weather_hourly"), mart_route("t_weather_hourly")
     sources = {
         **{f"stg_{t}": f"t_{t}" for t in ("vehicle_5min", "route_hourly", "fuel_daily", "road_event_summary", "weather_hourly",
                                           "traffic_30min", "incident_summary")},
         "dim_vehicle": "d_vehicle", "mart_fuel_environment": "mart_fuel_rows", "mart_incidents_safety": "mart_incident_rows",
+        "dim_route": "d_route", "dim_date": "d_date", "dim_weather_condition": "d_weather", "dim_road_event_type": "d_event",
+        "mart_vehicle_performance": "mart_vehicle_all", "mart_route_analytics": "mart_route_all",
     }
     rows = []
     for table, relation in sources.items():

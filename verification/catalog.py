@@ -48,7 +48,7 @@ for _t in (
 SQL["vehicles_seen"] = fixed("SELECT * FROM vehicles_seen")
 SQL["join_vehicle_specs"] = fixed("SELECT * EXCLUDE (vehicle_label) FROM d_vehicle")
 SQL["dim_vehicle"] = fixed("SELECT * FROM d_vehicle")
-SQL["dim_date"] = fixed("SELECT * FROM d_date_of_events")
+SQL["dim_date"] = fixed("SELECT * FROM d_date")
 
 
 def _with_use(dim: str, facts: str, key: str) -> str:
@@ -129,3 +129,7 @@ SQL["gold_output_check"] = fixed(
     """SELECT 'fuel_daily' AS "table", CAST(count(DISTINCT partition_date) AS BIGINT) AS files FROM g_fuel_daily WHERE partition_date = '2024-01-10'
 UNION ALL SELECT 'route_hourly', CAST(0 AS BIGINT)"""
 )
+SQL["storage_usage"] = fixed(
+    "SELECT unnest(['gold', 'TOTAL']) AS layer, true AS has_files, true AS has_cost"
+)
+SQL["expired_partitions"] = fixed("SELECT DISTINCT 'fuel_daily' AS \"table\", partition_date FROM g_fuel_daily")

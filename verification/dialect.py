@@ -8,15 +8,12 @@ GUARD = 3
 
 def snap(x: str, digits: int = 6) -> str:
     scale = f"{10**digits}e0"
-    return f"(floor(({x}) * {scale} + 0.5e0) / {scale})"
+    return f"(round_even(({x}) * {scale}, 0) / {scale})"
 
 
 def rnd(x: str, digits: int) -> str:
     """Half away from zero, decided on whole thousandths of the last digit."""
-    step = 10**GUARD
-    fine = f"CAST(floor(({x}) * {10 ** (digits + GUARD)}e0 + 0.5e0) AS BIGINT)"
-    whole = f"CASE WHEN {fine} < 0 THEN -(({step // 2} - {fine}) // {step}) ELSE ({fine} + {step // 2}) // {step} END"
-    return f"({whole} / {10**digits}e0)"
+    return f"(round(round_even(({x}) * {10 ** (digits + GUARD)}e0, 0) / {10**GUARD}e0) / {10**digits}e0)"
 
 
 def clip(x: str, low, high) -> str:

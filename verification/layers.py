@@ -296,9 +296,6 @@ FROM ({source})"""
 
 
 REL["d_date"] = _calendar(
-    "SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-12-31', INTERVAL 1 DAY)) AS DATE) AS date_actual"
-)
-REL["d_date_of_events"] = _calendar(
     "SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS date_actual "
     "FROM (SELECT CAST(min(ts) AS DATE) AS a, CAST(max(ts) AS DATE) AS b FROM events)"
 )
