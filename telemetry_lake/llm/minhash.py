@@ -5,15 +5,17 @@ hashes each.  Every pair of a band of A and one of B is the key of a table: a *
 (a + b) * rows hashes.  Two sets with similarity s meet in a table with chance
 (1 - (1 - s^rows)^a) * (1 - (1 - s^rows)^b): 0.9994 at s = 0.8 with the values below.
 
-Rows of a table that share a key are candidates.  They are never paired off with each other:
+Rows of a table that share a key are candidates.  They are never all paired off with each other:
 
 1. equal sets become one class first (128-bit fingerprint of the sorted set);
-2. in each key's bucket every class is compared with the smallest one, on full sets;
-3. buckets that still hold several components try another member as centre, drawn at random for
-   each bucket, against the members of other components;
-4. for classes of buckets that still hold several components, a prefix filter takes over, which is
-   exact: sets of similarity t or more share one of their n - ceil(t n) + 1 rarest shingles, and
-   pairs of such postings within different components are compared.
+2. classes that share a bucket share its smallest class, the centre.  Centre by centre, the classes it
+   met come together once, with their full sets: each is compared with the centre, and those that are
+   not linked to it with all others of that centre;
+3. a centre that met more than ``BLOCK`` classes is done in two steps: all pairs with the centre first;
+   then, where what it met still belongs to several components, the classes outside the largest one
+   are held against all others, in blocks inside tasks.  Only confirmed links come out.
+
+So every two classes that share a bucket are compared, or already known to be connected.
 
 Buckets are cut by ranges of (key, class), so that one huge bucket is spread over many tasks.
 Components come from alternating large-star and small-star rounds over written edge tables.
@@ -21,7 +23,7 @@ Components come from alternating large-star and small-star rounds over written e
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,9 @@ BANDS_B = 8
 ROWS = 2
 PERCENT = 80
 REMEMBERED = 500_000
+BLOCK = 512
+FILTER_BITS = 26
+SEGMENT_BITS = 7
 SEED = 20240229
 
 
@@ -171,17 +176,50 @@ def spanning(found: DataFrame) -> DataFrame:
     return found.join(true_centre, "key", "left").select("key", "rep", F.coalesce("least", "centre").alias("centre"))
 
 
+def id_bits(ids: DataFrame) -> np.ndarray:
+    """A bit for each hashed id: ``2 ** FILTER_BITS`` bits, however many ids there are.
+
+    The bits are set segment by segment on the executors; the driver gets the segments.
+    """
+    width = 1 << (FILTER_BITS - SEGMENT_BITS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segments: dict[int, np.ndarray] = {}
+        for batch in batches:
+            bits, owner = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for segment in np.unique(owner).tolist():
+                segments.setdefault(segment, np.zeros(width, bool))[bits[owner == segment] & (width - 1)] = True
+        found = [np.packbits(s, bitorder="little").tobytes() for s in segments.values()]
+        yield pa.record_batch([pa.array(list(segments), pa.int64()), pa.array(found, pa.binary())], ["segment", "bits"])
+
+    bit = F.pmod(F.xxhash64("rep"), F.lit(1 << FILTER_BITS))
+    dealt = ids.select(bit.alias("bit")).withColumn("segment", F.shiftright("bit", FILTER_BITS - SEGMENT_BITS))
+    out = np.zeros((1 << SEGMENT_BITS, width // 8), np.uint8)
+    for row in dealt.repartition("segment").mapInArrow(run, "segment long, bits binary").collect():
+        out[row["segment"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.reshape(-1)
+
+
 def shingle_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """rep, shingles (sorted 64-bit hashes as bytes) of the documents in ``ids``."""
+    """rep, shingles (sorted 64-bit hashes as bytes) of the documents in ``ids``, and of a few others.
+
+    Texts are not shuffled: a filter of fixed size (8 MB) lets all wanted documents pass, and some of
+    the rest by chance, which the later joins on ids leave out.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(id_bits(ids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = ShingleHasher(width)
         for batch in batches:
-            found = [hasher.shingles(v.as_py()).tobytes() for v in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(found, pa.binary())], ["rep", "shingles"])
+            bit = batch.column("bit").to_numpy()
+            wanted = np.flatnonzero(sent.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
+            texts = batch.column("text")
+            found = [hasher.shingles(texts[i].as_py()).tobytes() for i in wanted.tolist()]
+            yield pa.record_batch([batch.column("rep").take(pa.array(wanted)), pa.array(found, pa.binary())], ["rep", "shingles"])
 
-    wanted = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(ids, "rep", "left_semi").dropDuplicates(["rep"])
-    return wanted.mapInArrow(run, "rep long, shingles binary")
+    hashed = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").filter("rep IS NOT NULL")
+    hashed = hashed.withColumn("bit", F.pmod(F.xxhash64("rep"), F.lit(1 << FILTER_BITS)))
+    return hashed.mapInArrow(run, "rep long, shingles binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -195,9 +233,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
                     keep.append(False)
                     continue
-                small, large = (a, b) if len(a) < len(b) else (b, a)
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                common = int(np.count_nonzero(large[at] == small))
+                common = overlap(a, b)
                 keep.append(100 * common >= percent * (len(a) + len(b) - common))
             yield pa.record_batch([batch.column("x"), batch.column("y")], ["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
@@ -232,42 +268,124 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component").unionByName(roots)
 
 
-def labelled(rows: DataFrame, parts: DataFrame) -> DataFrame:
-    """The bucket rows with the component of each class, only of buckets with more than one component."""
-    rows = rows.join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    rows = rows.withColumn("component", F.coalesce("component", "rep"))
-    mixed = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"))
-    # A bucket of two has been compared in full.
-    return rows.join(mixed.filter("low < high AND members > 2").select("key", "members"), "key")
+def group_links(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (x, y) among each centre ``x`` and the classes ``y`` it met, at most ``BLOCK`` of them."""
+    members = met.select("x", "y").unionByName(met.select("x", F.col("x").alias("y")).distinct())
+    dealt = members.join(sets.select(F.col("rep").alias("y"), "shingles"), "y")
+
+    def links(centre: int, names: list[int], arrays: list[np.ndarray]) -> list[tuple[int, int]]:
+        core = arrays[names.index(centre)]
+        sizes = np.asarray([len(a) for a in arrays])
+        found, group, minor = [], np.arange(len(names)), []
+        for i, (name, own) in enumerate(zip(names, arrays, strict=True)):
+            if name == centre:
+                group[i] = -1
+                continue
+            common = overlap(core, own)
+            if 100 * common >= percent * (len(core) + len(own) - common):
+                found.append((centre, name))
+                group[i] = -1
+            else:
+                minor.append(i)
+        if not minor or len(names) < 3:
+            return found
+        index = SetIndex([arrays[i] for i in minor])
+        places = np.asarray(minor)
+        for o, name in enumerate(names):
+            if name == centre:
+                continue
+            common = index.overlaps(arrays[o])
+            linked = 100 * common >= percent * (sizes[places] + len(arrays[o]) - common)
+            for i in places[linked]:
+                if group[i] != group[o]:
+                    found.append((names[i], name))
+                    group[group == group[i]] = group[o]
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre, names, arrays, out = None, [], [], []
+        for batch in batches:
+            for x, y, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if x != centre:
+                    out += links(centre, names, arrays) if names else []
+                    centre, names, arrays = x, [], []
+                names.append(y)
+                arrays.append(np.frombuffer(raw.as_py(), np.uint64))
+            yield pa.record_batch([pa.array([e[k] for e in out], pa.int64()) for k in (0, 1)], ["x", "y"])
+            out = []
+        out += links(centre, names, arrays) if names else []
+        yield pa.record_batch([pa.array([e[k] for e in out], pa.int64()) for k in (0, 1)], ["x", "y"])
+
+    return dealt.select("x", "y", "shingles").repartition("x").sortWithinPartitions("x").mapInArrow(run, "x long, y long")
+
+
+def overlap(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values two sorted sets share."""
+    small, large = (a, b) if len(a) < len(b) else (b, a)
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    return int(np.count_nonzero(large[at] == small))
+
+
+class SetIndex:
+    """Sets by value: how much each of them shares with another set."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        values = np.concatenate(sets)
+        order = np.argsort(values, kind="stable")
+        self.values, self.n = values[order], len(sets)
+        self.owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])[order]
+
+    def overlaps(self, other: np.ndarray) -> np.ndarray:
+        low, high = np.searchsorted(self.values, other, "left"), np.searchsorted(self.values, other, "right")
+        hit = high - low
+        at = np.repeat(low - np.r_[0, np.cumsum(hit)[:-1]], hit) + np.arange(hit.sum())
+        return np.bincount(self.owner[at], minlength=self.n)
 
 
-def prefix_pairs(sets: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, y) of different components that share one of the rarest shingles of both.
+def unsettled(met: DataFrame, parts: DataFrame) -> DataFrame:
+    """x, y, component, minor, n_met, n_minor: what centres met, where it lies in several components.
 
-    Shingles are ordered by how many of the sets have them.  A posting list pairs each of its classes
-    with those of other components whose set size allows the similarity.
+    ``minor`` marks classes outside the largest component among those that centre ``x`` met.
     """
+    met = met.join(parts.select(F.col("node").alias("y"), "component"), "y", "left")
+    met = met.withColumn("component", F.coalesce("component", "y"))
+    sizes = met.groupBy("x", "component").agg(F.count(F.lit(1)).alias("n"))
+    major = sizes.groupBy("x").agg(F.max(F.struct("n", "component")).alias("major"), F.sum("n").alias("n_met"))
+    major = major.select("x", "n_met", F.col("major.component").alias("major"), (F.col("n_met") - F.col("major.n")).alias("n_minor"))
+    out = met.join(major.filter("n_minor > 0"), "x")
+    return out.select("x", "y", "component", (F.col("component") != F.col("major")).alias("minor"), "n_met", "n_minor")
 
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rep, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = np.frombuffer(raw.as_buffer(), np.int64)
-                yield pa.record_batch([pa.array(np.full(len(found), rep)), pa.array(found)], ["rep", "shingle"])
-
-    postings = sets.select("rep", "shingles").mapInArrow(explode, "rep long, shingle long")
-    common = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    sized = sets.select("rep", (F.octet_length("shingles") / 8).cast("long").alias("size"))
-    sized = sized.join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    # Shingles of one set alone come first in the order and meet nobody; only the others can take a place.
-    kept = postings.join(common, "shingle")
-    kept = kept.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("shared")).join(sized, "rep")
-    length = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1 - (F.col("size") - F.size("shared"))
-    kept = kept.withColumn("prefix", F.slice("shared", F.lit(1), F.greatest(F.lit(0), length).cast("int")))
-    kept = kept.select("rep", "component", "size", F.explode("prefix").alias("p")).select("rep", "component", "size", F.col("p.shingle").alias("shingle"))
-    left = kept.select("shingle", F.col("rep").alias("x"), F.col("component").alias("cx"), F.col("size").alias("sx"))
-    right = kept.select("shingle", F.col("rep").alias("y"), F.col("component").alias("cy"), F.col("size").alias("sy"))
-    paired = left.join(right, "shingle").filter(f"cx < cy AND 100 * least(sx, sy) >= {percent} * greatest(sx, sy)")
-    return paired.select("x", "y").distinct()
+
+def block_links(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (x, y) between minor classes and classes of other components that the same centre met.
+
+    A centre's classes are cut into blocks of about ``BLOCK``; a task takes one block of minor classes
+    and one of all classes, so its memory does not depend on the size of the group.
+    """
+    blocks = lambda n: F.ceil(F.col(n) / F.lit(BLOCK)).cast("int")
+    own = lambda n: F.pmod(F.xxhash64("y"), blocks(n)).cast("int")
+    every = met.select("x", "y", "component", F.lit(False).alias("asks"), own("n_met").alias("i"), F.explode(F.sequence(F.lit(0), blocks("n_minor") - 1)).alias("j"))
+    asking = met.filter("minor").select("x", "y", "component", F.lit(True).alias("asks"), F.explode(F.sequence(F.lit(0), blocks("n_met") - 1)).alias("i"), own("n_minor").alias("j"))
+    dealt = every.unionByName(asking).join(sets.select(F.col("rep").alias("y"), "shingles"), "y")
+
+    def compare(group: pa.Table) -> pa.Table:
+        asks = group["asks"].to_numpy(zero_copy_only=False).astype(bool)
+        names, labels = group["y"].to_numpy(), group["component"].to_numpy()
+        arrays = [np.frombuffer(v.as_buffer(), np.uint64) for c in group["shingles"].chunks for v in c]
+        asking, others = np.flatnonzero(asks), np.flatnonzero(~asks)
+        found: list[tuple[int, int]] = []
+        if len(asking) and len(others):
+            sizes = np.asarray([len(arrays[q]) for q in asking])
+            index = SetIndex([arrays[q] for q in asking])
+            for o in others:
+                common = index.overlaps(arrays[o])
+                linked = (100 * common >= percent * (sizes + len(arrays[o]) - common)) & (labels[asking] != labels[o])
+                # One link into each other component is enough to join it.
+                best = {labels[asking[q]]: q for q in np.flatnonzero(linked)}
+                found += [(names[asking[q]], names[o]) for q in best.values()]
+        return pa.table([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["x", "y"])
+
+    return dealt.groupBy("x", "i", "j").applyInArrow(compare, "x long, y long").distinct()
 
 
 def near_groups(docs: DataFrame, width: int = 5, percent: int = PERCENT, bands_a: int = BANDS_A, bands_b: int = BANDS_B, rows: int = ROWS) -> DataFrame:
@@ -295,25 +413,18 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = PERCENT, bands_a
 def linked(docs: DataFrame, classes: DataFrame, width: int, percent: int, bands_a: int, bands_b: int) -> DataFrame:
     """node, component over the classes with a confirmed link."""
     usable = classes.filter("rep IS NOT NULL")
-    rows = settle(spanning(settle(buckets(table_keys(usable, bands_a, bands_b)), "buckets")), "candidates")
-    ids = rows.select("rep").distinct()
+    rows = spanning(settle(buckets(table_keys(usable, bands_a, bands_b)), "buckets"))
+    met = settle(rows.filter("rep <> centre").select(F.col("centre").alias("x"), F.col("rep").alias("y")).distinct(), "met")
+    ids = met.select(F.col("x").alias("rep")).unionByName(met.select(F.col("y").alias("rep"))).distinct()
     sets = settle(shingle_sets(docs, ids, width), "sets")
-    pair: Callable[[str], DataFrame] = lambda centre: rows.filter(f"rep <> {centre}").select(F.col(centre).alias("x"), F.col("rep").alias("y")).distinct()
-    edges = settle(confirmed(pair("centre"), sets, percent), "links")
+    met = met.join(met.groupBy("x").agg(F.count(F.lit(1)).alias("n")), "x")
+    edges = settle(group_links(met.filter(f"n <= {BLOCK}"), sets, percent), "links")
+    large = settle(met.filter(f"n > {BLOCK}").select("x", "y"), "large")
+    if large.isEmpty():
+        return settle(components(edges), "components")
+    edges = settle(edges.unionByName(confirmed(large, sets, percent)), "links")
     parts = settle(components(edges), "components")
-
-    open_rows = settle(labelled(rows, parts), "open")
-    if open_rows.isEmpty():
-        return parts
-    drawn = F.min(F.struct(F.xxhash64("key", "rep").alias("turn"), "rep", "component")).alias("drawn")
-    centres = open_rows.groupBy("key").agg(drawn).select("key", F.col("drawn.rep").alias("x"), F.col("drawn.component").alias("cx"))
-    again = open_rows.join(centres, "key").filter("component <> cx").select("x", F.col("rep").alias("y")).distinct()
-    more = confirmed(again, sets, percent)
-    edges = settle(edges.unionByName(more), "links")
-    parts = settle(components(edges), "components")
-
-    rest = settle(labelled(open_rows.select("key", "rep"), parts).select("rep").distinct(), "rest")
+    rest = settle(unsettled(large, parts), "unsettled")
     if rest.isEmpty():
         return parts
-    last = prefix_pairs(sets.join(rest, "rep", "left_semi"), parts, percent)
-    return settle(components(edges.unionByName(confirmed(last, sets, percent))), "components")
+    return settle(components(edges.unionByName(block_links(rest, sets, percent))), "components")
