@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from telemetry_lake.session import settle
+
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-# Ids are counted in blocks of 2^7, blocks of blocks of 2^14, and so on: no counting task holds more
-# than a few hundred rows of one group, however large the group is.
-SHIFTS = (7, 14, 21, 28, 35)
+# Ids are counted in blocks of 2^8, blocks of blocks of 2^20, and so on: no counting task holds more
+# than 2^16 rows of one group, however large the group is.
+SHIFTS = (8, 20, 36)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,8 +39,10 @@ def counts_before(counts: DataFrame, group: Sequence[str], by: str, shifts: Sequ
     """From one row (group, by, n) per value of the long ``by``: ``before``, the sum of n at smaller values.
 
     Values are summed inside blocks of neighbours, block totals inside blocks of blocks, and so on, so
-    that a group with very many values is never sorted in one task.  ``counts`` is read once per level.
+    that a group with very many values is never sorted in one task.  ``counts`` is written once and
+    read once per level.
     """
+    counts = settle(counts, "counts")
     group, before = list(group), None
     steps = (0, *shifts)
     for i, shift in enumerate(steps):
@@ -53,13 +57,13 @@ def counts_before(counts: DataFrame, group: Sequence[str], by: str, shifts: Sequ
         level = level.withColumn(f"_p{i}", F.coalesce(F.sum("n").over(window), F.lit(0))).drop("n")
         before = level if before is None else before.alias("l").join(level.alias("r"), same("l", "r", keys)).select("l.*", f"r._p{i}")
     total = sum((F.col(f"_p{i}") for i in range(1, len(steps))), F.col("_p0"))
-    return before.select(*group, F.col("_b0").alias(by), total.alias("before"))
+    return settle(before.select(*group, F.col("_b0").alias(by), total.alias("before")), "before")
 
 
 def ranked(df: DataFrame, group: Sequence[str], by: str, tie: Sequence[str] = ()) -> DataFrame:
     """Adds ``rank``, the row's number from 1 within ``group`` in the order of the long column ``by``.
 
-    A group may hold most of the rows: rows are numbered inside blocks of 2^7 neighbouring ids, and
+    A group may hold most of the rows: rows are numbered inside blocks of 2^8 neighbouring ids, and
     ``counts_before`` adds what lies before a block.  ``df`` is read several times: pass a settled
     table.  Equal ``by`` is ordered by ``tie``; rows equal in everything take any order.
     """

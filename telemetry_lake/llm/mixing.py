@@ -76,7 +76,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents themselves, each row as often as the mix takes it."""
     copies = mix(docs, **options).groupBy("doc_id", "source").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    copies = copies.filter("_copies > 0")
+    copies = settle(copies.filter("_copies > 0"), "copies")
     joined = docs.alias("l").join(copies.alias("r"), same("l", "r", ["doc_id", "source"])).select("l.*", "r._copies", "r._rows")
     # Repeated rows share their copies; the first of them gets what does not divide evenly.
     single = joined.filter("_rows = 1")

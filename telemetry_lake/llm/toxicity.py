@@ -47,8 +47,9 @@ TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 
 def features(word: str) -> list[int]:
     """Buckets of a lower-case word's features, one per kind; -1 where the word is too short for it."""
-    named = [f"w{word}", *(f"{n}{word[:n]}" if len(word) >= n else "" for n in range(4, 8))]
-    return [zlib.crc32(f.encode("utf-8", "replace")) % BUCKETS if f else -1 for f in named]
+    n = len(word)
+    named = ["w" + word, *[f"{k}{word[:k]}" for k in range(4, min(n, 7) + 1)]]
+    return [zlib.crc32(f.encode("utf-8", "replace")) % BUCKETS for f in named] + [-1] * (len(KINDS) - len(named))
 
 
 def parts_of(token: str) -> list[str]:
@@ -80,12 +81,13 @@ def feature_counts(labelled: DataFrame) -> DataFrame:
     """bucket, toxic, clean: in how many documents of (text, toxic) a feature occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, known = np.zeros((2, BUCKETS), np.int32), Remembered(features)
+        counts = np.zeros((2, BUCKETS), np.int32)
+        known = Remembered(lambda raw: [b for w in parts_of(raw.decode("utf-8", "replace")) for b in features(w) if b >= 0])
         for batch in batches:
             for value, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                words = {w for t in set(tokens_of(value.as_py() or "")) for w in parts_of(t)}
-                found = np.unique(np.fromiter((b for w in words for b in known[w] if b >= 0), np.int64))
-                counts[1 if toxic else 0, found] += 1
+                tokens = set((value.as_py() or "").encode("utf-8", "replace").split())
+                found = {b for t in tokens for b in known[t]}
+                counts[1 if toxic else 0, np.fromiter(found, np.int64, len(found))] += 1
         some = np.flatnonzero(counts.sum(0))
         yield pa.record_batch([pa.array(some), *(pa.array(counts[y, some].astype(np.int64)) for y in (1, 0))], ["bucket", "toxic", "clean"])
 
@@ -102,20 +104,27 @@ class Evidence:
     """
 
     def __init__(self, buckets: np.ndarray, toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int):
-        order = np.argsort(buckets)
-        self.buckets = np.r_[buckets[order], BUCKETS]
-        self.counts = np.c_[np.r_[toxic[order], 0], np.r_[clean[order], 0]].astype(np.float32)
+        self.buckets, self.toxic, self.clean = buckets, toxic, clean
         self.sizes = (n_toxic, n_clean)
+        self.tables: dict[int | None, dict[int, float]] = {}
 
-    def of(self, word: str, own: int | None = None) -> np.ndarray:
-        """``own``: 1 or 0 for a word of a counted toxic or clean document."""
-        found = np.asarray(features(word), np.int64)
-        at = np.searchsorted(self.buckets, found)
-        toxic, clean = self.counts[at, 0] - (own == 1), self.counts[at, 1] - (own == 0)
-        toxic, clean = np.maximum(toxic, 0) + 0.5, np.maximum(clean, 0) + 0.5
-        odds = np.log(toxic / (self.sizes[0] + 1)) - np.log(clean / (self.sizes[1] + 1))
-        sure = np.sign(odds) * np.maximum(np.abs(odds) - ERRORS * np.sqrt(1 / toxic + 1 / clean), 0)
-        return np.where(self.buckets[at] == found, np.minimum(sure, 6.0), 0.0)
+    def __getstate__(self):
+        return self.__dict__ | {"tables": {}}  # worked out again where it is needed
+
+    def table(self, own: int | None) -> dict[int, float]:
+        """Evidence by bucket, where there is any.  ``own``: 1 or 0 for counted toxic or clean documents."""
+        if own not in self.tables:
+            toxic = np.maximum(self.toxic - (own == 1), 0) + 0.5
+            clean = np.maximum(self.clean - (own == 0), 0) + 0.5
+            odds = np.log(toxic / (self.sizes[0] + 1)) - np.log(clean / (self.sizes[1] + 1))
+            sure = np.sign(odds) * np.maximum(np.abs(odds) - ERRORS * np.sqrt(1 / toxic + 1 / clean), 0)
+            some = sure != 0
+            self.tables[own] = dict(zip(self.buckets[some].tolist(), np.minimum(sure[some], 6.0).tolist(), strict=True))
+        return self.tables[own]
+
+    def of(self, word: str, own: int | None = None) -> list[float]:
+        known = self.table(own).get
+        return [known(b, 0.0) for b in features(word)]
 
 
 def windows(labelled: DataFrame, evidence: Evidence) -> DataFrame:
@@ -128,9 +137,9 @@ def windows(labelled: DataFrame, evidence: Evidence) -> DataFrame:
             for value, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 text = value.as_py() or ""
                 words = [own[1 if toxic else 0][w] for t in tokens_of(text) for w in parts_of(t)]
-                marks = [int(bool(toxic) and w.max() > MARKED) for w in words]
+                marks = [int(bool(toxic) and max(w) > MARKED) for w in words]
                 # In clean documents: the words that look toxic and are not.
-                hits = [i for i, w in enumerate(words) if (marks[i] if toxic else w.max() > 0)]
+                hits = [i for i, w in enumerate(words) if (marks[i] if toxic else max(w) > 0)]
                 if not words or toxic and not hits:
                     continue  # nothing known to tag in it
                 spread = np.random.default_rng(zlib.crc32(text.encode("utf-8", "replace")))
@@ -149,12 +158,16 @@ class Model:
     """Weights of the kinds of evidence, a bias, log transition weights; the document's logistic weights."""
 
     def __init__(self, evidence: Evidence, weights: np.ndarray, bias: float, switch: np.ndarray):
-        self.evidence, self.weights, self.bias, self.switch = evidence, weights, float(bias), switch
+        self.evidence, self.weights, self.bias, self.switch = evidence, [float(w) for w in weights], float(bias), switch
         self.document = np.r_[-6.0, np.zeros(4)]
 
     def token_odds(self, token: str, own: int | None = None) -> float:
         """A token of several words is as toxic as its most toxic one; one of no words has the bias."""
-        return self.bias + max((float(self.evidence.of(w, own) @ self.weights) for w in parts_of(token)), default=0.0)
+        known = self.evidence.table(own).get
+        words = parts_of(token)
+        if not words:
+            return self.bias
+        return self.bias + max(sum(w * known(b, 0.0) for w, b in zip(self.weights, features(x), strict=True)) for x in words)
 
     def score(self, node: np.ndarray) -> float:
         return float(1 / (1 + np.exp(-(self.document @ np.r_[1.0, summary(node)]))))
