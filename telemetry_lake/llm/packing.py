@@ -21,12 +21,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from telemetry_lake.llm.bpe_count import byte_symbols
 from telemetry_lake.llm.common import own_columns, ranked
 from telemetry_lake.session import settle
 
 LENGTH = 2048
 END_ID = 1
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 # The vocabulary's own split of a text, from its public description.
@@ -36,34 +37,59 @@ UNUSUAL = re.compile("[^\t\n\r\x20-\x7e¡-ſ‐-‧]")
 
 
 class IdEncoder:
-    """Ids of a text as little-endian 32-bit words, by the library; words are remembered, in bounds."""
+    """Ids of a text as little-endian 32-bit words, by the library; words are remembered, in bounds.
+
+    A text is cut at single spaces, which the vocabulary's split never reaches across: a space goes
+    with the characters after it.  Texts with two spaces in a row, or one at an end, are split whole.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         self.split = regex.compile(PATTERN).findall
-        self.known: dict[str, bytes] = {}
+        self.shown = {b: ord(c) for b, c in enumerate(byte_symbols())}
+        self.of_piece: dict[str, bytes] = {}
+        self.of_word: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         return np.asarray(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def piece(self, piece: str) -> bytes:
+        code = self.of_piece.get(piece)
+        if code is None:
+            shown = piece.encode().decode("latin-1").translate(self.shown)
+            code = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
+            remember(self.of_piece, piece, code)
+        return code
+
+    def word(self, word: str) -> bytes:
+        """Ids of a space and the word after it."""
+        code = b"".join(map(self.piece, self.split(" " + word)))
+        remember(self.of_word, word, code)
+        return code
+
     def ids(self, text: str) -> bytes:
         if "<|" in text or UNUSUAL.search(text):
             return self.encode(text)
-        known, out = self.known, []
-        for piece in self.split(text):
-            code = known.get(piece)
-            if code is None:
-                code = self.encode(piece)
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                if len(piece) < 100:
-                    known[piece] = code
-            out.append(code)
+        if "  " in text or text[:1] == " " or text[-1:] == " ":
+            return b"".join(map(self.piece, self.split(text)))
+        first, *rest = text.split(" ")
+        known, out = self.of_word.get, [b"".join(map(self.piece, self.split(first)))]
+        for word in rest:
+            code = known(word)
+            out.append(self.word(word) if code is None else code)
         return b"".join(out)
 
 
+def remember(known: dict[str, bytes], key: str, code: bytes) -> None:
+    if len(known) >= REMEMBERED:
+        known.clear()
+    if len(key) < 100:
+        known[key] = code
+
+
 def cut_pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
     """Pieces of at most ``length`` ids of each document with ``end_id`` after its last."""
     tail = np.asarray([end_id], "<u4").tobytes()
