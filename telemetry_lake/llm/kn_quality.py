@@ -1,15 +1,13 @@
-"""Quality by perplexity under an interpolated modified Kneser-Ney n-gram model.
-
-Units are characters, lower-cased: the ``SYMBOLS - 1`` most frequent ones of the trusted text, white
-space as one, and one symbol for all others.  So the model has at most SYMBOLS ** ORDER n-grams
-(5.3 million), a proven bound for what is sent to the tasks, while no character of any text is left out.
-
-1. Counts: every task counts the n-grams of its trusted texts in one array; sums by n-gram follow.
-2. Model: lower orders count distinct continuations.  Discounts for counts of one, two, and three or
-   more come from the counts of counts of each order; n-gram tables join their contexts' totals and
-   the next lower order's probabilities on the n-gram, shard by shard.
-3. Scores: the perplexity of each whole text, from the probability of every character.
-4. Thresholds: a quantile of the trusted texts' perplexities in each language.
+"""Quality by perplexity under an interpolated modified Kneser-Ney model of words.
+
+1. Model: word bigrams of the trusted texts, counts, continuations and back-off in tables sharded by
+   hash (``kn_words``).  It grows with the trusted text and knows every script.
+2. Scores: the perplexity of each whole text, from the probability of every word and of its end.
+   Trusted texts are scored without what only they brought into the model.
+3. Thresholds: a quantile of the trusted texts' perplexities in each language.
+
+The character model below (``SYMBOLS`` ** ``ORDER`` n-grams at most, whatever the input) is a building
+block for small alphabets; ``quality`` does not use it.
 """
 
 from __future__ import annotations
@@ -21,7 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from telemetry_lake.llm import kn_words
 from telemetry_lake.llm.common import own_columns, same
+from telemetry_lake.llm.kn_words import discounts
 from telemetry_lake.session import settle
 
 SYMBOLS = 48
@@ -87,17 +87,6 @@ def gram_counts(trusted: DataFrame, alphabet: Alphabet) -> DataFrame:
     return trusted.select("text").mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
 
 
-def discounts(counts: DataFrame) -> list[float]:
-    """Modified Kneser-Ney discounts for counts of one, two, three and more."""
-    n = {r["k"]: r["n"] for r in counts.filter("c <= 4").groupBy(F.col("c").alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    n1, n2, n3, n4 = (n.get(k, 0) for k in (1, 2, 3, 4))
-    if not n1 or not n2 or not n3:
-        return [0.5, 0.75, 0.9]  # too few n-grams to estimate from
-    y = n1 / (n1 + 2 * n2)
-    found = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
-    return [min(max(d, 0.05), k - 0.05) for k, d in enumerate(found, 1)]
-
-
 def model_tables(highest: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
     """By order: the probability of every n-gram seen (gram, p), the back-off weight of every context (gram, g)."""
     orders = {ORDER: highest}
@@ -138,21 +127,14 @@ def log_table(tables: list[tuple[DataFrame, DataFrame]]) -> np.ndarray:
     return np.log(p).astype(np.float32)
 
 
-def perplexities(docs: DataFrame, alphabet: Alphabet, table: np.ndarray) -> DataFrame:
-    """doc_id, lang, n_chars, perplexity (null for empty texts)."""
-    sent = docs.sparkSession.sparkContext.broadcast(table)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, scores = [], []
-            for value in batch.column(2):
-                grams = alphabet.grams(value.as_py() or "")
-                sizes.append(len(grams))
-                scores.append(float(np.exp(-sent.value[grams].mean(dtype=np.float64))) if len(grams) else None)
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(scores, pa.float64())], ["doc_id", "lang", "n_chars", "perplexity"])
-
-    slim = own_columns(docs, "doc_id", "lang", "text").select(F.col("doc_id").cast("long"), "lang", "text")
-    return slim.mapInArrow(run, "doc_id long, lang string, n_chars long, perplexity double")
+def perplexities(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
+    """doc_id, lang, n_chars, trusted, perplexity (null for empty texts)."""
+    trusted = own_columns(docs, "doc_id", "text").join(trusted_ids, "doc_id", "left_semi")
+    values, unknown = kn_words.model(trusted)
+    scored = settle(kn_words.log_likelihoods(docs, values, unknown), "likelihoods")
+    scored = scored.join(trusted_ids.withColumn("trusted", F.lit(True)), "doc_id", "left").withColumn("trusted", F.col("trusted").isNotNull())
+    score = F.when(F.col("trusted"), F.col("outside")).otherwise(F.col("full"))
+    return scored.select("doc_id", "lang", "n_chars", "trusted", F.when(F.col("n_chars") > 0, F.exp(-score / F.col("n"))).alias("perplexity"))
 
 
 def quality(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
@@ -164,11 +146,8 @@ def quality(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
     every threshold is null and every text with a perplexity is kept.  An empty table gives an empty result.
     """
     trusted_ids = trusted_ids.select("doc_id").filter("doc_id IS NOT NULL").distinct()
-    trusted = own_columns(docs, "doc_id", "text").join(trusted_ids, "doc_id", "left_semi")
-    alphabet = Alphabet(frequent_characters(trusted))
-    tables = model_tables(settle(gram_counts(trusted, alphabet), "grams"))
-    scored = settle(perplexities(docs, alphabet, log_table(tables)), "perplexities")
-    known = scored.filter("perplexity IS NOT NULL").join(trusted_ids, "doc_id", "left_semi")
+    scored = settle(perplexities(docs, trusted_ids), "perplexities")
+    known = scored.filter("perplexity IS NOT NULL AND trusted")
     cut = F.percentile_approx("perplexity", QUANTILE, 10_000) * SLACK
     by_lang = known.groupBy("lang").agg(cut.alias("cut"), F.count(F.lit(1)).alias("n")).filter(f"n >= {LEAST_TRUSTED}")
     out = scored.alias("l").join(by_lang.alias("r"), same("l", "r", ["lang"]), "left").select("l.*", "r.cut")
