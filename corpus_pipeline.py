@@ -21,8 +21,11 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines of a source go; documents stay, with their new length."""
-    cleaned = lines.drop_lines(docs)
+    """Boilerplate lines of a source go; documents stay, with their new length.
+
+    Copies of a text count as one page: they are no boilerplate, and near-dedup finds them whole.
+    """
+    cleaned = lines.drop_lines(docs, by_text=True)
     n_chars = F.when(F.col("dropped_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", n_chars).select(*[F.col(f"`{c}`") for c in docs.columns])
 

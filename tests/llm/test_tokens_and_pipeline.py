@@ -161,3 +161,16 @@ def test_stages_on_odd_rows_and_none(spark, odd, empty, sf_dir):
         for _, stage in corpus_pipeline.STAGES:
             out = stage(spark, docs, sf_dir)
             assert out.count() >= 0
+
+
+def test_copies_reach_near_dedup_whole(spark, sf_dir):
+    """One host: a line on most pages, and a text with more copies than the ratio allows."""
+    body = lambda i: "\n".join(f"line {k} of page {i} says something of its own" for k in range(6))
+    rows = [(i, f"menu of the host\n{body(i)}", "en", "h") for i in range(100)] + [(500 + i, body("copied"), "en", "h") for i in range(20)]
+    rows += [(700 + i, rows[0][1], "en", "h") for i in range(20)]  # copies of the page that keeps the menu
+    docs = documents(spark, rows)
+    cleaned = {r.doc_id: r.text for r in corpus_pipeline.line_stage(spark, docs, sf_dir).collect()}
+    assert all(cleaned[500 + i] == body("copied") and cleaned[700 + i] == rows[0][1] for i in range(20))
+    assert cleaned[0] == rows[0][1] and all(cleaned[i] == body(i) for i in range(1, 100))
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup_stage(spark, corpus_pipeline.line_stage(spark, docs, sf_dir), sf_dir).collect()}
+    assert kept == {*range(100), 500}
