@@ -31,9 +31,15 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, on five-word shingles, the document with the smallest id stays."""
-    dropped = minhash.near_groups(docs, width=5).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Of each group of near copies, on five-word shingles, the document with the smallest id stays.
+
+    A document without an id takes part under a number made from its text, at the far end of the longs.
+    """
+    made = F.shiftrightunsigned(F.xxhash64("text"), 2) + F.lit(1 << 62)
+    named = docs.withColumn("_near_id", F.coalesce(F.col("doc_id").cast("long"), made))
+    dropped = minhash.near_groups(named.withColumn("doc_id", F.col("_near_id")), width=5).filter("NOT kept")
+    dropped = dropped.select(F.col("doc_id").alias("_near_id")).distinct()
+    return named.join(dropped, "_near_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -393,15 +393,17 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = PERCENT, bands_a
 
     Words are runs of anything but ASCII white space, A-Z lower-cased.  A text with fewer words than
     ``width`` has its whole sequence as its one shingle; null, empty and blank texts have none and are
-    linked with nothing.  Rows that repeat a doc_id share its component.  Extra columns are ignored; an
+    linked with nothing.  Rows that repeat a doc_id share its component.  A null id joins the group of the
+    other rows with its set, and is not kept there; where only null ids have a set, they stay alone.  Extra columns are ignored; an
     empty table gives an empty result.
     """
     docs = own_columns(docs, "doc_id", "text")
     signed = settle(signatures(docs, width, bands_a, bands_b, rows), "signatures")
     same_set = ["n_shingles", "print_hi", "print_lo"]
     full = signed.filter("n_shingles > 0")
-    classes = full.groupBy(*same_set).agg(F.min(F.struct("doc_id", "bands")).alias("first"))
-    classes = settle(classes.select(*same_set, F.col("first.doc_id").alias("rep"), F.col("first.bands").alias("bands")), "classes")
+    # Bands are equal inside a class; a null id is never its representative while the class has another.
+    classes = full.groupBy(*same_set).agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"))
+    classes = settle(classes, "classes")
     links = linked(docs, classes, width, percent, bands_a, bands_b)
     named = classes.select(*same_set, "rep").join(links.select(F.col("node").alias("rep"), "component"), "rep", "left")
     named = named.select(*same_set, F.coalesce("component", "rep").alias("component"))

@@ -145,3 +145,20 @@ def test_line_counts_of_odd_rows(odd):
 def test_rerun_is_equal(spark, sf_dir):
     first = sorted(map(tuple, QUERIES["op1_minhash_dedup"](spark, sf_dir).collect()))
     assert first == sorted(map(tuple, QUERIES["op1_minhash_dedup"](spark, sf_dir).collect()))
+
+
+def test_a_null_id_among_copies(spark):
+    """A null id shares its text with two rows, and all three are near a fourth."""
+    text = " ".join(f"w{i}" for i in range(100))
+    rows = [(None, text), (7, text), (9, text), (5, text.replace("w50 ", "other ")), (3, "something else altogether")]
+    got = minhash.near_groups(documents(spark, rows), 2).collect()
+    assert sorted((r.doc_id or 0, r.component_id, r.kept) for r in got) == [(0, 5, False), (3, 3, True), (5, 5, True), (7, 5, False), (9, 5, False)]
+
+
+def test_pipeline_drops_a_copy_without_an_id(spark, sf_dir):
+    import corpus_pipeline
+
+    text = " ".join(f"w{i}" for i in range(100))
+    rows = [(None, text), (7, text), (9, text), (None, "nobody has this text but this row alone")]
+    got = corpus_pipeline.near_dedup_stage(spark, documents(spark, rows), sf_dir).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, rows[3][1]), (7, text)]
