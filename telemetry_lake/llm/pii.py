@@ -3,7 +3,8 @@
 Base: e-mail, IP, card and phone patterns give the seed entities.  Then
 
 1. contexts: the two words before an entity, or before any other token that looks like an identifier
-   (five digits or more, or an at sign), are its lexical pattern; together they form a graph whose
+   (five digits or more, or an at sign; a white-space token, or tokens joined where a single space
+   stands between two digits), are its lexical pattern; together they form a graph whose
    nodes are patterns and instances (the identifier's own characters) and whose edges carry counts;
 2. scoring, in rounds: a pattern's confidence for a kind is the share of its occurrences whose
    instance belongs to the kind, weighted by the instances' scores; an instance's score is the best
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from telemetry_lake.llm.common import own_columns
 from telemetry_lake.llm.quality_rules import let
@@ -37,12 +39,11 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # A white-space token that holds a digit or an at sign.
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 
-REACH = 80
+REACHES = (80, 1_300, 21_000)
 ROUNDS = 3
 LEAST_INSTANCES = 5
 CONFIDENCE = 0.7
 LEAST_DIGITS = 5
-LONGEST = 64
 
 
 def running(lengths: Column) -> Column:
@@ -112,10 +113,23 @@ def listed(spans: Column) -> Column:
 
 def pattern_before(text: Column, start: Column) -> Column:
     """The two words before a place, lower-cased and without outer punctuation; null where there are none."""
-    near = F.substr(text, F.greatest(start - REACH + 1, F.lit(1)), F.least(start, F.lit(REACH)))
-    words = F.filter(F.split(F.lower(near), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    cores = F.filter(F.transform(F.slice(words, -F.least(F.size(words), F.lit(2)), F.lit(2)), lambda w: F.regexp_replace(w, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")), lambda w: w != "")
-    return F.when(F.size(words) > 1, let(cores, lambda c: F.when(F.size(c) == 2, F.array_join(c, " "))))
+    split = lambda x: F.filter(F.split(F.lower(x), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    words = split(F.substr(text, F.lit(1), start))
+
+    def within(reach: int, longer: Column) -> Column:
+        # A stretch that starts inside the text may cut its first word; with three words the last two are whole.
+        near = split(F.substr(text, F.greatest(start - reach + 1, F.lit(1)), F.least(start, F.lit(reach))))
+        return let(near, lambda w: F.when((F.size(w) > 2) | (start <= reach), w).otherwise(longer))
+
+    for reach in reversed(REACHES):
+        words = within(reach, words)
+
+    def pattern(w: Column) -> Column:
+        last = F.slice(w, -F.least(F.size(w), F.lit(2)), F.lit(2))
+        cores = F.filter(F.transform(last, lambda x: F.regexp_replace(x, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")), lambda x: x != "")
+        return F.when(F.size(w) > 1, let(cores, lambda c: F.when(F.size(c) == 2, F.array_join(c, " "))))
+
+    return let(words, pattern)
 
 
 def occurrences(marked: DataFrame) -> DataFrame:
@@ -129,14 +143,19 @@ def occurrences(marked: DataFrame) -> DataFrame:
         begin = x["start"] + F.instr(x["value"], inner) - 1
         return F.struct(F.lit(None).cast("string").alias("kind"), begin.alias("start"), (begin + F.length(inner)).alias("end"), inner.alias("value"))
 
-    looks = lambda x: (F.length(x["value"]).between(LEAST_DIGITS, LONGEST)) & (
+    looks = lambda x: (F.length(x["value"]) >= LEAST_DIGITS) & (
         (F.length(digits(x["value"])) >= LEAST_DIGITS) | F.regexp_like(x["value"], F.lit("^[^@]+@[^@]+$"))
     )
-    short = F.filter(found(F.col("text"), TOKEN), lambda x: F.length(x["value"]) <= 2 * LONGEST)
+    # Tokens, and where digits stand on both sides of a single space, what that space joins.
+    spaced = r"(?<=[0-9])\x20(?=[0-9])"
+    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    tokens = F.coalesce(found(F.col("text"), TOKEN), none)
+    joined = F.when(F.regexp_like("text", F.lit(spaced)), found(F.regexp_replace(F.translate("text", JOINT, SPARE), spaced, JOINT), TOKEN))
+    joined = F.filter(F.coalesce(joined, none), lambda x: F.contains(x["value"], F.lit(JOINT)))
     free = lambda x: ~F.exists("seeds", lambda s: (s["start"] < x["end"]) & (x["start"] < s["end"]))
     has = F.regexp_like("text", F.lit("[0-9@]"))
     out = marked.filter(has).select("row", "text", seeds.alias("seeds"))
-    candidates = F.filter(F.transform(short, trimmed), looks)
+    candidates = F.filter(F.transform(F.concat(tokens, joined), trimmed), looks)
     out = out.select("row", "text", "seeds", F.coalesce(candidates, F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>")).alias("c"))
     out = out.select("row", "text", F.explode(F.concat("seeds", F.filter("c", free))).alias("o"))
     instance = F.lower(F.regexp_replace("o.value", r"[^\p{L}\p{N}@]", ""))
@@ -173,12 +192,15 @@ def personal_data(docs: DataFrame) -> DataFrame:
     slim = own_columns(docs, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
     slim = slim.select("doc_id", "text", *[v.alias(k) for k, v in base_spans(F.col("text")).items()])
     # Row numbers are written together with the texts that can matter later, so they never change.
-    keep = F.when(F.regexp_like("text", F.lit(r"[0-9]{3}|@")), F.col("text")).otherwise(F.lit(""))
+    keep = F.when(F.regexp_like("text", F.lit("[0-9@]")), F.col("text")).otherwise(F.lit(""))
     marked = settle(slim.select(F.monotonically_increasing_id().alias("row"), "doc_id", keep.alias("text"), *KINDS), "base")
     seen = settle(occurrences(marked), "occurrences")
     edges = seen.filter("pattern IS NOT NULL").groupBy("pattern", "instance", "kind").agg(F.count(F.lit(1)).alias("n"))
     accepted = scored(settle(edges, "edges")).filter(f"score >= {CONFIDENCE}")
     fresh = seen.filter("kind IS NULL AND pattern IS NOT NULL").select("row", "start", "end", "instance").join(accepted, "instance")
+    # A token may lie inside tokens that a space joins; the longer span holds.
+    earlier = Window.partitionBy("row").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    fresh = fresh.withColumn("covered", F.coalesce(F.max("end").over(earlier) >= F.col("end"), F.lit(False))).filter("NOT covered")
     fresh = fresh.groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("fresh"))
     out = marked.drop("text").join(fresh, "row", "left")
     none = F.array().cast("array<struct<kind:string,start:int,end:int>>")

@@ -146,3 +146,15 @@ def test_personal_data_query_digests(spark, sf_dir):
 
 def test_personal_data_of_nothing(empty):
     assert pii.personal_data(empty).collect() == []
+
+
+def test_discovery_reads_every_text_and_spaced_numbers(spark):
+    """Texts with short digit runs teach and are searched; spaces inside a number and long words do not hide it."""
+    rows = [(i, f"reach the server address 10.{i}.2.3 now") for i in range(12)] + [(50, "reach server address 12-34-56-78 now")]
+    rows += [(100 + i, f"please ring mobile number: +49 {600 + i} 555 {1000 + i} today") for i in range(12)]
+    rows += [(200, "ring mobile number 0170 555 1234, thanks"), (201, f"ring mobile number{'!' * 90} 0170-5551234 thanks"), (202, f"ring mobile number {'01705' * 30} thanks")]
+    got = {r.doc_id: [tuple(x) for x in r.found] for r in pii.personal_data(documents(spark, rows)).collect()}
+    assert got[50] == [("ip", 21, 32)]
+    assert got[200] == [("phone", 19, 32)]
+    assert got[201] == [("phone", 109, 121)]
+    assert got[202] == [("phone", 19, 169)]
