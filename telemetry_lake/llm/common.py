@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+import types
+from collections.abc import Callable, Hashable, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,3 +80,36 @@ def ranked(df: DataFrame, group: Sequence[str], by: str, tie: Sequence[str] = ()
         .select("l.*", (F.col("r.before") + F.col("l._in")).alias("rank"))
         .drop("_block", "_in")
     )
+
+
+class Remembered:
+    """A bounded table in two generations: when the young one is full it becomes the old one.
+
+    What is asked for again moves to the young generation, so frequent keys survive.
+    """
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size // 2, {}, {}
+
+    def get(self, key: Hashable) -> Any:
+        value = self.young.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key: Hashable, value: Any) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
+def per_worker(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once per Python worker process and kept for its later tasks.
+
+    Task functions travel by value and bring their own module globals, so it hangs on a module that
+    stays.  Only the latest key is kept: a worker holds one such thing at a time.
+    """
+    home = sys.modules.setdefault("_telemetry_lake_kept", types.ModuleType("_telemetry_lake_kept"))
+    if getattr(home, "key", None) != key:
+        home.key, home.value = key, make()
+    return home.value

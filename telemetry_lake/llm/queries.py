@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetry_lake.llm import bpe_count, exact, kn_quality, lines, minhash, mixing, packing, pii, quality_rules, toxicity
+from telemetry_lake.llm import (
+    bpe_count, exact, kn_quality, lines, minhash, mixing, negatives, packing, pieces, pii, quality_rules, runs, toxicity,
+)
 from telemetry_lake.llm.common import table
 
 TOKEN_LIMIT = 2048
@@ -77,10 +79,40 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", runs.looped_words().alias("text"))
+    found = runs.periodic_runs(docs)
+    shown = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines_ = F.when(F.size("runs") > 0, F.concat(F.array_join(shown, "\n"), F.lit("\n"))).otherwise("")
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    named = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("top"), lines_.alias("lines"), "collapsed")
+    length = -F.col("top.less")
+    return named.select(
+        "doc_id", "n_runs", F.col("top.start").alias("start"), length.alias("length"), F.col("top.period").alias("period"),
+        F.floor(1000 * length / F.col("top.period")).cast("long").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encoded(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+    return encoded.select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh vector counts as of the next label, so that labels have rows far from their own."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.col("label").cast("long").alias("label"))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", label))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_minhash_dedup, op2_line_dedup, op3_quality_rules, op4_toxicity, op5_mixing, op6_personal_data, op7_token_counts,
-        op8_exact_dedup, op9_quality_classifier, op10_packing,
+        op8_exact_dedup, op9_quality_classifier, op10_packing, op11_periodic_runs, op12_sentence_pieces, op13_hard_negatives,
     )
 }
