@@ -2,37 +2,41 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from telemetry_lake.functions.numeric import ratio, round_to
+from telemetry_lake.operators import ranks
 from telemetry_lake.operators.features import EVENT_FEATURES, feature_columns
+from telemetry_lake.session import settle
 
 # fixed values
 TRAIN_SHARE = 0.8
 ALERT_THRESHOLD = 0.6
 TREES, DEPTH, STEP, ROW_SHARE, COLUMN_SHARE, SEED = 300, 6, 0.05, 0.8, "0.8", 42
+PATIENCE = 30
 LABEL = "will_have_incident"
 
 
-def chronological_split(df: DataFrame, share: float = TRAIN_SHARE, time_col: str = "timestamp") -> DataFrame:
-    """Add ``is_train``: the earliest ``share`` of rows, cut between two moments, never inside one."""
-    per_time = df.groupBy(time_col).agg(F.count(F.lit(1)).alias("n"))  # one row per half hour
-    run = W.partitionBy(F.lit(1)).orderBy(time_col)
-    upto = per_time.select(
-        time_col,
-        F.sum("n").over(run.rowsBetween(W.unboundedPreceding, 0)).alias("upto"),
-        F.sum("n").over(W.partitionBy(F.lit(1))).alias("total"),
-    )
-    cut = upto.where(F.col("upto") > F.floor(F.col("total") * F.lit(share))).select(F.min(time_col)).scalar()
-    return df.withColumn("is_train", F.col(time_col) < cut)
+def chronological_split(
+    df: DataFrame, share: float = TRAIN_SHARE, time_col: str = "timestamp", ties: Sequence[str] = ("segment",)
+) -> DataFrame:
+    """Add ``is_train``: exactly the earliest ``share`` of rows, rounded down.
+
+    Rows of one moment are ordered by ``ties``, so the cut may fall inside a moment that many rows
+    share.  Ranks come from ranges (``ranks``): no task sorts the table.  Missing times come first.
+    """
+    placed = ranks.numbered(df, [time_col, *[c for c in ties if c in df.columns]])
+    train = F.floor(F.lit(share) * df.select(F.count(F.lit(1))).scalar())
+    return placed.withColumn("is_train", F.col("before") < train).drop("before")
 
 
 def class_weight(df: DataFrame, label: str = LABEL, among: Column | None = None) -> DataFrame:
@@ -53,35 +57,88 @@ def one_class_augment(df: DataFrame, label: str = LABEL) -> DataFrame:
     return df.unionByName(mirrored.where(first == last))
 
 
+def round_aucs(model: GBTClassificationModel, held_out: DataFrame, label: str = LABEL) -> list[float]:
+    """AUC on ``held_out`` (features, label) of the ensemble's first tree, first two trees, and so on.
+
+    One pass: a row's leaves give its score after every round, and all rounds are ranked together.
+    """
+    leaves = [
+        [weight * float(v) for v in re.findall(r"Predict: (\S+)", tree)]
+        for weight, tree in zip(model.treeWeights, re.split(r"\n\s*Tree \d+ ", model.toDebugString)[1:], strict=True)
+    ]
+    values = F.from_json(F.lit(json.dumps(leaves)), "array<array<double>>")  # as many numbers as the model has leaves
+    placed = model.copy({model.leafCol: "_leaf"}).transform(held_out.select("features", label))
+    steps = F.transform(vector_to_array("_leaf"), lambda leaf, i: F.element_at(F.element_at(values, i + 1), leaf.cast("int") + 1))
+    upto = F.aggregate(
+        steps,
+        F.array().cast("array<double>"),
+        lambda done, step: F.array_append(done, F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0.0)) + step),
+    )
+    rounds = placed.select(label, F.posexplode(upto).alias("round", "score"))
+    rows = {r["round"]: r.auc for r in ranks.auc(rounds, "score", label, ["round"]).collect()}  # a row per round
+    return [rows.get(i, 0.5) for i in range(len(leaves))]
+
+
+def best_round(scores: Sequence[float], patience: int = PATIENCE) -> tuple[int, bool]:
+    """The first round with the best score, counted from 1, and whether ``patience`` rounds without a better one followed it.
+
+    What comes after those rounds is not looked at: training would have stopped there.
+    """
+    best = 0
+    for i, score in enumerate(scores):
+        if score > scores[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
 def train_incident_model(
     df: DataFrame,
     features: Sequence[str] | None = None,
     *,
     trees: int = TREES,
+    patience: int = PATIENCE,
     depth: int = DEPTH,
     step: float = STEP,
     row_share: float = ROW_SHARE,
     column_share: str = COLUMN_SHARE,
     seed: int = SEED,
 ) -> PipelineModel:
-    """Boosted trees on the earliest rows; the later ones decide when to stop."""
+    """Boosted trees on the earliest rows; the AUC on the later ones decides how many of ``trees`` are kept.
+
+    Trees are grown in stretches of twice the length, since a tree depends only on those before it:
+    the first ``patience + 1`` rounds already decide most trainings.  The model holds the trees up to
+    the best round.
+    """
     features = list(features or feature_columns(df))
     ready = class_weight(chronological_split(one_class_augment(df)), among=F.col("is_train"))
-    ready = ready.select(*features, LABEL, "weight", (~F.col("is_train")).alias("is_validation"))
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    trees_ = GBTClassifier(
-        labelCol=LABEL,
-        featuresCol="features",
-        weightCol="weight",
-        validationIndicatorCol="is_validation",
-        maxIter=trees,
-        maxDepth=depth,
-        stepSize=step,
-        subsamplingRate=row_share,
-        featureSubsetStrategy=column_share,
-        seed=seed,
-    )
-    return Pipeline(stages=[assembler, trees_]).fit(ready)
+    # written once, so that every stretch grows the same trees from the same partitions
+    ready = settle(assembler.transform(ready).select("features", LABEL, "weight", "is_train"), "training")
+    train, held_out = ready.where("is_train"), ready.where("NOT is_train")
+
+    def grown(rounds: int) -> GBTClassificationModel:
+        return GBTClassifier(
+            labelCol=LABEL,
+            featuresCol="features",
+            weightCol="weight",
+            maxIter=rounds,
+            maxDepth=depth,
+            stepSize=step,
+            subsamplingRate=row_share,
+            featureSubsetStrategy=column_share,
+            seed=seed,
+        ).fit(train)
+
+    rounds = min(trees, patience + 1)
+    while True:
+        model = grown(rounds)
+        best, stopped = best_round(round_aucs(model, held_out), patience)
+        if stopped or rounds >= trees:
+            break
+        rounds = min(trees, 2 * rounds)
+    return PipelineModel(stages=[assembler, model if best == rounds else grown(best)])
 
 
 def _probability(df: DataFrame, model: PipelineModel) -> DataFrame:
@@ -108,20 +165,14 @@ def score_segments(df: DataFrame, model: PipelineModel, scored_at, threshold: fl
     )
 
 
-def evaluate(df: DataFrame, model: PipelineModel, threshold: float = ALERT_THRESHOLD, digits: int = 4) -> DataFrame:
-    """One row: AUC (0.5 with one class), precision, recall, F1 at the threshold.
+def evaluate(df: DataFrame, model: PipelineModel, threshold: float = ALERT_THRESHOLD) -> DataFrame:
+    """One row: the metrics of ``score_metrics`` for the model's probabilities on ``df``."""
+    return score_metrics(_probability(df, model), "probability", LABEL, threshold)
 
-    The AUC counts, over the probabilities on a 10^-digits grid, the positives ranked above the
-    negatives; the grid bounds the running sum to 10^digits + 1 rows however many rows are scored.
-    """
-    scored = _probability(df, model).select(F.col(LABEL).alias("y"), F.col("probability").alias("p"))
-    per_score = scored.groupBy(F.expr(round_to("p", digits)).alias("score")).agg(
-        F.count(F.when(F.col("y") == 1, 1)).alias("pos"), F.count(F.when(F.col("y") == 0, 1)).alias("neg")
-    )
-    below = F.coalesce(F.sum("neg").over(W.partitionBy(F.lit(1)).orderBy("score").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    area = per_score.withColumn("wins", F.col("pos") * (below + F.col("neg") / 2)).agg(
-        F.expr(f"coalesce({ratio('sum(wins)', 'sum(pos) * sum(neg)')}, 0.5D)").alias("auc")
-    )
+
+def score_metrics(scored: DataFrame, score: str = "probability", label: str = LABEL, threshold: float = ALERT_THRESHOLD) -> DataFrame:
+    """One row: rows, exact AUC (0.5 with one class), precision, recall, F1 at the threshold (0 where undefined)."""
+    scored = scored.select(F.col(label).alias("y"), F.col(score).alias("p"))
     hit, actual = F.col("p") >= threshold, F.col("y") == 1
     counts = scored.agg(
         F.count(F.when(hit & actual, 1)).alias("tp"),
@@ -129,9 +180,10 @@ def evaluate(df: DataFrame, model: PipelineModel, threshold: float = ALERT_THRES
         F.count(F.when(~hit & actual, 1)).alias("fn"),
         F.count(F.lit(1)).alias("rows"),
     )
+    area = F.coalesce(ranks.auc(scored, "p", "y").select("auc").scalar(), F.lit(0.5))
     return counts.select(
         "rows",
-        area.scalar().alias("auc"),
+        area.alias("auc"),
         F.expr(f"coalesce({ratio('tp', 'tp + fp')}, 0D)").alias("precision"),
         F.expr(f"coalesce({ratio('tp', 'tp + fn')}, 0D)").alias("recall"),
         F.expr(f"coalesce({ratio('2 * tp', '2 * tp + fp + fn')}, 0D)").alias("f1"),

@@ -21,8 +21,6 @@ from telemetry_lake.sources.event_views import read_events
 from telemetry_lake.sources.readers import file_stream_source, read_partition, with_lineage
 from telemetry_lake.streaming import jobs
 
-MODEL_TREES = 20  # the library default is 300; the query shows the path, not the best model
-
 
 def _streamed(spark: SparkSession, sf_dir: str) -> Lake:
     """The lake over the events file read as a stream."""
@@ -138,7 +136,7 @@ _job(
 
 def _trained(spark: SparkSession, sf_dir: str):
     table = settle(Lake.from_events(spark, sf_dir).features, "training")
-    return table, model.train_incident_model(table, trees=MODEL_TREES)
+    return table, model.train_incident_model(table)
 
 
 def _train(spark: SparkSession, sf_dir: str) -> DataFrame:

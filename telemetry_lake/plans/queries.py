@@ -312,9 +312,7 @@ query(
     "top_explained",
 )
 query(
-    lambda lake: recommend.alerts_without_recommendation(
-        lake.predictions, recommend.recommendations(lake.predictions.where(F.col("weather_risk") < 0.4))
-    ),
+    lambda lake: recommend.alerts_without_recommendation(lake.predictions, recommend.recommendations(lake.predictions)),
     "alerts_without_recommendation",
 )
 
@@ -428,6 +426,13 @@ query(
     "one_class_augment",
 )
 
+query(
+    lambda lake: model.score_metrics(
+        lake.predictions.withColumn("will_have_incident", (F.col("active_events") > 0).cast("int")), "alert_prob"
+    ),
+    "evaluate",
+)
+
 # --- quality -------------------------------------------------------------------------------
 query(lambda lake: lake.checks(), "run_checks")
 query(lambda lake: quality.check_not_null(lake.stg("vehicle_5min"), "avg_fuel_level_pct", "stg_vehicle_5min"), "check_not_null")

