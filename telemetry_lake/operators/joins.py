@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from types import MappingProxyType
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,36 +19,104 @@ CELL_HOUR = ("gps_lat_bucket", "gps_lon_bucket", "join_hour")
 def join_weather_impact(telemetry: DataFrame, weather: DataFrame) -> DataFrame:
     """Every reading with every weather observation of its hour.
 
-    Observations grow with time and places, so no broadcast is forced; AQE decides from their size.
+    The pairs of an hour are its readings times its observations: for aggregates take
+    ``FactorisedJoin.aggregate`` instead, as ``weather_impact`` and ``weather_exposure`` do.
     """
-    hourly = weather.select(hour_of(F.col("event_time")).alias("join_hour"), *WEATHER_COLUMNS)
-    return telemetry.withColumn("join_hour", hour_of(F.col("event_time"))).join(hourly, "join_hour", "left")
+    return _hours(telemetry, weather).pairs()
+
+
+class FactorisedJoin:
+    """The left join of two tables on keys that repeat on both sides, kept as its two factors.
+
+    Within a key the join holds every pair of a left and a right row.  Nothing here forms those pairs:
+    ``aggregate`` shrinks each side to one row per key and group first, and a left row then counts as
+    often as the right side has rows for its key, and the other way round.  Its cost follows the rows of
+    the inputs and the number of distinct groups, not the pairs.  ``pairs`` is the join itself.
+    """
+
+    def __init__(self, left: DataFrame, right: DataFrame, on: Sequence[str]):
+        self.left, self.right, self.on = left, right, list(on)
+
+    def pairs(self) -> DataFrame:
+        return self.left.join(self.right, self.on, "left")
+
+    def aggregate(
+        self,
+        left_keys: Sequence[str] = (),
+        right_keys: Sequence[str] = (),
+        left: Mapping[str, tuple[str, str]] = MappingProxyType({}),
+        right: Mapping[str, tuple[str, str]] = MappingProxyType({}),
+        pairs: str | None = None,
+        per_key: bool = False,
+    ) -> DataFrame:
+        """Groups of ``pairs()`` by the keys of either side (and by ``on`` with ``per_key``).
+
+        ``left`` and ``right`` name measures as ``{name: (kind, column)}`` with kind sum, count, avg, min
+        or max; ``pairs`` names the number of joined rows.  A left row without a partner is one joined
+        row whose right columns are NULL.
+        """
+        sides = []
+        for frame, keys, measures, tag in ((self.left, left_keys, left, "l"), (self.right, right_keys, right, "r")):
+            held = [F.count(F.lit(1)).alias(f"_{tag}n")]
+            for name, (kind, column) in measures.items():
+                if kind in ("sum", "avg"):
+                    held.append(F.sum(column).alias(f"_{tag}s_{name}"))
+                if kind in ("count", "avg"):
+                    held.append(F.count(column).alias(f"_{tag}c_{name}"))
+                if kind in ("min", "max"):
+                    held.append((F.min if kind == "min" else F.max)(column).alias(f"_{tag}m_{name}"))
+            sides.append(frame.groupBy(*self.on, *keys).agg(*held))
+        joined = sides[0].join(sides[1], self.on, "left")
+        times = {"l": F.coalesce("_rn", F.lit(1)), "r": F.col("_ln")}
+        out = []
+        for measures, tag in ((left, "l"), (right, "r")):
+            for name, (kind, _) in measures.items():
+                total, counted = F.sum(F.col(f"_{tag}s_{name}") * times[tag]), F.sum(F.col(f"_{tag}c_{name}") * times[tag])
+                out.append(
+                    {
+                        "sum": lambda: total,
+                        "count": lambda: F.coalesce(counted, F.lit(0)),
+                        "avg": lambda: total / F.nullif(counted, F.lit(0)),
+                        "min": lambda: F.min(f"_{tag}m_{name}"),
+                        "max": lambda: F.max(f"_{tag}m_{name}"),
+                    }[kind]().alias(name)
+                )
+        if pairs:
+            out.append(F.sum(F.col("_ln") * times["l"]).alias(pairs))
+        return joined.groupBy(*(self.on if per_key else ()), *left_keys, *right_keys).agg(*out)
+
+
+def _hours(telemetry: DataFrame, weather: DataFrame) -> FactorisedJoin:
+    return FactorisedJoin(
+        telemetry.withColumn("join_hour", hour_of(F.col("event_time"))),
+        weather.select(hour_of(F.col("event_time")).alias("join_hour"), *WEATHER_COLUMNS),
+        ["join_hour"],
+    )
 
 
 def weather_impact(telemetry: DataFrame, weather: DataFrame) -> DataFrame:
     """Hour x condition x route: mean speed, events, speed lost to the weather.
 
-    Same result as grouping ``join_weather_impact``, without building it: readings are summed per
-    hour and route and observations counted per hour and condition first, and each pair of those
-    few rows stands for sum x count joined rows.
+    Same result as grouping ``join_weather_impact``, without building it.
     """
-    speed = F.col("speed_kmh")
-    readings = telemetry.groupBy(hour_of(F.col("event_time")).alias("join_hour"), "route_name").agg(
-        F.sum(speed).alias("speed_sum"), F.count(speed).alias("speeds"), F.count(F.lit(1)).alias("readings")
-    )
-    observed = weather.groupBy(hour_of(F.col("event_time")).alias("join_hour"), "condition").agg(
-        F.count(F.lit(1)).alias("observations"), F.max("speed_factor").alias("speed_factor")
-    )
-    joined = readings.join(observed, "join_hour", "left")
-    return joined.select(
-        "join_hour",
-        "condition",
-        "route_name",
-        (F.col("speed_sum") / F.nullif(F.col("speeds"), F.lit(0))).alias("avg_speed_kmh"),
-        (F.col("readings") * F.coalesce("observations", F.lit(1))).alias("event_count"),
-        "speed_factor",
+    grouped = _hours(telemetry, weather).aggregate(
+        ["route_name"], ["condition"], {"avg_speed_kmh": ("avg", "speed_kmh")}, {"speed_factor": ("max", "speed_factor")},
+        pairs="event_count", per_key=True,
+    )
+    return grouped.select(
+        "join_hour", "condition", "route_name", "avg_speed_kmh", "event_count", "speed_factor",
         F.expr(round_to("(1D - speed_factor) * 100", 1)).alias("speed_loss_pct"),
-    )
+    )
+
+
+def weather_exposure(telemetry: DataFrame, weather: DataFrame) -> DataFrame:
+    """Route x condition over all hours: what its readings met, and how they drove in it."""
+    return _hours(telemetry, weather).aggregate(
+        ["route_name"], ["condition"],
+        {"avg_speed_kmh": ("avg", "speed_kmh"), "max_speed_kmh": ("max", "speed_kmh"), "fuel_l": ("sum", "fuel_consumed_l")},
+        {"avg_temp_c": ("avg", "temp_c"), "max_wind_kmh": ("max", "wind_kmh"), "min_visibility_km": ("min", "visibility_km")},
+        pairs="pairs",
+    )
 
 
 def _traffic_cells(traffic: DataFrame) -> DataFrame:

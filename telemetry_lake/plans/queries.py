@@ -179,14 +179,22 @@ query(
 # --- aggregates and joins ------------------------------------------------------------------
 query(lambda lake: joins.weather_impact(lake.telemetry, lake.weather), "weather_impact")
 query(lambda lake: joins.congestion_hotspots(lake.telemetry, lake.traffic), "congestion_hotspots")
-query(lambda lake: _counts(joins.join_weather_impact(lake.telemetry, lake.weather), "condition", "route_name"), "join_weather_impact")
+query(lambda lake: joins.weather_exposure(lake.telemetry, lake.weather), "weather_exposure")
 query(
-    lambda lake: _counts(
-        joins.join_hotspots(lake.telemetry, lake.traffic).withColumn("matched", F.col("avg_congestion_ratio").isNotNull()),
-        "matched", "vehicle_type",
+    lambda lake: joins.join_weather_impact(lake.telemetry, lake.weather)
+    .groupBy("condition", "route_name")
+    .agg(
+        F.count(F.lit(1)).alias("rows"), F.avg("speed_kmh").alias("avg_speed_kmh"), F.avg("temp_c").alias("avg_temp_c"),
+        F.max("wind_kmh").alias("max_wind_kmh"),
     ),
-    "join_hotspots",
+    "join_weather_impact",
 )
+query(
+    lambda lake: joins.join_hotspots(lake.telemetry, lake.traffic).select(
+        "event_id", "join_hour", "gps_lat_bucket", "gps_lon_bucket", "avg_congestion_ratio", "traffic_speed_kmh"
+    ),
+    "join_hotspots",
+)
 query(
     lambda lake: marts.join_vehicle_dim(lake.stg("vehicle_5min"), lake.dim_vehicle).select(
         "vehicle_id", "window_start", "vehicle_label", "tank_size_l", "fuel_base_l100km", "mass_kg"

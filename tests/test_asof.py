@@ -58,3 +58,32 @@ def test_a_third_of_the_rows_at_one_moment(spark):
     got = asof_nearest(left, right, "t", 600)
     assert got.count() == 3000
     assert got.where("v = 7").count() == 1000 + sum(1 for i in range(3000) if i % 3 and i <= 600)
+
+
+def test_one_dense_series_over_many_ranges(spark):
+    """Ties, gaps longer than the tolerance, ranges without a partner; no range over twice the median."""
+    from pyspark.sql import functions as F
+
+    from telemetry_lake.operators import asof
+
+    rng = random.Random(7)
+    second = lambda s: F.timestamp_seconds(F.lit(1704067200) + s)
+    left_s = [rng.randrange(3000) for _ in range(2500)] + [rng.randrange(20_000, 20_400) for _ in range(500)]
+    right_s = sorted({rng.randrange(3000) for _ in range(400)} | {rng.randrange(20_390, 20_400) for _ in range(5)})
+    left = spark.createDataFrame(list(enumerate(left_s)), "i INT, s INT").select("i", second(F.col("s")).alias("t"))
+    right = spark.createDataFrame([(s,) for s in right_s], "s INT").select(second(F.col("s")).alias("t"), F.col("s").alias("v"))
+    for tolerance in (7200, 30, 1):
+        got = {r.i: r.v for r in asof_nearest(left, right, "t", tolerance).collect()}
+        for i, s in enumerate(left_s):
+            best = min(((abs(v - s), v) for v in right_s), default=None)
+            assert got[i] == (best[1] if best[0] <= tolerance else None), (i, s, tolerance)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        many = spark.range(40_000).select((F.col("id") * 1000).alias("_at"))
+        some = spark.range(40_000).select((F.col("id") * 997).alias("_at")).withColumn("_row", F.struct(F.col("_at").alias("at")))
+        sizes = sorted(r["count"] for r in asof.by_range(many, some).groupBy("_range").count().collect())
+    finally:
+        spark.conf.set(key, before)
+    assert len(sizes) >= 3 and sizes[-1] <= 2 * sizes[len(sizes) // 2]

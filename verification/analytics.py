@@ -116,12 +116,21 @@ SQL["congestion_hotspots"] = fixed(
     "congestion_ratio vehicle_avg_speed_kmh traffic_speed_kmh",
 )
 SQL["join_weather_impact"] = fixed(
-    "SELECT w.condition, t.route_name, count(*) AS rows FROM tel_hour t LEFT JOIN wx_hour w USING (join_hour) GROUP BY 1, 2"
+    """SELECT w.condition, t.route_name, count(*) AS rows, avg(t.speed_kmh) AS avg_speed_kmh, avg(w.temp_c) AS avg_temp_c, max(w.wind_kmh) AS max_wind_kmh
+FROM tel_hour t LEFT JOIN wx_hour w USING (join_hour) GROUP BY 1, 2""",
+    "avg_speed_kmh avg_temp_c max_wind_kmh",
+)
+SQL["weather_exposure"] = fixed(
+    """SELECT t.route_name, w.condition, avg(t.speed_kmh) AS avg_speed_kmh, max(t.speed_kmh) AS max_speed_kmh, sum(t.fuel_consumed_l) AS fuel_l,
+  avg(w.temp_c) AS avg_temp_c, max(w.wind_kmh) AS max_wind_kmh, min(w.visibility_km) AS min_visibility_km, count(*) AS pairs
+FROM tel_hour t LEFT JOIN wx_hour w USING (join_hour) GROUP BY 1, 2""",
+    "avg_speed_kmh max_speed_kmh fuel_l avg_temp_c max_wind_kmh min_visibility_km",
 )
 SQL["join_hotspots"] = fixed(
-    """SELECT c.avg_congestion_ratio IS NOT NULL AS matched, t.vehicle_type, count(*) AS rows
+    """SELECT t.event_id, t.join_hour, t.gps_lat_bucket, t.gps_lon_bucket, c.avg_congestion_ratio, c.traffic_speed_kmh
 FROM tel_hour t LEFT JOIN cells c ON t.join_hour = c.join_hour AND t.gps_lat_bucket = c.gps_lat_bucket
-  AND t.gps_lon_bucket = c.gps_lon_bucket GROUP BY 1, 2"""
+  AND t.gps_lon_bucket = c.gps_lon_bucket""",
+    "avg_congestion_ratio traffic_speed_kmh",
 )
 SQL["join_vehicle_dim"] = fixed(
     """SELECT f.vehicle_id, f.window_start, v.vehicle_label, v.tank_size_l, v.fuel_base_l100km, v.mass_kg
