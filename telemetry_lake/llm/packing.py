@@ -22,12 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telemetry_lake.llm.bpe_count import byte_symbols
-from telemetry_lake.llm.common import own_columns, ranked
+from telemetry_lake.llm.common import Remembered, own_columns, per_worker, ranked
 from telemetry_lake.session import settle
 
 LENGTH = 2048
 END_ID = 1
-REMEMBERED = 400_000
+LONG = 100  # characters; longer words are encoded each time
+PIECES_KEPT, WORDS_KEPT = 200_000, 1_000_000  # in tables of each Python worker
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 # The vocabulary's own split of a text, from its public description.
@@ -50,8 +51,7 @@ class IdEncoder:
         self.model = self.library.model
         self.split = regex.compile(PATTERN).findall
         self.shown = {b: ord(c) for b, c in enumerate(byte_symbols())}
-        self.of_piece: dict[str, bytes] = {}
-        self.of_word: dict[str, bytes] = {}
+        self.of_piece, self.of_word = Remembered(PIECES_KEPT), Remembered(WORDS_KEPT)
 
     def encode(self, text: str) -> bytes:
         return np.asarray(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -61,13 +61,15 @@ class IdEncoder:
         if code is None:
             shown = piece.encode().decode("latin-1").translate(self.shown)
             code = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
-            remember(self.of_piece, piece, code)
+            if len(piece) < LONG:
+                self.of_piece.put(piece, code)
         return code
 
     def word(self, word: str) -> bytes:
         """Ids of a space and the word after it."""
         code = b"".join(map(self.piece, self.split(" " + word)))
-        remember(self.of_word, word, code)
+        if len(word) < LONG:
+            self.of_word.put(word, code)
         return code
 
     def ids(self, text: str) -> bytes:
@@ -76,28 +78,20 @@ class IdEncoder:
         if "  " in text or text[:1] == " " or text[-1:] == " ":
             return b"".join(map(self.piece, self.split(text)))
         first, *rest = text.split(" ")
-        known, out = self.of_word.get, [b"".join(map(self.piece, self.split(first)))]
+        young, known = self.of_word.young.get, self.of_word.get
+        out = [b"".join(map(self.piece, self.split(first)))]
         for word in rest:
-            code = known(word)
-            out.append(self.word(word) if code is None else code)
+            out.append(young(word) or known(word) or self.word(word))
         return b"".join(out)
 
 
-def remember(known: dict[str, bytes], key: str, code: bytes) -> None:
-    if len(known) >= REMEMBERED:
-        known.clear()
-    if len(key) < 100:
-        known[key] = code
-
-
 def cut_pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
     """Pieces of at most ``length`` ids of each document with ``end_id`` after its last."""
     tail = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
+        encoder = per_worker(("packing", vocabulary), lambda: IdEncoder(vocabulary))
         for batch in batches:
-            encoder = encoder or IdEncoder(vocabulary)
             rows: list[list] = [[], [], [], [], []]
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = encoder.ids(value.as_py() or "") + tail
@@ -163,8 +157,9 @@ def slots(patterns: list[tuple[int, list[int]]]) -> np.ndarray:
 def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset: one row per piece.
 
-    A null or empty text is one piece with the end id alone.  Repeated rows are documents of their
-    own.  An empty table gives an empty result.
+    A null or empty text is one piece with the end id alone.  Repeated rows and null ids are documents
+    of their own; pieces of one length and id take their slots in any order.  Other columns are not
+    looked at.  An empty table gives an empty result.
     """
     pieces = settle(cut_pieces(docs, vocabulary, length, end_id), "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
