@@ -1,8 +1,8 @@
 """Toxic spans by a linear-chain conditional random field.
 
 1. Evidence.  For every feature of a word (the word, its first 4 to 7 letters) the labelled
-   documents that have it are counted, toxic and clean apart.  The counts cover all labelled training
-   rows and fit a table of fixed size (features are hashed).  A feature's evidence is its log odds
+   documents that have it are counted, toxic and clean apart.  The counts cover the whole texts of at
+   most ``LABELLED_DOCS`` labelled ids a class and fit a table of fixed size (features are hashed).  A feature's evidence is its log odds
    moved towards zero by some standard errors, so that a few chance meetings weigh nothing.
 2. Token labels.  In a toxic document the words with strong evidence are labelled toxic, all other
    words of all documents clean.
@@ -21,19 +21,24 @@ Labels are the only supervision; lang, source and doc_id are never looked at whe
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from telemetry_lake.llm.common import own_columns
+from telemetry_lake.llm.common import own_columns, per_worker
+from telemetry_lake.session import settle
 
 BUCKETS = 1 << 22
-SAMPLE_DOCS = 1500
+LABELLED_DOCS = 20_000  # ids a class that the evidence is counted in
+SAMPLE_DOCS = 1500  # ids a class that the weights are fitted to
 WINDOW = 24
 WINDOWS_PER_DOC = 4
 ROUNDS = 120
@@ -78,18 +83,20 @@ class Remembered(dict):
 
 
 def feature_counts(labelled: DataFrame) -> DataFrame:
-    """bucket, toxic, clean: in how many documents of (text, toxic) a feature occurs."""
+    """bucket, toxic, clean: in how many documents of (text, toxic) a feature occurs; all documents at bucket -1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, BUCKETS), np.int32)
+        counts = np.zeros((2, BUCKETS + 1), np.int32)
         known = Remembered(lambda raw: [b for w in parts_of(raw.decode("utf-8", "replace")) for b in features(w) if b >= 0])
         for batch in batches:
             for value, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 tokens = set((value.as_py() or "").encode("utf-8", "replace").split())
                 found = {b for t in tokens for b in known[t]}
-                counts[1 if toxic else 0, np.fromiter(found, np.int64, len(found))] += 1
+                found.add(BUCKETS)
+                counts[1 if toxic > 0 else 0, np.fromiter(found, np.int64, len(found))] += 1
         some = np.flatnonzero(counts.sum(0))
-        yield pa.record_batch([pa.array(some), *(pa.array(counts[y, some].astype(np.int64)) for y in (1, 0))], ["bucket", "toxic", "clean"])
+        shown = np.where(some == BUCKETS, -1, some)
+        yield pa.record_batch([pa.array(shown), *(pa.array(counts[y, some].astype(np.int64)) for y in (1, 0))], ["bucket", "toxic", "clean"])
 
     summed = labelled.select("text", "toxic").mapInArrow(run, "bucket long, toxic long, clean long")
     return summed.groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -104,27 +111,28 @@ class Evidence:
     """
 
     def __init__(self, buckets: np.ndarray, toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int):
-        self.buckets, self.toxic, self.clean = buckets, toxic, clean
+        self.buckets, self.toxic, self.clean = (x.astype(np.int32) for x in (buckets, toxic, clean))
         self.sizes = (n_toxic, n_clean)
-        self.tables: dict[int | None, dict[int, float]] = {}
+        self.tables: dict[int | None, array] = {}
 
     def __getstate__(self):
         return self.__dict__ | {"tables": {}}  # worked out again where it is needed
 
-    def table(self, own: int | None) -> dict[int, float]:
-        """Evidence by bucket, where there is any.  ``own``: 1 or 0 for counted toxic or clean documents."""
+    def table(self, own: int | None) -> array:
+        """Evidence by bucket, 4 bytes each; 0 at place -1.  ``own``: 1 or 0 for counted toxic or clean documents."""
         if own not in self.tables:
             toxic = np.maximum(self.toxic - (own == 1), 0) + 0.5
             clean = np.maximum(self.clean - (own == 0), 0) + 0.5
             odds = np.log(toxic / (self.sizes[0] + 1)) - np.log(clean / (self.sizes[1] + 1))
             sure = np.sign(odds) * np.maximum(np.abs(odds) - ERRORS * np.sqrt(1 / toxic + 1 / clean), 0)
-            some = sure != 0
-            self.tables[own] = dict(zip(self.buckets[some].tolist(), np.minimum(sure[some], 6.0).tolist(), strict=True))
+            dense = np.zeros(BUCKETS + 1, np.float32)
+            dense[self.buckets] = np.minimum(sure, 6.0)
+            self.tables[own] = array("f", dense.tobytes())
         return self.tables[own]
 
     def of(self, word: str, own: int | None = None) -> list[float]:
-        known = self.table(own).get
-        return [known(b, 0.0) for b in features(word)]
+        known = self.table(own)
+        return [known[b] for b in features(word)]
 
 
 def windows(labelled: DataFrame, evidence: Evidence) -> DataFrame:
@@ -160,14 +168,15 @@ class Model:
     def __init__(self, evidence: Evidence, weights: np.ndarray, bias: float, switch: np.ndarray):
         self.evidence, self.weights, self.bias, self.switch = evidence, [float(w) for w in weights], float(bias), switch
         self.document = np.r_[-6.0, np.zeros(4)]
+        self.name = uuid.uuid4().hex
 
     def token_odds(self, token: str, own: int | None = None) -> float:
         """A token of several words is as toxic as its most toxic one; one of no words has the bias."""
-        known = self.evidence.table(own).get
+        known = self.evidence.table(own)
         words = parts_of(token)
         if not words:
             return self.bias
-        return self.bias + max(sum(w * known(b, 0.0) for w, b in zip(self.weights, features(x), strict=True)) for x in words)
+        return self.bias + max(sum(w * known[b] for w, b in zip(self.weights, features(x), strict=True)) for x in words)
 
     def score(self, node: np.ndarray) -> float:
         return float(1 / (1 + np.exp(-(self.document @ np.r_[1.0, summary(node)]))))
@@ -296,29 +305,43 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Learn from the labelled rows that are not held out.
+def chosen_labels(labels: DataFrame, most: int = LABELLED_DOCS) -> tuple[DataFrame, float]:
+    """doc_id, toxic: at most ``most`` labelled, not held out ids of each class, by a hash of the id.  And the toxic share of all.
 
-    A document without a label, or with a null one, is not learned from; one with several labels
-    counts as toxic if any says so.  Without labelled rows every score is low.
+    An id with a null label is not learned from; one with several labels counts as toxic if any says so.
     """
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.filter(~F.coalesce(held_out(), F.lit(True)))
-    labelled = own_columns(docs, "doc_id", "text").join(known, "doc_id")
-    totals = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    toxic, clean = sum(n for y, n in totals.items() if y > 0), sum(n for y, n in totals.items() if y <= 0)
+    share = known.agg(F.avg((F.col("toxic") > 0).cast("double"))).first()[0] or 0.0
+    classes = [known.filter(c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for c in ("toxic > 0", "toxic <= 0")]
+    return settle(classes[0].unionByName(classes[1]), "labelled"), share
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """Learn from labelled rows that are not held out, at most ``LABELLED_DOCS`` ids a class.
+
+    Ids are chosen before any text is touched and are of bounded number, so they are broadcast and the
+    texts stay where they are.  Class sizes are those of the labelled documents that exist.  Without
+    labelled documents, or with those of one class alone, every score is low.
+    """
+    chosen, share = chosen_labels(labels)
+    texts = own_columns(docs, "doc_id", "text")
+    labelled = texts.join(F.broadcast(chosen), "doc_id")  # at most 2 * LABELLED_DOCS ids
     # At most BUCKETS rows; a feature of fewer toxic documents has no evidence.
-    found = feature_counts(labelled).filter("toxic >= 2").toPandas().astype(np.int64)
+    found = feature_counts(labelled).filter("toxic >= 2 OR bucket = -1").toPandas().astype(np.int64)
+    everything = found["bucket"] == -1
+    toxic, clean = (int(found.loc[everything, c].sum()) for c in ("toxic", "clean"))
+    found = found[~everything]
     evidence = Evidence(found["bucket"].to_numpy(), found["toxic"].to_numpy(), found["clean"].to_numpy(), toxic, clean)
-    turn = F.xxhash64("doc_id")
-    chosen = known.filter("toxic > 0").orderBy(turn, "doc_id").limit(SAMPLE_DOCS)
-    chosen = chosen.unionByName(known.filter("toxic <= 0").orderBy(turn, "doc_id").limit(SAMPLE_DOCS))
-    sample = own_columns(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most 2 * SAMPLE_DOCS rows
+    turn = W.partitionBy(F.col("toxic") > 0).orderBy(F.xxhash64("doc_id"), "doc_id")
+    few = chosen.withColumn("_turn", F.row_number().over(turn)).filter(F.col("_turn") <= SAMPLE_DOCS).drop("_turn")
+    sample = texts.join(F.broadcast(few), "doc_id")  # at most 2 * SAMPLE_DOCS ids
     found = windows(sample, evidence).toPandas()
     model = train(evidence, found["seen"].tolist(), found["labels"].tolist())
-    seen = summaries(sample, model).toPandas()  # at most 2 * SAMPLE_DOCS rows
     if toxic and clean:
-        model.document = logistic(np.stack(seen["seen"]), seen["toxic"].to_numpy(), toxic / (toxic + clean))
+        seen = summaries(sample, model).toPandas()  # a row per document of at most 2 * SAMPLE_DOCS ids
+        if seen["toxic"].nunique() == 2:
+            model.document = logistic(np.stack(seen["seen"]), seen["toxic"].to_numpy(), share)
     return model
 
 
@@ -333,7 +356,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     schema = StructType([*docs.schema.fields, StructField(added[0], DoubleType()), StructField(added[1], LongType()), StructField(added[2], StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Remembered(lambda raw: model.token_odds(raw.decode("utf-8", "replace")))
+        known = per_worker(("toxicity", model.name), lambda: Remembered(lambda raw: model.token_odds(raw.decode("utf-8", "replace"))))
         for batch in batches:
             texts = batch.column("text")
             nodes = marginals(chains((v.as_py() for v in texts), known), model.switch)
@@ -363,7 +386,8 @@ def offending(text: str, node: np.ndarray) -> str:
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted, n_toxic_tokens, spans: one row per row of ``docs``.
 
-    A null doc_id is not held out.  An empty table gives an empty result.  Extra columns are ignored.
+    A null doc_id is not held out.  Repeated rows are scored each.  An empty table gives an empty result.
+    Extra columns are ignored.
     """
     scored = score(own_columns(docs, "doc_id", "text"), fit(docs, labels))
     return scored.select(
