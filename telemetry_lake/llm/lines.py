@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemetry_lake.llm.common import WORD, same
+from telemetry_lake.llm.decisions import marked
 from telemetry_lake.session import settle
 
 RATIO = 0.02
@@ -68,11 +69,12 @@ def drop_lines(
     A page that loses all lines stays with an empty text.  Null texts stay null and drop nothing;
     lines without a word are never dropped; pages of a null host form a host of their own; repeated
     rows count as pages, and rows that repeat the first page's id all keep its lines.  An empty table
-    gives an empty result.
+    gives an empty result.  A column ``dropped_lines`` of the input is replaced.
 
     With ``by_text`` pages of a host with equal texts count as one, and those equal to the first page
     keep its lines: copies stay copies.
     """
+    pages = pages.drop("dropped_lines")
     common = settle(boilerplate(pages, ratio, least_pages, page, host, by_text), "boilerplate")
     lines = F.array_distinct(F.transform(F.filter(F.split("text", "\n"), lambda x: F.regexp_like(x, F.lit(WORD))), line_key))
     mark = [text_key(F.col("text")).alias("_text")] if by_text else []
@@ -84,11 +86,20 @@ def drop_lines(
     else:
         hits = hits.filter("NOT l._page <=> r.first_page").select(*named)
     # One row per page: it has few boilerplate lines, bounded per host as said above.
-    hits = hits.groupBy("_page", "_host").agg(F.collect_set("_line").alias("_gone"))
-    kept = F.filter(F.split("text", "\n"), lambda x: ~F.coalesce(F.array_contains("_gone", line_key(x)) & F.regexp_like(x, F.lit(WORD)), F.lit(False)))
-    joined = pages.alias("l").join(hits.alias("r"), F.col(f"l.{page}").eqNullSafe(F.col("r._page")) & F.col(f"l.{host}").eqNullSafe(F.col("r._host")), "left")
-    joined = joined.select("l.*", "r._gone")
-    cleaned = joined.withColumn("_kept", F.when(F.col("_gone").isNotNull(), kept))
-    dropped = F.when(F.col("_kept").isNotNull(), F.size(F.split("text", "\n")) - F.size("_kept")).otherwise(0)
-    text = F.when(F.col("_kept").isNotNull(), F.array_join("_kept", "\n")).otherwise(F.col("text"))
-    return cleaned.withColumn("dropped_lines", dropped.cast("long")).withColumn("text", text).drop("_gone", "_kept")
+    hits = hits.groupBy("_page", "_host").agg(F.collect_set("_line").alias("gone")).withColumn("class", F.lit(0))
+    hits = settle(hits, "affected")
+    marks, (touched,) = marked(pages, [page, host], hits, ["_page", "_host"], 1)
+    columns = [F.col(f"`{c}`") for c in pages.columns]
+    # Pages without a boilerplate line are let through as they are; the texts of the others meet their lines.
+    clean = marks.filter(~F.col(touched)).select(*columns, F.lit(0).cast("long").alias("dropped_lines"))
+    maybe = marks.filter(touched).select(F.struct(*columns).alias("row"))
+    joined = maybe.alias("l").join(
+        hits.alias("r"), F.col(f"l.row.{page}").eqNullSafe(F.col("r._page")) & F.col(f"l.row.{host}").eqNullSafe(F.col("r._host")), "left"
+    ).select("l.row", "r.gone")
+    split = F.split("row.text", "\n")
+    kept = F.filter(split, lambda x: ~F.coalesce(F.array_contains("gone", line_key(x)) & F.regexp_like(x, F.lit(WORD)), F.lit(False)))
+    cleaned = joined.withColumn("kept", F.when(F.col("gone").isNotNull(), kept))
+    dropped = F.when(F.col("kept").isNotNull(), F.size(split) - F.size("kept")).otherwise(0).cast("long")
+    text = F.when(F.col("kept").isNotNull(), F.array_join("kept", "\n")).otherwise(F.col("row.text"))
+    named = [text.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in pages.columns]
+    return clean.unionByName(cleaned.select(*named, dropped.alias("dropped_lines")))

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from telemetry_lake.llm.decisions import decided
 from telemetry_lake.llm.common import WORD, counts_before, own_columns, ranked, same
 from telemetry_lake.session import settle
 
@@ -74,13 +75,26 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents themselves, each row as often as the mix takes it."""
-    copies = mix(docs, **options).groupBy("doc_id", "source").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    copies = settle(copies.filter("_copies > 0"), "copies")
-    joined = docs.alias("l").join(copies.alias("r"), same("l", "r", ["doc_id", "source"])).select("l.*", "r._copies", "r._rows")
-    # Repeated rows share their copies; the first of them gets what does not divide evenly.
-    single = joined.filter("_rows = 1")
-    shared = joined.filter("_rows > 1").withColumn("_nth", F.row_number().over(Window.partitionBy("doc_id", "source").orderBy("doc_id")))
-    shared = shared.withColumn("_copies", F.expr("_copies DIV _rows + IF(_nth <= _copies % _rows, 1, 0)")).drop("_nth")
-    both = single.unionByName(shared).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.greatest("_copies", F.lit(1)))))
-    return both.filter("_copy <= _copies").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents themselves, each row as often as the mix takes it.
+
+    Rows that repeat a doc_id within a source share its copies: in the order of a hash of the row, the
+    first get what does not divide evenly.  A null text has size 0.  Most texts stay where they are
+    (``decisions``).  An empty table gives an empty result; columns keep their names and values.
+    """
+    keys = ["doc_id", "source"]
+    copies = mix(docs, **options).groupBy(*keys).agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
+    plain = (F.col("rows") == 1) & (F.col("copies") <= 2)
+    copies = settle(copies.withColumn("class", F.when(plain, F.col("copies")).otherwise(3).cast("int")), "copies")
+    placed, known = decided(docs, keys, copies, keys, 4)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    sure = placed.filter(F.col(known).isin(1, 2)).withColumn(known, F.explode(F.sequence(F.lit(1), F.col(known)))).select(*columns)
+    open_ = placed.filter(F.col(known).isNull() | (F.col(known) == 3)).select(F.struct(*columns).alias("row"))
+    joined = open_.alias("l").join(
+        copies.alias("r"), F.col("l.row.doc_id").eqNullSafe(F.col("r.doc_id")) & F.col("l.row.source").eqNullSafe(F.col("r.source"))
+    ).select("l.row", "r.copies", "r.rows")
+    single = joined.filter("rows = 1")
+    order = Window.partitionBy("row.doc_id", "row.source").orderBy(F.xxhash64("row.text"))
+    shared = joined.filter("rows > 1").withColumn("nth", F.row_number().over(order))
+    shared = shared.withColumn("copies", F.expr("copies DIV rows + IF(nth <= copies % rows, 1, 0)")).drop("nth")
+    both = single.unionByName(shared).filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    return sure.unionByName(both.select("row.*"))

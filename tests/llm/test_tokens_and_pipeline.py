@@ -10,6 +10,7 @@ import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -174,3 +175,24 @@ def test_copies_reach_near_dedup_whole(spark, sf_dir):
     assert cleaned[0] == rows[0][1] and all(cleaned[i] == body(i) for i in range(1, 100))
     kept = {r.doc_id for r in corpus_pipeline.near_dedup_stage(spark, corpus_pipeline.line_stage(spark, docs, sf_dir), sf_dir).collect()}
     assert kept == {*range(100), 500}
+
+
+def test_near_dedup_of_repeated_rows_and_null_ids(spark, sf_dir):
+    """Of equal rows one stays, with or without an id; rows of one id with different texts are no copies."""
+    t, u, v = ("words that say one thing about " + w for w in ("the harbour at night", "the market in spring", "a bridge nobody crosses any more"))
+    rows = [(9, t), (9, t), (None, u), (None, u), (11, v), (11, "something else altogether, with other words in it"), (12, ""), (12, "")]
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_dedup_stage(spark, documents(spark, rows), sf_dir).collect())
+    assert got == Counter({(9, t): 1, (None, u): 1, (11, v): 1, (11, rows[5][1]): 1, (12, ""): 1})
+
+
+def test_stages_keep_columns_whose_names_they_use(spark, sf_dir):
+    """Extra columns with working names come through with their values, in every stage but the last."""
+    names = ["_gone", "_kept", "dropped_lines", "_copies", "_rows", "_copy", "_nth", "near_id", "page", "bit", "class0", "decided", "row", "class", "_score"]
+    docs = documents(spark, [(i, f"menu\nline number {i} of its own kind {i % 3}", "en", "s") for i in range(12)])
+    extra = docs.drop("row").withColumns({n: F.lit(f"own {n}") for n in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, extra, sf_dir)
+        gone = {"dropped_lines"} if name == "line_dedup" else set()
+        assert set(extra.columns) - gone - {"_score"} <= set(out.columns), name
+        for n in set(names) - gone - {"_score"}:
+            assert {r[0] for r in out.select(F.col(f"`{n}`")).distinct().collect()} <= {f"own {n}"}, (name, n)
