@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from telemetry_lake.llm import lines, minhash, mixing, packing, toxicity
 from telemetry_lake.llm.common import table
+from telemetry_lake.llm.decisions import decided, free_name
 from telemetry_lake.llm.queries import vocabulary
 from telemetry_lake.session import settle
 
@@ -34,12 +35,25 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of each group of near copies, on five-word shingles, the document with the smallest id stays.
 
     A document without an id takes part under a number made from its text, at the far end of the longs.
+    Of rows that repeat an id and its text one stays.  Most texts stay where they are (``decisions``).
     """
     made = F.shiftrightunsigned(F.xxhash64("text"), 2) + F.lit(1 << 62)
-    named = docs.withColumn("_near_id", F.coalesce(F.col("doc_id").cast("long"), made))
-    dropped = minhash.near_groups(named.withColumn("doc_id", F.col("_near_id")), width=5).filter("NOT kept")
-    dropped = dropped.select(F.col("doc_id").alias("_near_id")).distinct()
-    return named.join(dropped, "_near_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    name = free_name("near_id", docs.columns)
+    named = docs.withColumn(name, F.coalesce(F.col("doc_id").cast("long"), made))
+    groups = minhash.near_groups(named.select(F.col(name).alias("doc_id"), "text"), width=5)
+    found = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max("kept").alias("kept"))
+    # 0: goes, 1: the only row of its id, 2: one of several rows with a kept id
+    kind = F.when(~F.col("kept"), 0).when(F.col("rows") == 1, 1).otherwise(2)
+    found = settle(found.select("doc_id", kind.alias("class")), "near-kept")
+    placed, known = decided(named, [name], found, ["doc_id"], 3)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    sure = placed.filter(F.col(known) == 1).select(*columns)
+    open_ = placed.filter(F.col(known).isNull() | (F.col(known) == 2)).select(F.col(name).alias("id"), F.struct(*columns).alias("row"))
+    open_ = open_.join(found.filter("class > 0").withColumnRenamed("doc_id", "id"), "id")
+    single = open_.filter("class = 1").select("row.*")
+    text = F.md5(F.coalesce("row.text", F.lit("")))
+    repeated = open_.filter("class = 2").groupBy("id", text.alias("text")).agg(F.any_value("row").alias("row")).select("row.*")
+    return sure.unionByName(single).unionByName(repeated)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
