@@ -21,7 +21,6 @@ Labels are the only supervision; lang, source and doc_id are never looked at whe
 from __future__ import annotations
 
 import re
-import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -33,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from telemetry_lake.llm.common import own_columns, per_worker
+from telemetry_lake.llm.common import own_columns
 from telemetry_lake.session import settle
 
 BUCKETS = 1 << 22
@@ -45,7 +44,7 @@ ROUNDS = 120
 ERRORS = 2.5
 MARKED = 0.5
 KINDS = ("word", "4", "5", "6", "7")
-REMEMBERED = 500_000
+REMEMBERED = 250_000  # numbers by token; lists of features take a tenth of it
 PARTS = re.compile(r"\w+")
 TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -69,13 +68,13 @@ def tokens_of(text: str) -> list[str]:
 class Remembered(dict):
     """A bounded table of a function's values."""
 
-    def __init__(self, compute):
+    def __init__(self, compute, most: int = REMEMBERED):
         super().__init__()
-        self.compute = compute
+        self.compute, self.most = compute, most
 
     def __missing__(self, key):
         value = self.compute(key)
-        if len(self) >= REMEMBERED:
+        if len(self) >= self.most:
             self.clear()
         if len(key) < 100:
             self[key] = value
@@ -87,7 +86,7 @@ def feature_counts(labelled: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, BUCKETS + 1), np.int32)
-        known = Remembered(lambda raw: [b for w in parts_of(raw.decode("utf-8", "replace")) for b in features(w) if b >= 0])
+        known = Remembered(lambda raw: [b for w in parts_of(raw.decode("utf-8", "replace")) for b in features(w) if b >= 0], REMEMBERED // 10)
         for batch in batches:
             for value, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 tokens = set((value.as_py() or "").encode("utf-8", "replace").split())
@@ -139,7 +138,7 @@ def windows(labelled: DataFrame, evidence: Evidence) -> DataFrame:
     """seen (evidence by token and kind), labels: training windows of labelled documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = [Remembered(lambda w, y=y: evidence.of(w, y)) for y in (0, 1)]
+        own = [Remembered(lambda w, y=y: evidence.of(w, y), REMEMBERED // 10) for y in (0, 1)]
         for batch in batches:
             seen, labels = [], []
             for value, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
@@ -168,7 +167,6 @@ class Model:
     def __init__(self, evidence: Evidence, weights: np.ndarray, bias: float, switch: np.ndarray):
         self.evidence, self.weights, self.bias, self.switch = evidence, [float(w) for w in weights], float(bias), switch
         self.document = np.r_[-6.0, np.zeros(4)]
-        self.name = uuid.uuid4().hex
 
     def token_odds(self, token: str, own: int | None = None) -> float:
         """A token of several words is as toxic as its most toxic one; one of no words has the bias."""
@@ -356,7 +354,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     schema = StructType([*docs.schema.fields, StructField(added[0], DoubleType()), StructField(added[1], LongType()), StructField(added[2], StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = per_worker(("toxicity", model.name), lambda: Remembered(lambda raw: model.token_odds(raw.decode("utf-8", "replace"))))
+        known = Remembered(lambda raw: model.token_odds(raw.decode("utf-8", "replace")))
         for batch in batches:
             texts = batch.column("text")
             nodes = marginals(chains((v.as_py() for v in texts), known), model.switch)
