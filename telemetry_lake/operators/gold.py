@@ -8,6 +8,7 @@ distinct values.  In batch Spark plans the same split by itself.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -194,6 +195,88 @@ def incident_summary(df: DataFrame, window: str = "1 hour", streaming: bool | No
     return rollup(df, window, ["event_type", "road_type"], INCIDENT_SUMMARY, streaming)
 
 
+class Spec(NamedTuple):
+    """A roll-up as data, for ``rollups``; the builders above say the same as functions."""
+
+    seconds: int
+    keys: tuple[str, ...]
+    measures: dict[str, Measure]
+    where: str | None = None
+    derived: dict[str, str] = {}  # noqa: RUF012
+
+
+SPECS = {
+    "vehicle_5min": Spec(300, ("vehicle_id", "vehicle_type", "route_name"), VEHICLE_5MIN),
+    "route_hourly": Spec(3600, ("route_name", "road_type"), ROUTE_HOURLY),
+    "fuel_daily": Spec(
+        86_400, ("vehicle_type",), FUEL_DAILY, None, {"estimated_co2_kg": round_to(f"total_fuel_consumed_l * {CO2_KG_PER_LITRE}D", 2)}
+    ),
+    "road_event_summary": Spec(900, ("road_event", "road_type", "route_name"), ROAD_EVENT_SUMMARY, f"road_event <> '{NO_EVENT}'"),
+    "weather_hourly": Spec(3600, ("condition", "weather_severity", "location"), WEATHER_HOURLY),
+    "traffic_30min": Spec(1800, ("gps_lat_bucket", "gps_lon_bucket", "congestion_band"), TRAFFIC_30MIN),
+    "incident_summary": Spec(3600, ("event_type", "road_type"), INCIDENT_SUMMARY),
+}
+
+
+class Rollups:
+    """Several roll-ups of one Silver table from one pass over it.
+
+    Each row is stacked once per roll-up, with that roll-up's window and keys, and everything is
+    aggregated together: one scan, one exchange of partial states, where separate queries would scan
+    once each.  Distinct counts take a second, smaller fold as on streams.  ``states`` is the stacked
+    result; settle it, then take each table out with ``table``.
+    """
+
+    def __init__(self, df: DataFrame, tables: Sequence[str]):
+        self.tables, self.kinds = list(tables), dict(df.dtypes)
+        specs = [SPECS[t] for t in self.tables]
+        self.measures = list(dict.fromkeys(m for s in specs for m in s.measures.values() if m.kind != "distinct"))
+        self.places = [f"k{i}" for i in range(max(len(s.keys) for s in specs))]
+        counted = {m.source for s in specs for m in s.measures.values() if m.kind == "distinct"}
+        if len(counted) > 1:
+            raise ValueError("one column at most can be counted distinct")
+        self.distinct = counted.pop() if counted else None
+        tags = F.inline(F.array_compact(F.array(*[self._tag(i, s) for i, s in enumerate(specs)])))
+        stacked = df.where(F.col("event_time").isNotNull()).select(
+            tags, *[F.expr(m.source).alias(f"v{i}") for i, m in enumerate(self.measures)], *([F.expr(self.distinct).alias("counted")] if self.distinct else ())
+        )
+        keys = ["tag", "window_start", *self.places]
+        held = [c for i, m in enumerate(self.measures) for c in _partials(f"m{i}", Measure(m.kind, f"v{i}"))]
+        own = [F.col("tag").isin([i for i, s in enumerate(specs) if any(m.kind == "distinct" for m in s.measures.values())])]
+        if self.distinct:
+            partial = stacked.groupBy(*keys, F.when(own[0], F.col("counted")).alias("counted")).agg(*held)
+            folded = [F.count("counted").alias("d")]
+        else:
+            partial, folded = stacked.groupBy(*keys).agg(*held), []
+        folded += [_fold(f"m{i}", m, "counted") for i, m in enumerate(self.measures)]
+        self.states = partial.groupBy(*keys).agg(*folded)
+
+    def _tag(self, number: int, spec: Spec) -> Column:
+        step = spec.seconds * 1_000_000
+        start = F.timestamp_micros((F.floor(F.unix_micros("event_time") / step) * step).cast("bigint"))
+        names = [*spec.keys, *[None] * (len(self.places) - len(spec.keys))]
+        row = F.struct(
+            F.lit(number).alias("tag"), start.alias("window_start"),
+            *[(F.col(k) if k else F.lit(None)).cast("string").alias(p) for k, p in zip(names, self.places, strict=True)],
+        )
+        return F.when(F.expr(spec.where), row) if spec.where else row
+
+    def table(self, states: DataFrame, table: str) -> DataFrame:
+        """One roll-up out of the (settled) states, as its builder gives it."""
+        spec, tag = SPECS[table], self.tables.index(table)
+        columns = {
+            name: F.col("d") if m.kind == "distinct" else F.col(f"m{self.measures.index(m)}") for name, m in spec.measures.items()
+        }
+        rows = states.where(F.col("tag") == tag).select(
+            "window_start",
+            (F.col("window_start") + F.make_dt_interval(secs=F.lit(spec.seconds).cast("decimal(18,6)"))).alias("window_end"),
+            *[F.col(p).cast(self.kinds[k]).alias(k) for k, p in zip(spec.keys, self.places, strict=False)],
+            *[c.alias(name) for name, c in columns.items()],
+            F.date_format("window_start", "yyyy-MM-dd").alias("partition_date"),
+        )
+        return rows.withColumns({name: F.expr(sql) for name, sql in spec.derived.items()}) if spec.derived else rows
+
+
 # table -> (silver table it reads, builder)
 GOLD_TABLES = {
     "vehicle_5min": ("telemetry", vehicle_5min),

@@ -11,6 +11,7 @@ from telemetry_lake.functions.labels import RISK_STEPS, RISK_TOP, ladder
 from telemetry_lake.functions.numeric import ratio, round_to, snap
 from telemetry_lake.functions.timeparts import floor_minutes
 from telemetry_lake.operators.quantiles import quantiles
+from telemetry_lake.operators.serving import dated
 from telemetry_lake.session import settle
 
 # fixed values
@@ -41,7 +42,8 @@ def prediction_summary(predictions: DataFrame) -> DataFrame:
 
 
 def predictions_recent(predictions: DataFrame, as_of, hours: int = 24) -> DataFrame:
-    recent = predictions.where(F.col("scored_at") >= as_of - F.expr(f"INTERVAL {hours} HOURS"))
+    start = as_of - F.expr(f"INTERVAL {hours} HOURS")
+    recent = dated(predictions, start, None, "scored_date").where(F.col("scored_at") >= start)
     return recent.orderBy(F.desc("timestamp"))
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from telemetry_lake.functions.numeric import imply, round_to
+from telemetry_lake.operators.serving import dated
 from telemetry_lake.operators.windows import latest_run
 
 # --- fixed values: wording and order of the recommendations ---
@@ -234,7 +235,8 @@ def recommendation_log(predictions: DataFrame) -> DataFrame:
 
 
 def recommendation_history(history: DataFrame, as_of, hours: int = 24, limit: int = 100) -> DataFrame:
-    recent = history.where(F.col("generated_at") >= as_of - F.expr(f"INTERVAL {hours} HOURS"))
+    start = as_of - F.expr(f"INTERVAL {hours} HOURS")
+    recent = dated(history, start, None, "generated_date").where(F.col("generated_at") >= start)
     shown = recent.orderBy(F.desc("generated_at"), _rank(F.col("priority")), F.desc("confidence"), "segment_id", "category")
     return shown.limit(limit).select("generated_at", "priority", "category", "action", "segment_id", "confidence")
 

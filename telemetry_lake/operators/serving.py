@@ -19,12 +19,27 @@ def _moment(value) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("timestamp")
 
 
+def dated(df: DataFrame, start: Column | None, end: Column | None, date_col: str = "ts_date") -> DataFrame:
+    """Only the date folders a range of time can lie in, where the table has them.
+
+    Dates are compared as text, as folders are named; read back without a schema they may be dates.
+    """
+    if date_col not in df.columns:
+        return df
+    day = F.date_format(F.col(date_col), "yyyy-MM-dd") if dict(df.dtypes)[date_col] == "date" else F.col(date_col)
+    if start is not None:
+        df = df.where(day >= F.date_format(start, "yyyy-MM-dd"))
+    return df if end is None else df.where(day <= F.date_format(end, "yyyy-MM-dd"))
+
+
 def since(df: DataFrame, as_of, window: str, column: str = "ts") -> DataFrame:
-    return df.where(F.col(column) >= _moment(as_of) - F.expr(f"INTERVAL {window}"))
+    start = _moment(as_of) - F.expr(f"INTERVAL {window}")
+    return dated(df, start, None, f"{column}_date").where(F.col(column) >= start)
 
 
 def between(df: DataFrame, start, end, column: str = "ts") -> DataFrame:
-    return df.where(F.col(column).between(_moment(start), _moment(end)))
+    start, end = _moment(start), _moment(end)
+    return dated(df, start, end, f"{column}_date").where(F.col(column).between(start, end))
 
 
 def serving_telemetry(silver: DataFrame) -> DataFrame:

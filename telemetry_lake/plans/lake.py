@@ -1,6 +1,7 @@
 """All layers over one set of raw streams, composed lazily.
 
-Nothing here runs a job: asking for a mart returns one Catalyst plan from the raw scan to the mart.
+Asking for a mart runs no job: it returns one Catalyst plan from the raw scan to the mart.  Only feature and
+minute tables are written when they are asked for.
 A deployment that wants the layers on disk writes them with ``sources.sinks`` and starts the next
 layer from the files instead.
 """
@@ -12,8 +13,9 @@ from functools import cached_property, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetry_lake.operators import alerts, cleaning, dims, features, gold, insights, marts, quality, serving, staging
-from telemetry_lake.session import configure
+from telemetry_lake.operators import alerts, cleaning, dims, features, gold, insights, marts, minutes, quality, serving, staging
+from telemetry_lake.session import configure, scratch_path
+from telemetry_lake.sources import sinks
 from telemetry_lake.sources.event_views import event_view, read_events
 
 
@@ -136,6 +138,20 @@ class Lake:
     def realtime_alerts(self) -> DataFrame:
         return alerts.serving_alerts(self.tagged)
 
+    def _minutes(self, rows: DataFrame, shape: minutes.Shape) -> minutes.MinuteTable:
+        """The minute table of some rows as a serving job would keep it: written by date."""
+        states, path = minutes.minute_states(rows, shape), scratch_path(self.spark, "minutes")
+        sinks.write_partitions(states, path, ["ts_date"])
+        return minutes.MinuteTable(self.spark.read.schema(states.schema).parquet(path), rows, shape)
+
+    @cached_property
+    def telemetry_minutes(self) -> minutes.MinuteTable:
+        return self._minutes(self.realtime_telemetry, minutes.TELEMETRY)
+
+    @cached_property
+    def alert_minutes(self) -> minutes.MinuteTable:
+        return self._minutes(self.realtime_alerts, minutes.ALERTS)
+
     @cached_property
     def now(self):
         """The newest reading, in place of the wall clock."""

@@ -15,9 +15,11 @@ from telemetry_lake.operators import (
     cleaning,
     dims,
     features,
+    gold,
     insights,
     joins,
     marts,
+    minutes,
     model,
     quality,
     recommend,
@@ -267,6 +269,17 @@ query(lambda lake: serving.alerts_by_severity(lake.realtime_alerts, lake.now, "2
 query(lambda lake: serving.alert_rate_per_minute(lake.realtime_alerts, lake.beginning, lake.now), "alert_rate_per_minute")
 query(lambda lake: serving.recent_alerts(lake.realtime_alerts, lake.now, "24 HOURS"), "recent_alerts")
 
+# the same panels from the minute table
+query(lambda lake: lake.telemetry_minutes.states.drop("newest"), "minute_rollup")
+query(lambda lake: minutes.active_vehicles(lake.telemetry_minutes, lake.now), "rollup_active_vehicles")
+for _name, _measure in (("speed", "speed_kmh"), ("fuel", "fuel_level_pct"), ("engine_temp", "engine_temp_c")):
+    query(lambda lake, m=_measure: minutes.fleet_avg(lake.telemetry_minutes, lake.now, m), f"rollup_fleet_avg_{_name}")
+query(lambda lake: minutes.alerts_30min(lake.alert_minutes, lake.now), "rollup_alerts_30min")
+query(lambda lake: minutes.alerts_30min(lake.alert_minutes, lake.now, ["CRITICAL"]), "rollup_critical_alerts_30min")
+query(lambda lake: minutes.alerts_by_severity(lake.alert_minutes, lake.now, "24 HOURS"), "rollup_alerts_by_severity")
+query(lambda lake: minutes.alert_rate_per_minute(lake.alert_minutes, lake.beginning, lake.now), "rollup_alert_rate_per_minute")
+query(lambda lake: minutes.mean_kpi(lake.telemetry_minutes, "speed_kmh", "avg_speed_kmh"), "rollup_speed_kpi")
+
 # --- risk analytics ------------------------------------------------------------------------
 query(lambda lake: insights.prediction_summary(lake.predictions), "prediction_summary")
 query(lambda lake: _counts(insights.rethreshold(lake.predictions, 0.8), "will_alert"), "rethreshold")
@@ -449,9 +462,20 @@ query(
     lambda lake: quality.check_accepted_values(lake.raw("road_events"), "event_type", cleaning.ROAD_EVENT_TYPES, "road_events"),
     "check_accepted_values",
 )
+
+
+def _unclamped(lake: Lake) -> DataFrame:
+    """Five-minute KPIs of readings as they came, before cleaning: what the asserts are there to catch."""
+    measures = {
+        "avg_speed_kmh": "avg speed_kmh", "max_speed_kmh": "max speed_kmh", "avg_latitude": "avg latitude", "avg_longitude": "avg longitude",
+        "total_fuel_consumed_l": "sum fuel_consumed_l", "avg_fuel_rate_l100km": "avg fuel_rate_l100km",
+    }
+    return gold.rollup(lake.raw("telemetry"), "5 minutes", ["vehicle_id"], {n: gold.Measure(*m.split(" ")) for n, m in measures.items()})
+
+
 query(lambda lake: quality.assert_no_negative_fuel(lake.mart_vehicle_performance("dominant")), "assert_no_negative_fuel")
-query(lambda lake: quality.assert_speed_within_limits(lake.mart_vehicle_performance("dominant")), "assert_speed_within_limits")
-query(lambda lake: quality.assert_valid_gps_bounds(lake.mart_vehicle_performance("dominant")), "assert_valid_gps_bounds")
+query(lambda lake: quality.assert_speed_within_limits(_unclamped(lake)), "assert_speed_within_limits")
+query(lambda lake: quality.assert_valid_gps_bounds(_unclamped(lake)), "assert_valid_gps_bounds")
 query(
     lambda lake: quality.quality_score(
         lake.checks().select(F.when(F.col("failures") == 0, "OK").otherwise("MISSING").alias("status"))

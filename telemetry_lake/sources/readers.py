@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,6 @@ from telemetry_lake.operators.lifecycle import list_files
 
 # fixed values
 TRAINING_DAYS = 30
-RECENT_FILES = 10
 
 
 def kafka_source(
@@ -89,18 +90,54 @@ def file_stream_source(
     return reader.parquet(path)
 
 
+def existing_folders(spark: SparkSession, path: str, names: Iterable[str]) -> list[str]:
+    """Those of the named folders below ``path`` that are there; asked one by one, nothing is listed."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    files = folder(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f"{path}/{n}" for n in names if files.exists(folder(f"{path}/{n}"))]
+
+
+CLOSING = "__closing__"
+
+
+def closing_marker(spark: SparkSession, schema: T.StructType, path: str, at, time_col: str = "event_time") -> None:
+    """Put one row into the closing folder of a stream: all strings ``CLOSING``, its time ``at``, the rest NULL.
+
+    Once a stream has read it, its watermark has passed every window that ends before.  A folder takes
+    each moment once, so asking again adds nothing.
+    """
+    at = at if isinstance(at, Column) else F.lit(at).cast("timestamp")
+    text = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
+    values = [
+        (at if f.name == time_col else F.lit(CLOSING if f.name in text else None)).cast(f.dataType).alias(f.name) for f in schema.fields
+    ]
+    row = spark.range(1).select(*values)
+    row.join(spark.read.schema(schema).parquet(path).select(time_col), time_col, "left_anti").select(*schema.names).write.mode("append").parquet(path)
+
+
+def with_closing(stream: DataFrame, path: str) -> DataFrame:
+    """``stream`` together with the markers of its closing folder, which is made if absent."""
+    stream.sparkSession.createDataFrame([], stream.schema).write.mode("append").parquet(path)
+    return stream.unionByName(stream.sparkSession.readStream.schema(stream.schema).parquet(path))
+
+
 def read_partition(
     spark: SparkSession, base: str, table: str, schema: T.StructType, date: str, hour: int | None = None, merge: bool = False
 ) -> DataFrame:
-    """One date (and hour) of a table; an absent table reads as empty.
+    """One date (and hour) of a table; an absent table or partition reads as empty.
 
-    ``merge`` lets older files differ in their columns and fills ``event_time`` where they lack it.
+    Only the partition's folder is listed.  ``merge`` lets its files differ in their columns, opens the
+    footers of those files alone, and fills ``event_time`` where they lack it.
     """
+    folder = f"partition_date={date}" + ("" if hour is None else f"/partition_hour={hour}")
+    found = existing_folders(spark, f"{base}/{table}", [folder])
+    if not found:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.option("mergeSchema", "true") if merge else spark.read.schema(schema)
     try:
-        reader = spark.read
-        df = (reader.option("mergeSchema", "true") if merge else reader.schema(schema)).parquet(f"{base}/{table}")
-    except AnalysisException as problem:
-        if "PATH_NOT_FOUND" not in str(problem) and "UNABLE_TO_INFER_SCHEMA" not in str(problem):
+        df = reader.option("basePath", f"{base}/{table}").parquet(*found)
+    except AnalysisException as problem:  # a folder without files
+        if "UNABLE_TO_INFER_SCHEMA" not in str(problem):
             raise
         return spark.createDataFrame([], schema)
     df = df.where(F.col("partition_date") == date)
@@ -127,12 +164,18 @@ def read_recent_days(table: DataFrame, as_of, days: int = TRAINING_DAYS) -> Data
     return recent.withColumn("timestamp", F.col("event_time"))
 
 
-def read_recent_files(spark: SparkSession, path: str, since: str, limit: int = RECENT_FILES) -> DataFrame:
-    """The newest files written since a moment, at most ``limit``; if none, the single newest file."""
+def read_recent_files(spark: SparkSession, path: str, since: str, limit: int | None = None) -> DataFrame:
+    """The files written since a moment, if asked only the newest ``limit``; if none, the single newest file.
+
+    Without a limit no file names pass through the driver: the read itself leaves older files out.
+    """
     files = list_files(spark, path)
-    newest = files.orderBy(F.desc("modificationTime"), "path")
-    recent = newest.where(F.col("modificationTime") >= F.lit(since).cast("timestamp")).limit(limit)
-    chosen = [r.path for r in (recent.take(limit) or newest.take(1))]  # at most ``limit`` names
+    recent = files.where(F.col("modificationTime") >= F.lit(since).cast("timestamp"))
+    if limit is None and not recent.isEmpty():
+        written = F.col("_metadata.file_modification_time")
+        return spark.read.option("basePath", path).parquet(path).where(written >= F.lit(since).cast("timestamp"))
+    newest = [F.desc("modificationTime"), "path"]
+    chosen = (recent.orderBy(*newest).take(limit) if limit else []) or files.orderBy(*newest).take(1)  # at most ``limit`` names
     if not chosen:
         raise FileNotFoundError(path)
-    return spark.read.option("basePath", path).parquet(*chosen)
+    return spark.read.option("basePath", path).parquet(*[r.path for r in chosen])

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from telemetry_lake.operators import cleaning, gold
+from telemetry_lake.operators.gold import GOLD_TABLES
 from telemetry_lake.schemas import bronze_schema, silver_schema
 from telemetry_lake.sources import readers, sinks
 from telemetry_lake.streaming import jobs
@@ -113,6 +114,7 @@ def test_recent_files_and_tables(spark, tmp_path):
         spark.createDataFrame([(i,)], "v INT").coalesce(1).write.mode("append").parquet(path)
     assert readers.read_recent_files(spark, path, "2000-01-01 00:00:00", limit=2).count() == 2
     assert readers.read_recent_files(spark, path, "2999-01-01 00:00:00").count() == 1
+    assert readers.read_recent_files(spark, path, "2000-01-01 00:00:00").count() == 3  # no limit unless asked for
     sinks.external_tables(spark, str(tmp_path), ["t"])
     assert spark.table("t").count() == 3
     sinks.materialize(spark.table("t"), "t_built", "table")
@@ -177,3 +179,97 @@ def test_hot_key_with_a_third_of_the_rows(spark):
     for streaming in (False, True):
         r = gold.route_hourly(many, streaming=streaming).first()
         assert (r.total_events, r.unique_vehicles, r.count_slow) == (3000, 2000, 3000)
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+    """A run ends between a batch's write and what marks it as done, and is started again."""
+    silver = cleaning.clean_telemetry(fixtures.telemetry(spark))
+    first, second = silver.where("event_id < 'e030'"), silver.where("event_id >= 'e030'")
+    ledger = sinks.Ledger(f"{tmp_path}/ledger")
+    serve = lambda batch, name: sinks.append_serving_telemetry(batch, f"{tmp_path}/serving", name)
+    for n, batch in enumerate((first, second)):
+        serve(batch, ledger.name(spark, n))
+        ledger.once(serve)(batch, n)
+    assert ledger.finished(spark, 0) and ledger.finished(spark, 1) and not ledger.finished(spark, 2)
+    stored = spark.read.parquet(f"{tmp_path}/serving")
+    assert stored.count() == 59
+    assert {r.batch.rpartition("-")[2] for r in stored.select("batch").distinct().collect()} == {"0", "1"}
+    calls = []
+    ledger.once(lambda batch, name: calls.append(name))(first, 1)  # entered already: not written again
+    assert calls == []
+
+    alerts = jobs.alert_rows(silver)
+    some = alerts.where("rule_name <> 'low_fuel'")
+    for name, batch in (("a-0", some), ("a-0", some), ("a-1", alerts), ("a-1", alerts), ("b-0", alerts.unionByName(alerts))):
+        sinks.upsert_alerts(batch, f"{tmp_path}/alerts", name)
+    held = spark.read.parquet(f"{tmp_path}/alerts")
+    assert rows(held, "rule_name") == [("engine_overheat",), ("low_fuel",), ("overspeed",), ("overspeed",)]
+    assert rows(held.groupBy("batch").count()) == [("a-0", 3), ("a-1", 1)]  # another query's batch 0 adds and replaces nothing
+
+
+def test_only_the_folders_of_a_batch_are_asked(spark, tmp_path):
+    for name in ("alert_date=2024-01-01", "alert_date=2024-01-03"):
+        (tmp_path / name).mkdir()
+    asked = [f"alert_date=2024-01-0{i}" for i in (1, 2)]
+    assert readers.existing_folders(spark, str(tmp_path), asked) == [f"{tmp_path}/alert_date=2024-01-01"]
+
+
+@pytest.mark.parametrize("table", sorted(GOLD_TABLES))
+def test_backfill_equals_batch_to_the_last_window(spark, tmp_path, table):
+    """Several files, one per trigger, with rows that come late within the watermark; a restart adds nothing."""
+    source, build = GOLD_TABLES[table]
+    silver = {
+        "telemetry": lambda: cleaning.clean_telemetry(fixtures.telemetry(spark)), "weather": lambda: cleaning.clean_weather(fixtures.weather(spark)),
+        "traffic": lambda: cleaning.clean_traffic(fixtures.traffic(spark)), "road_events": lambda: cleaning.clean_road_events(fixtures.road_events(spark)),
+    }[source]()
+    silver = silver.drop("ingestion_time")
+    middle = silver.select(F.expr("timestamp_micros(CAST(percentile(unix_micros(event_time), 0.5) AS BIGINT))")).first()[0]
+    for part in ("event_time <= TIMESTAMP'{}'", "event_time > TIMESTAMP'{}'"):
+        silver.where(part.format(middle)).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    want = build(spark.read.parquet(f"{tmp_path}/in"))
+    names = [F.round(c, 9).alias(c) if kind == "double" else F.col(c) for c, kind in want.dtypes]
+    for _ in range(2):
+        stream = readers.file_stream_source(spark, f"{tmp_path}/in", silver.schema, max_files=1)
+        got = jobs.gold_backfill(stream, table, f"{tmp_path}/out", f"{tmp_path}/checkpoint", "2024-06-03 00:00:00")
+        assert rows(got, *names) == rows(want, *names)
+
+
+def test_the_whole_application(spark, tmp_path):
+    """Topics as files: Bronze, malformed messages, alerts, Silver and Gold, started and caught up again."""
+    from telemetry_lake.plans.queries import messages
+
+    base = str(tmp_path)
+    raw = fixtures.telemetry(spark).withColumn("timestamp_unix", F.col("timestamp_unix") + 20)  # no alert in a spoilt message
+    topic = messages(raw.withColumn("event_time", F.timestamp_seconds("timestamp_unix"))).select("value", "topic", "partition", "offset", "timestamp")
+    spoilt = topic.where("value = '{not json'").count()
+    topic.coalesce(1).write.parquet(f"{base}/topic")
+    stream = lambda: {"vehicle-telemetry": readers.with_lineage(spark.readStream.schema(topic.schema).parquet(f"{base}/topic"))}
+    for _ in range(2):
+        jobs.catch_up(spark, stream(), base, f"{base}/checkpoints", ["vehicle_5min", "fuel_daily"])
+    bronze_rows = spark.read.parquet(f"{base}/bronze/vehicle-telemetry").count()
+    assert bronze_rows == topic.count()
+    broken = f"{base}/malformed/vehicle-telemetry"
+    assert (spark.read.parquet(broken).count() if spoilt else 0) == spoilt
+    silver = spark.read.parquet(f"{base}/silver/telemetry")
+    good = cleaning.clean_telemetry(raw.where("timestamp_unix % 50 <> 0"))
+    assert silver.count() == good.count()
+    stored = spark.read.parquet(f"{base}/serving/realtime_alerts")
+    assert rows(stored, "alert_id") == rows(jobs.alert_rows(raw.where("timestamp_unix % 50 <> 0")).select("alert_id"))
+    started = jobs.start_all(spark, stream(), base, f"{base}/checkpoints", ["vehicle_5min"])
+    try:
+        assert {q.name for q in started if q.name} >= {"bronze_vehicle-telemetry", "silver_telemetry", "gold_vehicle_5min", "malformed_vehicle-telemetry"}
+        assert len(started) == 5 and all(q.exception() is None for q in started)
+    finally:
+        for q in started:
+            q.stop()
+
+
+def test_merge_reads_the_schema_of_its_partition_alone(spark, tmp_path):
+    """Another day's files have a column of a type that cannot be merged; the wanted day does not care."""
+    day = lambda d, **more: spark.range(3).withColumns({"partition_date": F.lit(d), "timestamp_unix": F.lit(fixtures.START), **more})
+    for df in (day("2024-06-01", a=F.lit(1)), day("2024-06-01", b=F.lit("x")), day("2024-06-02", a=F.lit("text"))):
+        df.write.mode("append").partitionBy("partition_date").parquet(f"{tmp_path}/t")
+    got = readers.read_partition(spark, str(tmp_path), "t", silver_schema("weather"), "2024-06-01", merge=True)
+    assert got.count() == 6 and {"a", "b", "event_time"} <= set(got.columns) and dict(got.dtypes)["a"] == "int"
+    assert got.inputFiles() and all("2024-06-01" in f for f in got.inputFiles())
+    assert readers.read_partition(spark, str(tmp_path), "t", silver_schema("weather"), "2024-06-05", merge=True).count() == 0

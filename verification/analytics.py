@@ -242,6 +242,16 @@ SQL["recent_alerts"] = fixed(
 WHERE ts >= {_NOW} - INTERVAL 24 HOUR ORDER BY ts DESC, alert_id LIMIT 50"""
 )
 
+SQL["minute_rollup"] = fixed(
+    """SELECT strftime(ts, '%Y-%m-%d') AS ts_date, date_trunc('minute', ts) AS minute, vehicle_id, count(*) AS n, sum(speed_kmh) AS sum_speed_kmh,
+  sum(fuel_level_pct) AS sum_fuel_level_pct, sum(engine_temp_c) AS sum_engine_temp_c, count(speed_kmh) AS count_speed_kmh,
+  count(fuel_level_pct) AS count_fuel_level_pct, count(engine_temp_c) AS count_engine_temp_c FROM rt_telemetry WHERE ts IS NOT NULL GROUP BY 1, 2, 3""",
+    "sum_speed_kmh sum_fuel_level_pct sum_engine_temp_c",
+)
+for _name in ("active_vehicles", "fleet_avg_speed", "fleet_avg_fuel", "fleet_avg_engine_temp", "alerts_30min", "critical_alerts_30min",
+              "alerts_by_severity", "alert_rate_per_minute"):
+    SQL[f"rollup_{_name}"] = SQL[_name]
+
 # --- predictions ---------------------------------------------------------------------------
 _P = "alert_prob speed congestion_level weather_risk active_events"
 SQL["prediction_summary"] = fixed(
@@ -576,6 +586,13 @@ SQL["union_all"] = fixed(
 SQL["distinct"] = fixed("SELECT DISTINCT vehicle_type FROM t_vehicle_5min")
 SQL["except_"] = fixed("SELECT segment_id FROM v_predictions EXCEPT SELECT segment_id FROM tel_segment")
 
+SQL["rollup_speed_kpi"] = fixed(
+    "SELECT *, current_value - previous_value AS change FROM ("
+    + _kpi("avg_speed_kmh", _whole, _hour, "avg(speed_kmh)", f"avg(speed_kmh) FILTER ({_eprev('s_telemetry', 60, 120)})", "s_telemetry")
+    + ")",
+    "current_value previous_value change",
+)
+
 # --- features ------------------------------------------------------------------------------
 _SEG = "CAST(gps_lat_bucket AS VARCHAR) || '_' || CAST(gps_lon_bucket AS VARCHAR)"
 REL["tr_keyed"] = f"SELECT *, {_SEG} AS segment, {bucket('event_time', 30)} AS timestamp FROM s_traffic"
@@ -804,14 +821,18 @@ def _mart_asserts() -> None:
     SQL["assert_no_negative_fuel"] = fixed(
         pick.format("total_fuel_consumed_l, avg_fuel_rate_l100km", "total_fuel_consumed_l < 0 OR avg_fuel_rate_l100km < 0")
     )
+    REL["unclamped"] = """SELECT vehicle_id, time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start, avg(speed_kmh) AS avg_speed_kmh,
+  max(speed_kmh) AS max_speed_kmh, avg(latitude) AS avg_latitude, avg(longitude) AS avg_longitude FROM v_telemetry GROUP BY 1, 2"""
+    pick = "SELECT vehicle_id, window_start, {} FROM unclamped WHERE {}"
     SQL["assert_speed_within_limits"] = fixed(
-        pick.format("avg_speed_kmh, max_speed_kmh", "avg_speed_kmh < 0 OR avg_speed_kmh > 250 OR max_speed_kmh > 260")
+        pick.format("avg_speed_kmh, max_speed_kmh", "avg_speed_kmh < 0 OR avg_speed_kmh > 250 OR max_speed_kmh > 260"), "avg_speed_kmh max_speed_kmh"
     )
     SQL["assert_valid_gps_bounds"] = fixed(
         pick.format(
             "avg_latitude, avg_longitude",
             "avg_latitude NOT BETWEEN 29.5e0 AND 30.5e0 OR avg_longitude NOT BETWEEN 30.5e0 AND 32e0",
-        )
+        ),
+        "avg_latitude avg_longitude",
     )
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from verification.analytics import SQL as ANALYTICS
-from verification.layers import MART_FUEL, fixed, mart_incidents, mart_route, mart_vehicle
+from verification.layers import MART_FUEL, REL, fixed, mart_incidents, mart_route, mart_vehicle
 
 SQL: dict[str, str] = dict(ANALYTICS)
 
@@ -79,7 +79,7 @@ SQL["mart_fuel_environment"] = fixed(
 SQL["mart_incidents_safety"] = fixed(mart_incidents("t_weather_hourly"), "avg_speed_at_event")
 SQL["mart_incidents_safety_full"] = fixed(mart_incidents("t_weather_hourly", "FULL"), "avg_speed_at_event")
 
-# --- jobs: windows a stream has closed, tables read back -----------------------------------
+# --- jobs: streams worked off to the end, tables read back -----------------------------------
 _DOUBLES = {
     "vehicle_5min": _V5,
     "route_hourly": "avg_speed_kmh max_speed_kmh avg_traffic_density avg_fuel_rate_l100km",
@@ -95,18 +95,8 @@ _DOUBLES = {
     ),
     "incident_summary": "avg_severity_score avg_latitude avg_longitude",
 }
-for _t, (_rows, _delay) in {
-    "vehicle_5min": ("s_telemetry", 10),
-    "route_hourly": ("s_telemetry", 10),
-    "fuel_daily": ("s_telemetry", 10),
-    "road_event_summary": ("(SELECT * FROM s_telemetry WHERE road_event <> 'NONE')", 10),
-    "weather_hourly": ("s_weather", 15),
-    "traffic_30min": ("s_traffic", 15),
-    "incident_summary": ("s_road_events", 30),
-}.items():
-    SQL[f"stream_{_t}"] = fixed(
-        f"SELECT * FROM g_{_t} WHERE window_end <= (SELECT max(event_time) FROM {_rows}) - INTERVAL {_delay} MINUTE", _DOUBLES[_t]
-    )
+for _t, _columns in _DOUBLES.items():
+    SQL[f"stream_{_t}"] = SQL[f"gold_batch_{_t}"] = fixed(f"SELECT * FROM g_{_t}", _columns)
 SQL["stream_alerts"] = fixed(
     "SELECT * EXCLUDE (timestamp), make_timestamp(timestamp_unix * 1000000) AS ts FROM alert_rows"
 )
@@ -129,7 +119,17 @@ SQL["gold_output_check"] = fixed(
     """SELECT 'fuel_daily' AS "table", CAST(count(DISTINCT partition_date) AS BIGINT) AS files FROM g_fuel_daily WHERE partition_date = '2024-01-10'
 UNION ALL SELECT 'route_hourly', CAST(0 AS BIGINT)"""
 )
+REL["file_records"] = """
+SELECT *, n * 1048576 AS bytes FROM (
+  SELECT 'telemetry' AS "table", 'silver' AS layer, partition_date, count(*) AS n FROM s_telemetry GROUP BY partition_date
+  UNION ALL SELECT 'fuel_daily', 'gold', partition_date, count(*) FROM g_fuel_daily GROUP BY partition_date
+  UNION ALL SELECT 'traffic_30min', 'gold', partition_date, count(*) FROM g_traffic_30min GROUP BY partition_date)"""
 SQL["storage_usage"] = fixed(
-    "SELECT unnest(['gold', 'TOTAL']) AS layer, true AS has_files, true AS has_cost"
+    """SELECT coalesce(layer, 'TOTAL') AS layer, count(*) AS files, round(sum(bytes) / 1048576e0, 2) AS mb,
+  round(sum(bytes) / 1073741824e0 * 0.023e0, 4) AS monthly_cost FROM file_records GROUP BY ROLLUP (layer)""",
+    "mb monthly_cost",
+)
+SQL["expired_partitions"] = fixed(
+    """SELECT "table", partition_date, count(*) AS files, CAST(sum(bytes) AS BIGINT) AS bytes FROM file_records
+WHERE CAST(partition_date AS TIMESTAMP) < (SELECT max(ts) FROM events) - INTERVAL 7 DAY GROUP BY 1, 2"""
 )
-SQL["expired_partitions"] = fixed("SELECT DISTINCT 'fuel_daily' AS \"table\", partition_date FROM g_fuel_daily")
