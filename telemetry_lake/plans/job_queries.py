@@ -11,15 +11,16 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetry_lake.operators import lifecycle, model
+from telemetry_lake.operators import lifecycle, model, recommend
 from telemetry_lake.operators.gold import GOLD_TABLES
 from telemetry_lake.plans.lake import Lake
 from telemetry_lake.plans.output import present
 from telemetry_lake.plans.queries import QUERIES, messages
+from telemetry_lake.schemas import silver_schema
 from telemetry_lake.session import configure, scratch_path, settle
 from telemetry_lake.sources import sinks
 from telemetry_lake.sources.event_views import read_events
-from telemetry_lake.sources.readers import file_stream_source, read_partition, with_lineage
+from telemetry_lake.sources.readers import file_stream_source, read_partition, read_recent_files, with_lineage
 from telemetry_lake.streaming import jobs
 
 
@@ -159,6 +160,82 @@ _job(
 )
 
 
+# --- sinks and tables, written and read back -------------------------------------------------
+
+
+def _bronze_messages(spark: SparkSession, sf_dir: str, base: str) -> None:
+    """Telemetry messages through the Bronze sink."""
+    lake = _streamed(spark, sf_dir)
+    arrived = with_lineage(messages(lake.raw("telemetry")))
+    jobs.bronze_sink(arrived, "vehicle-telemetry", f"{base}/bronze", f"{base}/checkpoints", None).awaitTermination()
+
+
+def _per_day(silver: DataFrame) -> DataFrame:
+    return silver.groupBy("partition_date").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("vehicle_id").alias("vehicles"), F.max("speed_kmh").alias("max_speed_kmh")
+    )
+
+
+def _silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "silver-stream")
+    _bronze_messages(spark, sf_dir, base)
+    for _ in range(2):  # the second run finds nothing new
+        jobs.silver_sink_stream(spark, "vehicle-telemetry", f"{base}/bronze", f"{base}/silver", f"{base}/checkpoints", None).awaitTermination()
+    return _per_day(spark.read.schema(silver_schema("telemetry")).parquet(f"{base}/silver/telemetry"))
+
+
+def _silver_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six arrival hours of one day, the first of them twice."""
+    base = scratch_path(spark, "silver-batch")
+    _bronze_messages(spark, sf_dir, base)
+    for hour in (0, *range(6)):
+        jobs.silver_sink_batch(spark, "vehicle-telemetry", f"{base}/bronze", f"{base}/silver", "2024-01-10", hour)
+    return _per_day(spark.read.schema(silver_schema("telemetry")).parquet(f"{base}/silver/telemetry"))
+
+
+def _predictions_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake, path = Lake.from_events(spark, sf_dir), scratch_path(spark, "predictions")
+    sinks.predictions_sink(lake.predictions, path)
+    stored = spark.read.parquet(path)
+    return stored.groupBy(F.date_format("scored_date", "yyyy-MM-dd").alias("scored_date")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("will_alert").cast("bigint").alias("alerts"), F.max("alert_prob").alias("max_prob")
+    )
+
+
+def _history_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake, path = Lake.from_events(spark, sf_dir), scratch_path(spark, "history")
+    sinks.recommendation_history_sink(recommend.recommendations(lake.predictions), path, lake.now)
+    return spark.read.parquet(path).select("priority", "category", "action", "segment_id", "confidence")
+
+
+def _tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sinks.external_tables(spark, _gold_on_disk(spark, sf_dir), ["fuel_daily"])
+    return spark.sql("SELECT date_format(partition_date, 'yyyy-MM-dd') AS partition_date, vehicle_type, total_events, unique_vehicles FROM fuel_daily")
+
+
+def _materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sinks.materialize(Lake.from_events(spark, sf_dir).stg("fuel_daily"), "staged_fuel_daily")
+    return spark.sql("SELECT efficiency_rating, count(*) AS rows FROM staged_fuel_daily GROUP BY efficiency_rating")
+
+
+def _recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All files are younger than the year 2000; none is younger than 2999, which leaves the newest."""
+    base = f"{_gold_on_disk(spark, sf_dir)}/fuel_daily"
+    every, newest = (read_recent_files(spark, base, f"{year}-01-01 00:00:00") for year in (2000, 2999))
+    return every.select(F.count(F.lit(1)).alias("rows"), F.sum("total_events").alias("events")).withColumn(
+        "days_of_newest", newest.select(F.countDistinct("partition_date")).scalar()
+    )
+
+
+_job("silver_sink_stream", _silver_stream)
+_job("silver_sink_batch", _silver_batch)
+_job("predictions_sink", _predictions_stored)
+_job("recommendation_history_sink", _history_stored)
+_job("external_tables", _tables)
+_job("materialize", _materialized)
+_job("read_recent_files", _recent)
+
+
 def _trained(spark: SparkSession, sf_dir: str):
     table = settle(Lake.from_events(spark, sf_dir).features, "training")
     return table, model.train_incident_model(table)

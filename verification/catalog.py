@@ -133,3 +133,22 @@ SQL["expired_partitions"] = fixed(
     """SELECT "table", partition_date, count(*) AS files, CAST(sum(bytes) AS BIGINT) AS bytes FROM file_records
 WHERE CAST(partition_date AS TIMESTAMP) < (SELECT max(ts) FROM events) - INTERVAL 7 DAY GROUP BY 1, 2"""
 )
+_DAYS = "SELECT partition_date, count(*) AS rows, count(DISTINCT vehicle_id) AS vehicles, max(speed_kmh) AS max_speed_kmh FROM s_telemetry WHERE {} GROUP BY 1"
+SQL["silver_sink_stream"] = fixed(_DAYS.format("timestamp_unix % 50 <> 0"), "max_speed_kmh")
+SQL["silver_sink_batch"] = fixed(
+    _DAYS.format("timestamp_unix % 50 <> 0 AND partition_date = '2024-01-10' AND partition_hour < 6"), "max_speed_kmh"
+)
+SQL["predictions_sink"] = fixed(
+    """SELECT strftime(scored_at, '%Y-%m-%d') AS scored_date, count(*) AS rows, CAST(sum(will_alert) AS BIGINT) AS alerts, max(alert_prob) AS max_prob
+FROM v_predictions GROUP BY 1""",
+    "max_prob",
+)
+SQL["recommendation_history_sink"] = fixed(
+    """SELECT priority, category, action, segment_id, confidence FROM rec_latest WHERE NOT (priority = 'LOW' AND category = 'System Status')""",
+    "confidence",
+)
+SQL["external_tables"] = fixed("SELECT partition_date, vehicle_type, total_events, unique_vehicles FROM g_fuel_daily")
+SQL["materialize"] = fixed("SELECT efficiency_rating, count(*) AS rows FROM t_fuel_daily GROUP BY 1")
+SQL["read_recent_files"] = fixed(
+    "SELECT count(*) AS rows, CAST(sum(total_events) AS BIGINT) AS events, CAST(1 AS BIGINT) AS days_of_newest FROM g_fuel_daily"
+)
