@@ -190,9 +190,12 @@ def summary(node: np.ndarray) -> np.ndarray:
 
 
 def chains(texts, known) -> list[np.ndarray]:
-    """The log odds of each text's tokens."""
-    raw = [(t or "").encode("utf-8", "replace").split() for t in texts]
-    return [np.fromiter(map(known.__getitem__, r), np.float64, len(r)) for r in raw]
+    """The log odds of each text's tokens; the tokens of one text at a time are in memory."""
+    out = []
+    for text in texts:
+        tokens = (text or "").encode("utf-8", "replace").split()
+        out.append(np.fromiter(map(known.__getitem__, tokens), np.float64, len(tokens)))
+    return out
 
 
 def summaries(labelled: DataFrame, model: Model) -> DataFrame:
