@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_lake.operators import alerts, cleaning, dims, features, gold, insights, marts, minutes, quality, serving, staging
-from telemetry_lake.session import configure, scratch_path
+from telemetry_lake.session import configure, scratch_path, settle
 from telemetry_lake.sources import sinks
 from telemetry_lake.sources.event_views import event_view, read_events
 
@@ -63,6 +63,16 @@ class Lake:
             self._gold[table] = build(getattr(self, source))
         return self._gold[table]
 
+    def settle_gold(self) -> Lake:
+        """All Gold tables from one pass over each Silver table, written once; what is built on them starts there."""
+        for source in dict.fromkeys(s for s, _ in gold.GOLD_TABLES.values()):
+            tables = [t for t, (s, _) in gold.GOLD_TABLES.items() if s == source]
+            together = gold.Rollups(getattr(self, source), tables)
+            states = settle(together.states, "rollups")
+            self._gold |= {t: together.table(states, t) for t in tables}
+        self._staging.clear()
+        return self
+
     def stg(self, table: str) -> DataFrame:
         if table not in self._staging:
             self._staging[table] = staging.STAGING[table](self.gold(table))
@@ -110,7 +120,7 @@ class Lake:
 
     # quality -----------------------------------------------------------------------------
     def checks(self) -> DataFrame:
-        """Every table's checks, one row per check."""
+        """Every table's checks, one row per check; after ``settle_gold`` the raw streams are not read again for them."""
         tables = {
             **{f"stg_{t}": self.stg(t) for t in staging.STAGING},
             "dim_vehicle": self.dim_vehicle,

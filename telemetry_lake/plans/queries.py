@@ -455,7 +455,7 @@ query(
 )
 
 # --- quality -------------------------------------------------------------------------------
-query(lambda lake: lake.checks(), "run_checks")
+query(lambda lake: lake.settle_gold().checks(), "run_checks")
 query(lambda lake: quality.check_not_null(lake.stg("vehicle_5min"), "avg_fuel_level_pct", "stg_vehicle_5min"), "check_not_null")
 query(lambda lake: quality.check_unique(lake.raw("telemetry"), "vehicle_id", "telemetry"), "check_unique")
 query(
@@ -478,7 +478,7 @@ query(lambda lake: quality.assert_speed_within_limits(_unclamped(lake)), "assert
 query(lambda lake: quality.assert_valid_gps_bounds(_unclamped(lake)), "assert_valid_gps_bounds")
 query(
     lambda lake: quality.quality_score(
-        lake.checks().select(F.when(F.col("failures") == 0, "OK").otherwise("MISSING").alias("status"))
+        lake.settle_gold().checks().select(F.when(F.col("failures") == 0, "OK").otherwise("MISSING").alias("status"))
     ),
     "quality_score",
 )

@@ -83,3 +83,15 @@ def test_panels_read_only_their_dates(spark, tmp_path):
         plan = df._jdf.queryExecution().executedPlan().toString()
         filters = [p.split("]")[0] for p in plan.split("PartitionFilters: [")[1:]]
         assert filters and all("ts_date" in f and ">=" in f for f in filters)
+
+
+def test_checks_read_the_raw_streams_once(spark, sf_dir):
+    """Apart from the calendar, which asks for the first and last moment, no check scans the events again."""
+    from telemetry_lake.plans.lake import Lake
+
+    settled = Lake.from_events(spark, sf_dir).settle_gold().checks()
+    plan = settled._jdf.queryExecution().executedPlan().toString()
+    scans = [p.split("\n")[0] for p in plan.split("FileScan parquet")[1:]]
+    raw = [p for p in scans if "props" in p.split("]")[0]]
+    assert scans and not raw
+    assert rows(settled) == rows(Lake.from_events(spark, sf_dir).checks())
