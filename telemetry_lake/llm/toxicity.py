@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -44,6 +45,7 @@ ROUNDS = 120
 ERRORS = 2.5
 MARKED = 0.5
 KINDS = ("word", "4", "5", "6", "7")
+STRETCH = 4 << 20  # bytes of text whose chains are worked off together
 REMEMBERED = 250_000  # numbers by token; lists of features take a tenth of it
 PARTS = re.compile(r"\w+")
 TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
@@ -198,6 +200,20 @@ def chains(texts, known) -> list[np.ndarray]:
     return out
 
 
+def tagged(texts: pa.Array, known_of, trans: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Place and marginals of each text, longest texts first; ``known_of`` gives the table of log odds for a place.
+
+    About ``STRETCH`` bytes of text are worked off together, so that memory does not follow the batch.
+    """
+    sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    order = np.argsort(-sizes, kind="stable")
+    stretch = np.cumsum(sizes[order]) // STRETCH
+    for some in np.split(order, np.flatnonzero(np.diff(stretch)) + 1):
+        places = some.tolist()
+        odds = [chains([texts[i].as_py()], known_of(i))[0] for i in places]
+        yield from zip(places, marginals(odds, trans), strict=True)
+
+
 def summaries(labelled: DataFrame, model: Model) -> DataFrame:
     """seen, toxic: what ``summary`` says of labelled documents, their own counts taken out."""
 
@@ -205,8 +221,9 @@ def summaries(labelled: DataFrame, model: Model) -> DataFrame:
         own = [Remembered(lambda raw, y=y: model.token_odds(raw.decode("utf-8", "replace"), y)) for y in (0, 1)]
         for batch in batches:
             marks = [int(y > 0) for y in batch.column(1).to_pylist()]
-            odds = [chains([t.as_py()], own[y])[0] for t, y in zip(batch.column(0), marks, strict=True)]
-            seen = [summary(n) for n in marginals(odds, model.switch)]
+            seen: list = [None] * len(marks)
+            for i, node in tagged(batch.column(0), lambda i: own[marks[i]], model.switch):  # noqa: B023
+                seen[i] = summary(node)
             yield pa.record_batch([pa.array(seen, pa.list_(pa.float64())), pa.array(marks, pa.int32())], ["seen", "toxic"])
 
     return labelled.select("text", "toxic").mapInArrow(run, "seen array<double>, toxic int")
@@ -360,10 +377,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         known = Remembered(lambda raw: model.token_odds(raw.decode("utf-8", "replace")))
         for batch in batches:
             texts = batch.column("text")
-            nodes = marginals(chains((v.as_py() for v in texts), known), model.switch)
-            best = [model.score(n) for n in nodes]
-            counts = [int((n >= 0.5).sum()) for n in nodes]
-            spans = [offending(texts[i].as_py(), n) if counts[i] else "" for i, n in enumerate(nodes)]
+            best, counts, spans = [0.0] * len(texts), [0] * len(texts), [""] * len(texts)
+            for i, node in tagged(texts, lambda i: known, model.switch):
+                best[i], counts[i] = model.score(node), int((node >= 0.5).sum())
+                if counts[i]:
+                    spans[i] = offending(texts[i].as_py(), node)
             found = [pa.array(best, pa.float64()), pa.array(counts, pa.int64()), pa.array(spans, pa.string())]
             yield pa.record_batch([*batch.columns, *found], names=[*batch.schema.names, *added])
 

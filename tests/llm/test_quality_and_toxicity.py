@@ -3,9 +3,11 @@
 import itertools
 import math
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from telemetry_lake.llm import kn_quality, quality_rules, toxicity
@@ -174,3 +176,18 @@ def test_language_model_of_odd_rows(spark, odd, empty):
     assert {r.doc_id for r in got if r.perplexity is None} == {1, 2} and not any(r.kept for r in got if r.perplexity is None)
     assert kn_quality.quality(empty, ids).collect() == []
     assert all(r.kept == (r.perplexity is not None) for r in kn_quality.quality(odd, ids.limit(0)).collect())
+
+
+def test_chains_of_a_batch_take_bounded_memory():
+    """As all chains at once, with a fraction of their memory."""
+    rng = np.random.default_rng(5)
+    texts = pa.array([None, "", *[" ".join(f"w{w}" for w in rng.integers(0, 900, n)) for n in rng.integers(1, 9000, 700)]], pa.string())
+    known = {f"w{i}".encode(): float(x) for i, x in enumerate(rng.normal(-2, 2, 900))}
+    trans = np.asarray([[0.3, -0.2], [0.1, 0.6]])
+    want = toxicity.marginals(toxicity.chains((t.as_py() for t in texts), known), trans)
+    tracemalloc.start()
+    sums = {i: float(node.sum()) for i, node in toxicity.tagged(texts, lambda i: known, trans)}
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [sums[i] for i in range(len(texts))] == [float(node.sum()) for node in want]
+    assert peak < 3 * 8 * sum(map(len, want))  # all at once: seven numbers a token
