@@ -17,6 +17,11 @@ Rows of a table that share a key are candidates.  They are never all paired off
 
 So every two classes that share a bucket are compared, or already known to be connected.
 
+Most classes that meet do so by chance, and their number grows with the square of the classes.  Before
+full sets are fetched, a class leaves a centre's group if its sketch shows that it is linked with nothing
+there.  A sketch is the parity of the number of shingles in each of about as many cells as shingles: where
+two sketches differ in d cells, the sets differ in d shingles at least.  No link is lost by that.
+
 Buckets are cut by ranges of (key, class), so that one huge bucket is spread over many tasks.
 Components come from alternating large-star and small-star rounds over written edge tables.
 """
@@ -43,6 +48,7 @@ BLOCK = 512
 FILTER_BITS = 26
 SEGMENT_BITS = 7
 SEED = 20240229
+SKETCH_BITS = (64, 8192)
 
 
 class ShingleHasher:
@@ -88,29 +94,66 @@ def band_keys(shingles: np.ndarray, factors: np.ndarray, rows: int) -> np.ndarra
     return out
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """One bit for each cell: whether an odd number of shingles lies in it.  The cells are a power of two near the set's size."""
+    cells = min(max(1 << int(len(shingles) - 1).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
+    odd = np.bincount((shingles & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def folded(words: np.ndarray, n: int) -> np.ndarray:
+    """A sketch with fewer cells."""
+    while len(words) > n:
+        words = words[: len(words) // 2] ^ words[len(words) // 2:]
+    return words
+
+
+def linkable(sizes: np.ndarray, sketches: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of some sets may be linked with another one of them, by sizes and sketches (as 64-bit words)."""
+    order = np.argsort(sizes, kind="stable")
+    sizes, kept = sizes[order], np.zeros(len(order), bool)
+    # Of the larger sets those up to ``stop`` are small enough; their sketches have as many cells or more.
+    stop = np.searchsorted(percent * sizes, 100 * sizes, "right")
+    cells, first, held = 0, 0, np.empty((0, 0), np.uint64)
+    for i in range(len(order)):
+        if stop[i] < i + 2:
+            continue
+        if len(sketches[order[i]]) != cells:
+            cells, first = len(sketches[order[i]]), i
+            held = np.stack([folded(sketches[k], cells) for k in order[i:]])
+        apart = np.bitwise_count(held[i + 1 - first:stop[i] - first] ^ held[i - first]).sum(axis=1, dtype=np.int64)
+        near = (100 + percent) * apart <= (100 - percent) * (sizes[i] + sizes[i + 1:stop[i]])
+        kept[i] |= near.any()
+        kept[i + 1:stop[i]] |= near
+    out = np.empty(len(order), bool)
+    out[order] = kept
+    return out
+
+
 def signatures(docs: DataFrame, width: int, bands_a: int = BANDS_A, bands_b: int = BANDS_B, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, print_hi, print_lo, bands (a + b longs; empty for an empty set)."""
+    """doc_id, n_shingles, print_hi, print_lo, bands (a + b ints; empty for an empty set), sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, rng = ShingleHasher(width), np.random.default_rng(SEED)
         factors = rng.integers(0, 2**64, (rows * (bands_a + bands_b), 2), np.uint64)
         factors[:, 0] |= np.uint64(1)
         for batch in batches:
-            sizes, high, low, bands = [], [], [], []
+            sizes, high, low, bands, sketches = [], [], [], [], []
             for value in batch.column(1):
                 found = hasher.shingles(value.as_py())
                 mark = xxhash.xxh3_128_intdigest(found.tobytes())
                 sizes.append(len(found))
                 high.append((mark >> 64) - 2**63)
                 low.append((mark & (2**64 - 1)) - 2**63)
-                bands.append(band_keys(found, factors, rows).view(np.int64) if len(found) else np.empty(0, np.int64))
+                bands.append((band_keys(found, factors, rows) >> np.uint64(32)).astype(np.uint32).view(np.int32) if len(found) else np.empty(0, np.int32))
+                sketches.append(sketch(found) if len(found) else b"")
             yield pa.record_batch(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "print_hi", "print_lo", "bands"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(bands, pa.list_(pa.int32())), pa.array(sketches, pa.binary())],
+                ["doc_id", "n_shingles", "print_hi", "print_lo", "bands", "sketch"],
             )
 
     slim = own_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
-    return slim.mapInArrow(run, "doc_id long, n_shingles long, print_hi long, print_lo long, bands array<long>")
+    return slim.mapInArrow(run, "doc_id long, n_shingles long, print_hi long, print_lo long, bands array<int>, sketch binary")
 
 
 def table_keys(classes: DataFrame, bands_a: int, bands_b: int) -> DataFrame:
@@ -120,7 +163,7 @@ def table_keys(classes: DataFrame, bands_a: int, bands_b: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            bands = batch.column("bands").flatten().to_numpy().view(np.uint64).reshape(batch.num_rows, bands_a + bands_b)
+            bands = batch.column("bands").flatten().to_numpy().view(np.uint32).astype(np.uint64).reshape(batch.num_rows, bands_a + bands_b)
             left, right = bands[:, :bands_a, None], bands[:, None, bands_a:]
             keys = (left * np.uint64(0x9E3779B97F4A7C15)) ^ (right + (left >> np.uint64(7)))
             keys = (keys * np.uint64(0xBF58476D1CE4E5B9)).reshape(-1)
@@ -268,6 +311,33 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component").unionByName(roots)
 
 
+def promising(met: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """The rows (x, y) of ``met`` but those whose sketch rules out that ``y`` is linked with ``x`` or another class that ``x`` met."""
+    members = met.select("x", "y").unionByName(met.select("x", F.col("x").alias("y")).distinct())
+    dealt = members.join(signed.select(F.col("doc_id").alias("y"), "n_shingles", "sketch"), "y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def kept(x: int, names: list[int], sizes: list[int], sketches: list[bytes]) -> list[tuple[int, int]]:
+            may = linkable(np.asarray(sizes), [np.frombuffer(s, np.uint64) for s in sketches], percent)
+            return [(x, y) for y in sorted({y for y, m in zip(names, may.tolist(), strict=True) if m}) if y != x]
+
+        centre, names, sizes, sketches, out = None, [], [], [], []
+        for batch in batches:
+            for x, y, n, raw in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
+                if x != centre:
+                    out += kept(centre, names, sizes, sketches) if names else []
+                    centre, names, sizes, sketches = x, [], [], []
+                names.append(y)
+                sizes.append(n)
+                sketches.append(raw)
+            yield pa.record_batch([pa.array([e[k] for e in out], pa.int64()) for k in (0, 1)], ["x", "y"])
+            out = []
+        out += kept(centre, names, sizes, sketches) if names else []
+        yield pa.record_batch([pa.array([e[k] for e in out], pa.int64()) for k in (0, 1)], ["x", "y"])
+
+    return dealt.select("x", "y", "n_shingles", "sketch").repartition("x").sortWithinPartitions("x").mapInArrow(run, "x long, y long")
+
+
 def group_links(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (x, y) among each centre ``x`` and the classes ``y`` it met, at most ``BLOCK`` of them."""
     members = met.select("x", "y").unionByName(met.select("x", F.col("x").alias("y")).distinct())
@@ -404,7 +474,7 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = PERCENT, bands_a
     # Bands are equal inside a class; a null id is never its representative while the class has another.
     classes = full.groupBy(*same_set).agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"))
     classes = settle(classes, "classes")
-    links = linked(docs, classes, width, percent, bands_a, bands_b)
+    links = linked(docs, full, classes, width, percent, bands_a, bands_b)
     named = classes.select(*same_set, "rep").join(links.select(F.col("node").alias("rep"), "component"), "rep", "left")
     named = named.select(*same_set, F.coalesce("component", "rep").alias("component"))
     out = signed.select("doc_id", *same_set).join(named, same_set, "left")
@@ -412,16 +482,18 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = PERCENT, bands_a
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def linked(docs: DataFrame, classes: DataFrame, width: int, percent: int, bands_a: int, bands_b: int) -> DataFrame:
-    """node, component over the classes with a confirmed link."""
+def linked(docs: DataFrame, full: DataFrame, classes: DataFrame, width: int, percent: int, bands_a: int, bands_b: int) -> DataFrame:
+    """node, component over the classes with a confirmed link.  ``full``: the signatures of the texts that have shingles."""
     usable = classes.filter("rep IS NOT NULL")
     rows = spanning(settle(buckets(table_keys(usable, bands_a, bands_b)), "buckets"))
     met = settle(rows.filter("rep <> centre").select(F.col("centre").alias("x"), F.col("rep").alias("y")).distinct(), "met")
-    ids = met.select(F.col("x").alias("rep")).unionByName(met.select(F.col("y").alias("rep"))).distinct()
-    sets = settle(shingle_sets(docs, ids, width), "sets")
     met = met.join(met.groupBy("x").agg(F.count(F.lit(1)).alias("n")), "x")
-    edges = settle(group_links(met.filter(f"n <= {BLOCK}"), sets, percent), "links")
+    small = settle(promising(met.filter(f"n <= {BLOCK}"), full, percent), "promising")
     large = settle(met.filter(f"n > {BLOCK}").select("x", "y"), "large")
+    wanted = small.unionByName(large)
+    ids = wanted.select(F.col("x").alias("rep")).unionByName(wanted.select(F.col("y").alias("rep"))).distinct()
+    sets = settle(shingle_sets(docs, ids, width), "sets")
+    edges = settle(group_links(small, sets, percent), "links")
     if large.isEmpty():
         return settle(components(edges), "components")
     edges = settle(edges.unionByName(confirmed(large, sets, percent)), "links")

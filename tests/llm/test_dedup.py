@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
@@ -162,3 +163,41 @@ def test_pipeline_drops_a_copy_without_an_id(spark, sf_dir):
     rows = [(None, text), (7, text), (9, text), (None, "nobody has this text but this row alone")]
     got = corpus_pipeline.near_dedup_stage(spark, documents(spark, rows), sf_dir).collect()
     assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, rows[3][1]), (7, text)]
+
+
+def test_sketches_rule_out_no_link():
+    """Whatever sizes, numbers of cells and similarities: a set with a link stays, most sets without one go."""
+    rng = np.random.default_rng(11)
+    sets = []
+    for n in (1, 3, 40, 63, 64, 65, 120, 130, 500, 1100, 9000):
+        base = rng.integers(0, 2**64, n, np.uint64)
+        for lost in (0, n // 20, n // 10, n // 9, n // 8, n // 5, n // 2):
+            sets.append(np.unique(np.r_[base[lost:], rng.integers(0, 2**64, lost, np.uint64)]))
+        sets += [np.unique(rng.integers(0, 2**64, n, np.uint64)) for _ in range(5)]
+    sizes = np.asarray([len(s) for s in sets])
+
+    def linked(a, b):
+        common = minhash.overlap(a, b)
+        return 100 * common >= 80 * (len(a) + len(b) - common)
+
+    want = np.asarray([any(linked(a, b) for j, b in enumerate(sets) if j != i) for i, a in enumerate(sets)])
+    got = minhash.linkable(sizes, [np.frombuffer(minhash.sketch(s), np.uint64) for s in sets], 80)
+    assert got[want].all() and want.any()
+    assert got[~want].sum() < 0.2 * (~want).sum()
+
+
+def test_chance_meetings_fetch_no_sets(spark, monkeypatch):
+    """Full sets are fetched for classes that may be linked, not for all that share a bucket."""
+    fetched = []
+    whole = minhash.shingle_sets
+
+    def watched(docs, ids, width):
+        fetched.extend(r.rep for r in ids.collect())
+        return whole(docs, ids, width)
+
+    monkeypatch.setattr(minhash, "shingle_sets", watched)
+    shared = " ".join(f"s{i}" for i in range(60))
+    rows = [(i, f"{shared} {' '.join(f'o{i}y{k}' for k in range(60))}") for i in range(40)]
+    rows += [(100, " ".join(f"w{i}" for i in range(120))), (101, " ".join(f"w{i}" for i in range(118)))]
+    assert near(documents(spark, rows), 2) == brute_components(rows, 2)
+    assert set(fetched) == {100, 101}
