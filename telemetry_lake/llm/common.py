@@ -19,6 +19,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Ids are counted in blocks of 2^8, blocks of blocks of 2^20, and so on: no counting task holds more
 # than 2^16 rows of one group, however large the group is.
 SHIFTS = (8, 20, 36)
+BATCH_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +31,15 @@ def own_columns(docs: DataFrame, *names: str) -> DataFrame:
     return docs.select(*[F.col(f"`{n}`") for n in names])
 
 
+def in_small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, whose rows go to Python workers about ``BATCH_BYTES`` at a time from now on in its session.
+
+    Spark hands over 10,000 rows or 64 MB at once, which executor and worker hold in several copies.
+    """
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return docs
+
+
 def same(left: str, right: str, names: Sequence[str]) -> Column:
     """Equality of the named columns under two aliases, null equal to null."""
     out = F.lit(True)

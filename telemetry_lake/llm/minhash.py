@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telemetry_lake.llm.common import own_columns
+from telemetry_lake.llm.common import in_small_batches, own_columns
 from telemetry_lake.session import settle
 
 BANDS_A = 8
@@ -153,7 +153,7 @@ def signatures(docs: DataFrame, width: int, bands_a: int = BANDS_A, bands_b: int
             )
 
     slim = own_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
-    return slim.mapInArrow(run, "doc_id long, n_shingles long, print_hi long, print_lo long, bands array<int>, sketch binary")
+    return in_small_batches(slim).mapInArrow(run, "doc_id long, n_shingles long, print_hi long, print_lo long, bands array<int>, sketch binary")
 
 
 def table_keys(classes: DataFrame, bands_a: int, bands_b: int) -> DataFrame:

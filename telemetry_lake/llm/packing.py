@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telemetry_lake.llm.bpe_count import byte_symbols
-from telemetry_lake.llm.common import Remembered, own_columns, per_worker, ranked
+from telemetry_lake.llm.common import Remembered, in_small_batches, own_columns, per_worker, ranked
 from telemetry_lake.session import settle
 
 LENGTH = 2048
@@ -101,7 +101,8 @@ def cut_pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH, end_id: i
                         column.append(x)
             yield pa.record_batch([pa.array(c, pa.int64()) for c in rows], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return own_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
+    slim = own_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
+    return in_small_batches(slim).mapInArrow(run, PIECES)
 
 
 def pack_histogram(histogram: dict[int, int], length: int = LENGTH) -> list[tuple[int, list[int]]]:

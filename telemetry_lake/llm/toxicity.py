@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from telemetry_lake.llm.common import own_columns
+from telemetry_lake.llm.common import in_small_batches, own_columns
 from telemetry_lake.session import settle
 
 BUCKETS = 1 << 22
@@ -343,7 +343,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     labelled documents, or with those of one class alone, every score is low.
     """
     chosen, share = chosen_labels(labels)
-    texts = own_columns(docs, "doc_id", "text")
+    texts = in_small_batches(own_columns(docs, "doc_id", "text"))
     labelled = texts.join(F.broadcast(chosen), "doc_id")  # at most 2 * LABELLED_DOCS ids
     # At most BUCKETS rows; a feature of fewer toxic documents has no evidence.
     found = feature_counts(labelled).filter("toxic >= 2 OR bucket = -1").toPandas().astype(np.int64)
@@ -385,7 +385,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             found = [pa.array(best, pa.float64()), pa.array(counts, pa.int64()), pa.array(spans, pa.string())]
             yield pa.record_batch([*batch.columns, *found], names=[*batch.schema.names, *added])
 
-    return docs.mapInArrow(run, schema)
+    return in_small_batches(docs).mapInArrow(run, schema)
 
 
 def offending(text: str, node: np.ndarray) -> str:

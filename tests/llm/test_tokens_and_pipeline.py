@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from telemetry_lake.llm import bpe_count, packing
+from telemetry_lake.llm import bpe_count, common, minhash, packing, toxicity
 from telemetry_lake.llm.queries import QUERIES, vocabulary
 from telemetry_lake.llm.sql import SQL
 from verification.compare import connect, difference
@@ -164,6 +165,25 @@ def test_stages_on_odd_rows_and_none(spark, odd, empty, sf_dir):
             assert out.count() >= 0
 
 
+@pytest.mark.parametrize("stage", ["toxicity", "near_dedup", "packing"])
+def test_texts_reach_workers_a_few_mb_at_a_time(spark, stage):
+    """Not 10,000 rows or 64 MB at once, which executor and worker hold several times over."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 1000).alias("text"))
+    evidence = toxicity.Evidence(*[np.zeros(0, np.int64)] * 3, 0, 0)
+    model = toxicity.Model(evidence, np.zeros(len(toxicity.KINDS)), -6.0, np.zeros((2, 2)))
+    use = {"toxicity": lambda: toxicity.score(docs, model), "near_dedup": lambda: minhash.signatures(docs, 5), "packing": lambda: packing.cut_pieces(docs, BYTES)}
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["rows", "bytes"])
+
+    spark.conf.unset(limit)
+    use[stage]()
+    got = docs.mapInArrow(sizes, "rows long, bytes long").collect()
+    assert sum(r.rows for r in got) == 3000 and max(r.bytes for r in got) < 2 * common.BATCH_BYTES
+
+
 def test_copies_reach_near_dedup_whole(spark, sf_dir):
     """One host: a line on most pages, and a text with more copies than the ratio allows."""
     body = lambda i: "\n".join(f"line {k} of page {i} says something of its own" for k in range(6))
