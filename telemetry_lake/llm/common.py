@@ -123,3 +123,11 @@ def per_worker(key: Hashable, make: Callable[[], Any]) -> Any:
     if getattr(home, "key", None) != key:
         home.key, home.value = key, make()
     return home.value
+
+
+def forget() -> None:
+    """Drop what ``per_worker`` keeps in this process.
+
+    Workers go from step to step: one with tables of its own calls this first, so that none holds both.
+    """
+    per_worker(("nothing",), lambda: None)

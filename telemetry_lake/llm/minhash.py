@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telemetry_lake.llm.common import in_small_batches, own_columns
+from telemetry_lake.llm.common import forget, in_small_batches, own_columns
 from telemetry_lake.session import settle
 
 BANDS_A = 8
@@ -134,6 +134,7 @@ def signatures(docs: DataFrame, width: int, bands_a: int = BANDS_A, bands_b: int
     """doc_id, n_shingles, print_hi, print_lo, bands (a + b ints; empty for an empty set), sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         hasher, rng = ShingleHasher(width), np.random.default_rng(SEED)
         factors = rng.integers(0, 2**64, (rows * (bands_a + bands_b), 2), np.uint64)
         factors[:, 0] |= np.uint64(1)
@@ -252,6 +253,7 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(id_bits(ids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         hasher = ShingleHasher(width)
         for batch in batches:
             bit = batch.column("bit").to_numpy()

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from telemetry_lake.llm.common import in_small_batches, own_columns
+from telemetry_lake.llm.common import forget, in_small_batches, own_columns
 from telemetry_lake.session import settle
 
 BUCKETS = 1 << 22
@@ -87,6 +87,7 @@ def feature_counts(labelled: DataFrame) -> DataFrame:
     """bucket, toxic, clean: in how many documents of (text, toxic) a feature occurs; all documents at bucket -1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         counts = np.zeros((2, BUCKETS + 1), np.int32)
         known = Remembered(lambda raw: [b for w in parts_of(raw.decode("utf-8", "replace")) for b in features(w) if b >= 0], REMEMBERED // 10)
         for batch in batches:
@@ -140,6 +141,7 @@ def windows(labelled: DataFrame, evidence: Evidence) -> DataFrame:
     """seen (evidence by token and kind), labels: training windows of labelled documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         own = [Remembered(lambda w, y=y: evidence.of(w, y), REMEMBERED // 10) for y in (0, 1)]
         for batch in batches:
             seen, labels = [], []
@@ -218,6 +220,7 @@ def summaries(labelled: DataFrame, model: Model) -> DataFrame:
     """seen, toxic: what ``summary`` says of labelled documents, their own counts taken out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         own = [Remembered(lambda raw, y=y: model.token_odds(raw.decode("utf-8", "replace"), y)) for y in (0, 1)]
         for batch in batches:
             marks = [int(y > 0) for y in batch.column(1).to_pylist()]
@@ -374,6 +377,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     schema = StructType([*docs.schema.fields, StructField(added[0], DoubleType()), StructField(added[1], LongType()), StructField(added[2], StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         known = Remembered(lambda raw: model.token_odds(raw.decode("utf-8", "replace")))
         for batch in batches:
             texts = batch.column("text")

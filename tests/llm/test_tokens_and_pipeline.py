@@ -1,6 +1,7 @@
 """Token counts, packing and the pipeline."""
 
 import random
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -184,6 +185,18 @@ def test_texts_reach_workers_a_few_mb_at_a_time(spark, stage):
     assert sum(r.rows for r in got) == 3000 and max(r.bytes for r in got) < 2 * common.BATCH_BYTES
 
 
+def test_other_steps_drop_the_word_table_of_packing(spark, monkeypatch):
+    """Workers are reused: the table of an earlier packing would lie beside the tables of the next step."""
+    docs = spark.range(1).select(F.col("id").alias("doc_id"), F.lit("a text").alias("text"))
+    batch = pa.record_batch([pa.array([0]), pa.array(["a text"])], ["doc_id", "text"])
+    model = toxicity.Model(toxicity.Evidence(*[np.zeros(0, np.int64)] * 3, 0, 0), np.zeros(len(toxicity.KINDS)), -6.0, np.zeros((2, 2)))
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: run)
+    for run in (toxicity.score(docs, model), minhash.signatures(docs, 5)):
+        common.per_worker(("packing", BYTES), object)
+        assert [b.num_rows for b in run(iter([batch]))] == [1]
+        assert sys.modules["_telemetry_lake_kept"].key != ("packing", BYTES)
+
+
 def test_copies_reach_near_dedup_whole(spark, sf_dir):
     """One host: a line on most pages, and a text with more copies than the ratio allows."""
     body = lambda i: "\n".join(f"line {k} of page {i} says something of its own" for k in range(6))
