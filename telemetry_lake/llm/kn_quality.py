@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from telemetry_lake.llm import kn_words
 from telemetry_lake.llm.common import own_columns, same
+from telemetry_lake.llm.decisions import decided
 from telemetry_lake.llm.kn_words import discounts
 from telemetry_lake.session import settle
 
@@ -127,11 +128,20 @@ def log_table(tables: list[tuple[DataFrame, DataFrame]]) -> np.ndarray:
     return np.log(p).astype(np.float32)
 
 
+def trusted_texts(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
+    """text of each row of ``docs`` with a trusted id; few texts are moved for it (``decisions``)."""
+    ids = own_columns(docs, "doc_id").filter("doc_id IS NOT NULL").distinct()
+    ids = ids.join(trusted_ids.withColumn("trusted", F.lit(1)), "doc_id", "left")
+    found = settle(ids.select("doc_id", F.coalesce("trusted", F.lit(0)).alias("class")), "trusted-ids")
+    placed, known = decided(own_columns(docs, "doc_id", "text"), ["doc_id"], found, ["doc_id"], 2)
+    open_ = placed.filter(F.col(known).isNull()).select("doc_id", "text").join(found.filter("class = 1"), "doc_id", "left_semi")
+    return placed.filter(F.col(known) == 1).select("text").unionByName(open_.select("text"))
+
+
 def perplexities(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
     """doc_id, lang, n_chars, trusted, perplexity (null for empty texts)."""
-    trusted = own_columns(docs, "doc_id", "text").join(trusted_ids, "doc_id", "left_semi")
-    values, unknown = kn_words.model(trusted)
-    scored = settle(kn_words.log_likelihoods(docs, values, unknown), "likelihoods")
+    values, unknown = kn_words.model(trusted_texts(docs, trusted_ids))
+    scored = kn_words.log_likelihoods(docs, values, unknown)
     scored = scored.join(trusted_ids.withColumn("trusted", F.lit(True)), "doc_id", "left").withColumn("trusted", F.col("trusted").isNotNull())
     score = F.when(F.col("trusted"), F.col("outside")).otherwise(F.col("full"))
     return scored.select("doc_id", "lang", "n_chars", "trusted", F.when(F.col("n_chars") > 0, F.exp(-score / F.col("n"))).alias("perplexity"))

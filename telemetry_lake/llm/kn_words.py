@@ -1,19 +1,25 @@
 """Interpolated modified Kneser-Ney over words (order 2), with every table sharded by hash.
 
-Nothing is collected or broadcast but the counts of counts and three totals: vocabulary and bigrams
-grow with the trusted text, and lie in tables keyed by 64-bit hashes.
+Nothing is collected or broadcast but the counts of counts and two totals: vocabulary and bigrams
+grow with the trusted text, and lie in tables of 64-bit hashes (keys) with counts, cut into buckets by
+ranges of the key.
 
-The log probability of a text is taken apart so that one join serves all orders.  With START before
-and END after the words, every word is predicted once and is a context once:
+With START before and END after the words, every word is predicted once and is a context once.  The
+log probability of a text is taken apart by what the model knows:
 
     sum of log p(v | u) = n * log p(unknown)
                         + sum over words   of  log p1(w) - log p(unknown) + log g(w)
                         + sum over bigrams of  log p(v | u) - log g(u) - log p1(v)
 
 where p1 is the continuation probability and g the back-off weight (1 for words that are no context).
-A key that the model lacks adds nothing.  Texts become postings, a row for each block of texts and
-distinct key; they are joined to the values by key and summed up by text.  A key has one row per block,
-or a few where its postings are long, so a very common word or word pair is no hot key.
+A key that the model lacks adds nothing.  Texts become blocks of about ``BLOCK_WORDS`` numbered words.
+A block asks each bucket for its distinct keys there, in order; the answer is their counts in that
+order, so that neither keys nor places in texts travel back, and the block computes its texts' scores.
+A key has one place per block, so a very common word or word pair is no hot key.
+
+Disk: keys are sent as packed differences, about 6 bytes for a block's distinct key.  The texts are
+scored in ``SLICES`` equal parts, one after another, and the blocks, questions and answers of a part
+are gone before the next: only the model lies there throughout.
 
 A trusted text would find its own words in the model.  For it a key that occurs nowhere else in the
 trusted texts counts as missing, so that it is scored like a text from outside.
@@ -23,269 +29,396 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, replace
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telemetry_lake.llm.common import own_columns
-from telemetry_lake.session import settle
+from telemetry_lake.llm.common import in_small_batches, own_columns
+from telemetry_lake.session import discard, settle, without_old_shuffles
 
 START, END = 1, 2
 REMEMBERED = 500_000
 BLOCK_WORDS = 1_000_000
 BLOCK_TEXTS = 60_000
-LONGEST_POSTING = 50_000
-OPEN_TEXTS = 2_000_000
+LONGEST_POSTING = 50_000  # keys of a block and bucket in one row
+SLICES = 4
 # Scripts without spaces between words: each character is a word.
 ALONE = re.compile("([฀-໿က-႟ក-៿⺀-꓏豈-﫿\U00020000-\U0003ffff])")
 
 
-class WordHasher:
-    """Lower-cased words as 64-bit hashes, between START and END."""
+class WordNumbers(dict):
+    """Words as numbers in order of appearance, 0 and 1 for START and END; ``hashes`` has their 64-bit hashes."""
 
     def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
+        super().__init__()
+        self.hashes = array("Q", [START, END])
 
-    def word(self, word: bytes) -> int:
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        value = self.known[word] = xxhash.xxh3_64_intdigest(word) or 3
-        return value
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self.hashes)
+        self.hashes.append(xxhash.xxh3_64_intdigest(word) or 3)
+        return number
 
     def words(self, lowered: str) -> np.ndarray:
         if not lowered.isascii():
             lowered = ALONE.sub(r" \1 ", lowered)
         found = lowered.encode("utf-8", "replace").split()
-        known, new = self.known.get, self.word
-        out = np.empty(len(found) + 2, np.uint64)
-        out[0], out[-1] = START, END
-        out[1:-1] = np.fromiter((known(w) or new(w) for w in found), np.uint64, len(found))
+        out = np.empty(len(found) + 2, np.int32)
+        out[0], out[-1] = 0, 1
+        out[1:-1] = np.fromiter(map(self.__getitem__, found), np.int32, len(found))
         return out
 
 
-def pair_keys(words: np.ndarray) -> np.ndarray:
-    """A key for each two neighbours."""
-    out = (words[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (words[1:] + (words[:-1] >> np.uint64(7)))
+def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A key for each two neighbours, from their hashes."""
+    out = (left * np.uint64(0x9E3779B97F4A7C15)) ^ (right + (left >> np.uint64(7)))
     out *= np.uint64(0xBF58476D1CE4E5B9)
     out ^= out >> np.uint64(32)
     return out
 
 
-def pair_counts(trusted: DataFrame) -> DataFrame:
-    """gram, u, v, c: how often the word v follows u in the trusted texts."""
-
-    def counted(texts: list[np.ndarray]) -> pa.RecordBatch:
-        grams = np.concatenate([pair_keys(t) for t in texts])
-        left, right = np.concatenate([t[:-1] for t in texts]), np.concatenate([t[1:] for t in texts])
-        grams, first, n = np.unique(grams, return_index=True, return_counts=True)
-        columns = [grams.view(np.int64), left[first].view(np.int64), right[first].view(np.int64), n.astype(np.int64)]
-        return pa.record_batch([pa.array(x) for x in columns], ["gram", "u", "v", "c"])
+def packed(numbers: np.ndarray) -> bytes:
+    """Byte by byte, all lowest bytes first: the upper ones of small numbers take next to nothing."""
+    planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(numbers.size, numbers.itemsize).T.tobytes()
+    return numbers.size.to_bytes(8, "little") + (pa.compress(planes, codec="zstd", asbytes=True) if planes else b"")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, held, n = WordHasher(), [], 0
-        for batch in batches:
-            for value in batch.column(0):
-                held.append(hasher.words((value.as_py() or "").lower()))
-                n += len(held[-1])
-                if n > BLOCK_WORDS:
-                    yield counted(held)
-                    held, n = [], 0
-        if held:
-            yield counted(held)
 
-    counts = trusted.select("text").mapInArrow(run, "gram long, u long, v long, c long")
-    return counts.groupBy("gram", "u", "v").agg(F.sum("c").alias("c"))
+def unpacked(raw: bytes, kind: type) -> np.ndarray:
+    n, width = int.from_bytes(raw[:8], "little"), np.dtype(kind).itemsize
+    if not n:
+        return np.empty(0, kind)
+    planes = np.frombuffer(pa.decompress(raw[8:], decompressed_size=n * width, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, n).T).view(kind).ravel()
 
 
-def discounts(counts: DataFrame) -> list[float]:
-    """Modified Kneser-Ney discounts for counts of one, two, three and more."""
-    n = {r["k"]: r["n"] for r in counts.filter("c <= 4").groupBy(F.col("c").alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    n1, n2, n3, n4 = (n.get(k, 0) for k in (1, 2, 3, 4))
-    if not n1 or not n2 or not n3:
-        return [0.5, 0.75, 0.9]  # too few n-grams to estimate from
-    y = n1 / (n1 + 2 * n2)
-    found = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
-    return [min(max(d, 0.05), k - 0.05) for k, d in enumerate(found, 1)]
+def packed_keys(keys: np.ndarray) -> bytes:
+    return packed(np.diff(keys, prepend=np.uint64(0)))
 
 
-def cut(d: list[float]) -> Column:
-    return F.expr(f"CASE c WHEN 1 THEN {d[0]}D WHEN 2 THEN {d[1]}D ELSE {d[2]}D END")
-
-
-def model(trusted: DataFrame) -> tuple[DataFrame, float]:
-    """key, value, c of each word and bigram of the trusted texts; and the log probability of an unknown word."""
-    pairs = settle(pair_counts(trusted), "pairs")
-    pairs = pairs.withColumn("cut", cut(discounts(pairs)))
-    words = settle(pairs.groupBy(F.col("v").alias("w")).agg(F.count(F.lit(1)).alias("c"), F.sum("c").alias("times")), "words")
-    words = words.withColumn("cut", cut(discounts(words)))
-    kinds, types, cuts = words.agg(F.count(F.lit(1)), F.sum("c"), F.sum("cut")).first()
-    if not kinds:
-        unknown = 1.0
-    else:
-        unknown = cuts / types / (kinds + 1)
-    p1 = words.select("w", "times", ((F.col("c") - F.col("cut")) / F.lit(types or 1) + F.lit(unknown)).alias("p1"))
-    contexts = pairs.groupBy(F.col("u").alias("w")).agg(F.sum("c").alias("total"), (F.sum("cut") / F.sum("c")).alias("g"))
-    both = settle(p1.join(contexts, "w", "full"), "vocabulary")
-    value = F.coalesce(F.log("p1") - F.lit(math.log(unknown)), F.lit(0.0)) + F.coalesce(F.log("g"), F.lit(0.0))
-    singles = both.select(F.col("w").alias("key"), value.alias("value"), F.coalesce("times", "total").alias("c"))
-    joined = pairs.join(both.select(F.col("w").alias("u"), "total", "g"), "u").join(both.select(F.col("w").alias("v"), "p1"), "v")
-    seen = F.log((F.col("c") - F.col("cut")) / F.col("total") + F.col("g") * F.col("p1"))
-    doubles = joined.select(F.col("gram").alias("key"), (seen - F.log("g") - F.log("p1")).alias("value"), "c")
-    return settle(singles.unionByName(doubles), "values"), math.log(unknown)
+def unpacked_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(raw, np.uint64), dtype=np.uint64)
 
 
+# One row form for all that is exchanged.  A block: block, keys (hashes of its words), counts (its texts as
+# places in ``keys``), head.  A question: bucket, block, part, keys, counts if it brings any.  Its answer: the
+# same without keys.  A bucket of the model: bucket, keys, counts, seen (counts of counts).
+ROW = pa.schema([
+    ("bucket", pa.int32()), ("block", pa.int64()), ("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()),
+    ("head", pa.binary()), ("seen", pa.list_(pa.int64())),
+])
+ROW_TYPE = "bucket int, block long, part int, keys binary, counts binary, head binary, seen array<long>"
 HEAD = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_chars", pa.int64()), ("n", pa.int64())])
+WORD_COUNTS = 5  # of a word: occurrences, distinct words before it, distinct words after it once, twice, more often
+SEEN = 6  # how many keys were counted 1, 2, 3, 4 times, how many at all, and the sum of the counts
+
+
+def row_batches(rows: Iterable[dict]) -> Iterator[pa.RecordBatch]:
+    """Rows of ROW in batches of about 1 MB."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += 100 + sum(len(row.get(c) or b"") for c in ("keys", "counts", "head"))
+        if size > 1 << 20:
+            yield pa.RecordBatch.from_pylist(held, schema=ROW)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema=ROW)
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        yield from batch.to_pylist()
+
+
+def together(rows: DataFrame, *by: str) -> DataFrame:
+    """Rows of equal ``by[0]`` next to one another, in the order of ``by``, nulls first."""
+    return rows.repartition(by[0]).sortWithinPartitions(*by)
+
+
+def blocks(docs: DataFrame) -> DataFrame:
+    """A row for about ``BLOCK_WORDS`` words of whole texts of ``docs`` (doc_id, lang, text)."""
+
+    def block_row(block: int, numbers: WordNumbers, texts: list[np.ndarray], head: list[tuple]) -> dict:
+        found = np.concatenate(texts)
+        times = np.bincount(found)
+        used = np.flatnonzero(times)
+        hashes = np.frombuffer(numbers.hashes, np.uint64)[used]
+        # Frequent words get small places; those of one frequency stand in the order of their hashes.
+        order = np.lexsort((hashes, -times[used]))
+        place = np.empty(len(times), np.int32)
+        place[used[order]] = np.arange(len(used), dtype=np.int32)
+        table = pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*head, strict=True), HEAD, strict=True)], schema=HEAD)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, HEAD) as writer:
+            writer.write_table(table)
+        return {"block": block, "keys": packed_keys(hashes[order]), "counts": packed(place[found]), "head": sink.getvalue().to_pybytes()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[dict]:
+            numbers, block = WordNumbers(), TaskContext.get().partitionId() << 32
+            texts, head, n = [], [], 0
+            for batch in batches:
+                for doc_id, lang, value in zip(*[batch.column(i) for i in range(3)], strict=True):
+                    lowered = (value.as_py() or "").lower()
+                    texts.append(numbers.words(lowered))
+                    head.append((doc_id.as_py(), lang.as_py(), len(lowered), len(texts[-1]) - 1))
+                    n += len(texts[-1])
+                    if n > BLOCK_WORDS or len(texts) >= BLOCK_TEXTS:
+                        yield block_row(block, numbers, texts, head)
+                        texts, head, n, block = [], [], 0, block + 1
+                        if len(numbers) > REMEMBERED:
+                            numbers = WordNumbers()
+            if texts:
+                yield block_row(block, numbers, texts, head)
+
+        yield from row_batches(found())
+
+    return in_small_batches(docs).mapInArrow(run, ROW_TYPE)
+
+
+class Block:
+    """Words and word pairs of a block's texts."""
+
+    def __init__(self, row: dict):
+        self.block = row["block"]
+        self.words, self.found = unpacked_keys(row["keys"]), unpacked(row["counts"], np.int32).astype(np.int64)
+        self.head = pa.ipc.open_stream(row["head"]).read_all().combine_chunks()
+        self.n = self.head["n"].to_numpy()  # predicted words
+        self.word_order = np.argsort(self.words, kind="stable")
+        inside = np.ones(len(self.found) - 1, bool)
+        inside[np.cumsum(self.n + 1)[:-1] - 1] = False
+        # A pair as one number.
+        self.pairs = (self.found[:-1] * len(self.words) + self.found[1:])[inside]
+        self.kinds, self.times = np.unique(self.pairs, return_counts=True)
+        self.left, self.right = np.divmod(self.kinds, len(self.words))
+        keys = pair_keys(self.words[self.left], self.words[self.right])
+        self.pair_order = np.argsort(keys, kind="stable")
+        self.pair_keys = keys[self.pair_order]
+
+    def word_rows(self, buckets: int, counts: np.ndarray | None = None) -> Iterator[dict]:
+        return self._rows(self.words[self.word_order], buckets, 0, None if counts is None else counts[:, self.word_order])
+
+    def pair_rows(self, buckets: int, counts: np.ndarray | None = None) -> Iterator[dict]:
+        return self._rows(self.pair_keys, buckets, buckets, None if counts is None else counts[:, self.pair_order])
+
+    def _rows(self, keys: np.ndarray, buckets: int, first: int, counts: np.ndarray | None) -> Iterator[dict]:
+        """Sorted keys by range of the key, numbered from ``first``."""
+        bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64)).tolist()
+        for b, (low, high) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+            for part, at in enumerate(range(low, high, LONGEST_POSTING)):
+                stop = min(at + LONGEST_POSTING, high)
+                own = None if counts is None else packed(counts[:, at:stop])
+                yield {"bucket": first + b, "block": self.block, "part": part, "keys": packed_keys(keys[at:stop]), "counts": own}
+
+    def sums(self, items: np.ndarray, length: np.ndarray, values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """By text of ``length`` items: the values of the items, and those of items that the trusted texts have elsewhere, too.
+
+        ``values`` and ``counts`` are those of the distinct items in order.
+        """
+        texts = len(length)
+        place = np.repeat(np.arange(texts), length)
+        if len(self.words) ** 2 * texts < 1 << 62:
+            items, place = np.divmod(np.sort(items * texts + place), texts)
+        else:
+            order = np.lexsort((place, items))
+            items, place = items[order], place[order]
+        other = np.r_[True, items[1:] != items[:-1]]
+        start = np.flatnonzero(other | np.r_[True, place[1:] != place[:-1]])
+        times = np.diff(np.r_[start, len(items)])
+        items, place = np.cumsum(other)[start] - 1, place[start]
+        gain = times * values[items]
+        outside = np.where(times == counts[items], 0.0, gain)
+        return np.stack([np.bincount(place, gain, texts), np.bincount(place, outside, texts)])
+
+
+def answers_of(rows: Iterable[dict], order: np.ndarray, width: int) -> np.ndarray:
+    """``width`` counts for each key of a block, in its own order."""
+    found = [unpacked(r["counts"], np.int64).reshape(width, -1) for r in rows]
+    out = np.empty((width, len(order)), np.int64)
+    out[:, order] = np.concatenate(found, axis=1) if found else 0
+    return out
+
+
+def counts_of_counts(counts: np.ndarray) -> list[int]:
+    return [*np.bincount(np.minimum(counts, 5), minlength=6)[1:5].tolist(), int((counts > 0).sum()), int(counts.sum())]
 
 
-def postings(docs: DataFrame) -> DataFrame:
-    """key, block, texts (places in the block as two bytes each, repeated as often as the key occurs), head.
+def merged(rows: DataFrame, width: int, counted: int, answer: bool) -> DataFrame:
+    """Buckets of the model from the blocks' ``width`` counts by key; ``seen`` is taken of count number ``counted``.
 
-    A row with ``head`` has no texts but doc_id, lang, n_chars and n (predicted words) of the block's.
+    With ``answer`` also a row per question: the totals, and whether this block is to report the key.
     """
 
-    def block_rows(block: int, texts: list[np.ndarray], ids: list, langs: list, sizes: list[int]) -> Iterator[pa.RecordBatch]:
-        keys = np.concatenate([np.r_[t, pair_keys(t)] for t in texts])
-        place = np.repeat(np.arange(len(texts), dtype=np.uint16), [2 * len(t) - 1 for t in texts])
-        order = np.argsort(keys, kind="stable")
-        keys, place = keys[order], place[order]
-        new = np.r_[True, keys[1:] != keys[:-1]]
-        first = np.flatnonzero(new)
-        size = np.diff(np.r_[first, len(keys)])
-        # Long postings are cut, but only between texts: a text's count of a key stays in one row.
-        cuts = [first]
-        for at, n in zip(first[size > LONGEST_POSTING].tolist(), size[size > LONGEST_POSTING].tolist(), strict=True):
-            span = place[at:at + n]
-            edges = np.flatnonzero(span[1:] != span[:-1]) + 1
-            picked = np.searchsorted(edges, np.arange(LONGEST_POSTING, n, LONGEST_POSTING))
-            cuts.append(at + edges[np.unique(picked[picked < len(edges)])])
-        first = np.unique(np.concatenate(cuts))
-        ends = np.r_[first, len(keys)]
-        head = pa.record_batch([pa.array(x, f.type) for x, f in zip((ids, langs, sizes, [len(t) - 1 for t in texts]), HEAD, strict=True)], schema=HEAD)
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, HEAD) as writer:
-            writer.write_batch(head)
-        spread = int.from_bytes(xxhash.xxh3_64_digest(f"block {block}".encode()), "big", signed=True)
-        yield pa.record_batch([pa.array([spread]), pa.array([block]), pa.array([b""]), pa.array([sink.getvalue().to_pybytes()])], ["key", "block", "texts", "head"])
-        for at in range(0, len(first), 100_000):
-            stop = min(at + 100_000, len(first))
-            low, high = ends[at], ends[stop]
-            offsets = ((ends[at:stop + 1] - low) * 2).astype(np.int32)
-            packed = pa.Array.from_buffers(pa.binary(), stop - at, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(place[low:high].tobytes())])
-            columns = [pa.array(keys[first[at:stop]].view(np.int64)), pa.array(np.full(stop - at, block)), packed, pa.nulls(stop - at, pa.binary())]
-            yield pa.record_batch(columns, ["key", "block", "texts", "head"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[dict]:
+            for bucket, group in groupby(rows_of(batches), lambda r: r["bucket"]):
+                asked, keys, counts = [], [], []
+                for r in group:
+                    asked.append((r["block"], r["part"]))
+                    keys.append(unpacked_keys(r["keys"]))
+                    counts.append(unpacked(r["counts"], np.int64).reshape(width, -1))
+                sizes = [len(k) for k in keys]
+                keys, first, where = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+                totals = np.zeros((width, len(keys)), np.int64)
+                for total, part in zip(totals, np.concatenate(counts, axis=1), strict=True):
+                    np.add.at(total, where, part)
+                yield {"bucket": bucket, "keys": packed_keys(keys), "counts": packed(totals), "seen": counts_of_counts(totals[counted])}
+                if answer:
+                    own = np.zeros(len(where), np.int64)
+                    own[first] = 1
+                    edges = np.cumsum([0, *sizes]).tolist()
+                    for (block, part), low, high in zip(asked, edges[:-1], edges[1:], strict=True):
+                        yield {"bucket": bucket, "block": block, "part": part, "counts": packed(np.stack([totals[counted][where[low:high]], own[low:high]]))}
+
+        yield from row_batches(found())
+
+    return together(rows, "bucket", "block", "part").mapInArrow(run, ROW_TYPE)
+
+
+def answered(rows: DataFrame, questions: DataFrame, buckets: int) -> DataFrame:
+    """To each question the counts of its keys in the model's ``rows``, 0 for those it lacks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, block = WordHasher(), TaskContext.get().partitionId() << 32
-        texts, ids, langs, sizes, n = [], [], [], [], 0
-        for batch in batches:
-            for doc_id, lang, value in zip(*[batch.column(i) for i in range(3)], strict=True):
-                lowered = (value.as_py() or "").lower()
-                texts.append(hasher.words(lowered))
-                ids.append(doc_id.as_py())
-                langs.append(lang.as_py())
-                sizes.append(len(lowered))
-                n += len(texts[-1])
-                if n > BLOCK_WORDS or len(texts) >= BLOCK_TEXTS:
-                    yield from block_rows(block, texts, ids, langs, sizes)
-                    texts, ids, langs, sizes, n, block = [], [], [], [], 0, block + 1
-        if texts:
-            yield from block_rows(block, texts, ids, langs, sizes)
+        def found() -> Iterator[dict]:
+            bucket, keys, counts = None, None, None
+            for r in rows_of(batches):
+                if r["block"] is None:
+                    bucket, keys, counts = r["bucket"], unpacked_keys(r["keys"]), unpacked(r["counts"], np.int64)
+                    counts = counts.reshape(-1, len(keys))
+                    continue
+                asked = unpacked_keys(r["keys"])
+                got = np.zeros((WORD_COUNTS if r["bucket"] < buckets else 1, len(asked)), np.int64)
+                if bucket == r["bucket"]:
+                    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+                    known = keys[at] == asked
+                    got[:, known] = counts[:, at[known]]
+                yield {"bucket": r["bucket"], "block": r["block"], "part": r["part"], "counts": packed(got)}
+
+        yield from row_batches(found())
+
+    return together(rows.unionByName(questions), "bucket", "block", "part").mapInArrow(run, ROW_TYPE)
 
-    slim = own_columns(docs, "doc_id", "lang", "text").select(F.col("doc_id").cast("long"), "lang", "text")
-    return slim.mapInArrow(run, "key long, block long, texts binary, head binary")
 
+def discounts(counts: DataFrame) -> list[float]:
+    """Modified Kneser-Ney discounts for counts of one, two, three and more."""
+    n = {r["k"]: r["n"] for r in counts.filter("c <= 4").groupBy(F.col("c").alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    return discounts_of([n.get(k, 0) for k in (1, 2, 3, 4)])
 
-def partial_sums(joined: DataFrame) -> DataFrame:
-    """block, head, sums: per block of a task, two float arrays: the values of its texts, and those not of their own making."""
 
-    def flushed(held: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        for block, sums in held.items():
-            yield pa.record_batch([pa.array([block]), pa.nulls(1, pa.binary()), pa.array([packed(sums)])], ["block", "head", "sums"])
+def discounts_of(n: list[int]) -> list[float]:
+    n1, n2, n3, n4 = n
+    if not n1 or not n2 or not n3:
+        return [0.5, 0.75, 0.9]  # too few n-grams to estimate from
+    y = n1 / (n1 + 2 * n2)
+    found = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
+    return [min(max(d, 0.05), k - 0.05) for k, d in enumerate(found, 1)]
 
-    def packed(sums: np.ndarray) -> bytes:
-        """Places that have a value, and the values."""
-        some = np.flatnonzero(sums.any(axis=0)).astype(np.uint16)
-        return some.tobytes() + sums[:, some].tobytes()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            blocks = batch.column(0).to_numpy()
-            values, counts = batch.column(3).to_numpy(zero_copy_only=False), batch.column(4).to_numpy(zero_copy_only=False)
-            heads = batch.column(2)
-            with_head = np.flatnonzero(~np.asarray(heads.is_null()))
-            for i in with_head.tolist():
-                yield pa.record_batch([pa.array([int(blocks[i])]), pa.array([heads[i].as_py()]), pa.nulls(1, pa.binary())], ["block", "head", "sums"])
-            texts = batch.column(1)
-            sizes = np.asarray(pa.compute.binary_length(texts)) // 2
-            places = np.frombuffer(b"".join(texts.to_pylist()), np.uint16)
-            row = np.repeat(np.arange(batch.num_rows), sizes)
-            if not len(row):
-                continue
-            # One run for each (row, text), with how often the row's key occurs in the text.
-            start = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (places[1:] != places[:-1])])
-            times = np.diff(np.r_[start, len(row)])
-            row, places = row[start], places[start]
-            gain = times * values[row]
-            outside = np.where(times == counts[row], 0.0, gain)
-            here = blocks[row]
-            order = np.argsort(here, kind="stable")
-            edges = np.flatnonzero(np.r_[True, here[order][1:] != here[order][:-1], True])
-            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                at = order[a:b]
-                block, spots = int(here[at[0]]), places[at]
-                width = int(spots.max()) + 1
-                sums = held.get(block)
-                if sums is None or sums.shape[1] < width:
-                    larger = np.zeros((2, width))
-                    if sums is not None:
-                        larger[:, : sums.shape[1]] = sums
-                    sums = held[block] = larger
-                sums[0] += np.bincount(spots, gain[at], sums.shape[1])
-                sums[1] += np.bincount(spots, outside[at], sums.shape[1])
-            if sum(s.shape[1] for s in held.values()) > OPEN_TEXTS:
-                yield from flushed(held)
-                held = {}
-        yield from flushed(held)
-
-    return joined.select("block", "texts", "head", "value", "c").mapInArrow(run, "block long, head binary, sums binary")
-
-
-def log_likelihoods(docs: DataFrame, values: DataFrame, unknown: float) -> DataFrame:
+def seen(rows: DataFrame) -> list[int]:
+    row = rows.agg(*[F.sum(F.col("seen")[i]) for i in range(SEEN)]).first()
+    return [x or 0 for x in row]
+
+
+@dataclass
+class Model:
+    rows: DataFrame | None  # the model's buckets; tasks do without
+    buckets: int  # as many of words, and after them as many of pairs
+    pair_cuts: list[float]
+    word_cuts: list[float]
+    types: int  # distinct pairs
+    free: float  # probability of an unknown word
+
+    def values(self, block: Block, rows: Iterable[dict]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """The value and the count of each word of ``block``, and of each pair, from the answers ``rows``."""
+        rows = list(rows)
+        times, kinds, *after = answers_of([r for r in rows if r["bucket"] < self.buckets], block.word_order, WORD_COUNTS)
+        (count,) = answers_of([r for r in rows if r["bucket"] >= self.buckets], block.pair_order, 1)
+        ahead = np.array([0.0, *self.word_cuts])[np.minimum(kinds, 3)]
+        p1 = np.where(kinds > 0, (kinds - ahead) / self.types + self.free, 1.0)
+        context = np.sum(after, axis=0) > 0
+        g = np.where(context, sum(d * n for d, n in zip(self.pair_cuts, after, strict=True)) / np.maximum(times, 1), 1.0)
+        single = np.where(kinds > 0, np.log(p1) - math.log(self.free), 0.0) + np.log(g)
+        known = count > 0
+        left, right, c = block.left[known], block.right[known], count[known]
+        pair = np.zeros(len(count))
+        p = (c - np.array([0.0, *self.pair_cuts])[np.minimum(c, 3)]) / times[left] + g[left] * p1[right]
+        pair[known] = np.log(p) - np.log(g[left]) - np.log(p1[right])
+        return (single, times), (pair, count)
+
+
+def by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Block, Iterator[dict]]]:
+    for _, group in groupby(rows_of(batches), lambda r: r["block"]):
+        yield Block(next(group)), group
+
+
+def model(trusted: DataFrame) -> tuple[Model, float]:
+    """The counts of all words and word pairs of the trusted texts; and the log probability of an unknown word."""
+    spark = trusted.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = (Block(r) for r in rows_of(batches))
+        yield from row_batches(row for b in made for row in b.pair_rows(buckets, b.times[None]))
+
+    def word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[dict]:
+            for b, answers in by_block(batches):
+                # Each pair is reported by one block, so that sums over blocks count distinct pairs.
+                count, own = answers_of(answers, b.pair_order, 2)
+                left, n, words = b.left[own > 0], np.minimum(count[own > 0], 3), len(b.words)
+                after = [np.bincount(left[n == k], minlength=words) for k in (1, 2, 3)]
+                yield from b.word_rows(buckets, np.stack([np.bincount(b.found), np.bincount(b.right[own > 0], minlength=words), *after]))
+
+        yield from row_batches(found())
+
+    with without_old_shuffles(spark):
+        texts = trusted.select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("lang"), "text")
+        own = settle(blocks(texts), "trusted-blocks")
+        pairs = settle(merged(own.mapInArrow(pair_rows, ROW_TYPE), 1, 0, answer=True), "pairs")
+        answers = pairs.filter("block IS NOT NULL")
+        words = together(own.unionByName(answers), "block", "bucket", "part").mapInArrow(word_rows, ROW_TYPE)
+        words = settle(merged(words, WORD_COUNTS, 1, answer=False), "vocabulary")
+        discard(own)
+    pairs = pairs.filter("block IS NULL")
+    cuts = discounts_of(seen(pairs)[:4])
+    n1, n2, n3, n4, kinds, types = seen(words)
+    word_cuts = discounts_of([n1, n2, n3, n4])
+    free = (word_cuts[0] * n1 + word_cuts[1] * n2 + word_cuts[2] * (kinds - n1 - n2)) / types / (kinds + 1) if kinds else 1.0
+    return Model(words.unionByName(pairs), buckets, cuts, word_cuts, types or 1, free), math.log(free)
+
+
+def log_likelihoods(docs: DataFrame, known: Model, unknown: float) -> DataFrame:
     """doc_id, lang, n_chars, n, full, outside: a row per row of ``docs``, with its log probability in the model, and without its own text."""
-    joined = postings(docs).join(values, "key", "left").filter("value IS NOT NULL OR head IS NOT NULL")
-    parts = partial_sums(joined).repartition("block").sortWithinPartitions("block")
-
-    def rows_of(head: bytes, parts: list[bytes]) -> pa.RecordBatch:
-        found = pa.ipc.open_stream(head).read_all().combine_chunks()
-        n = found["n"].to_numpy()
-        sums = np.zeros((2, len(n)))
-        for raw in parts:
-            k = len(raw) // 18
-            sums[:, np.frombuffer(raw, np.uint16, k)] += np.frombuffer(raw, np.float64, 2 * k, offset=2 * k).reshape(2, k)
-        sums += n * unknown
-        columns = [found[c].combine_chunks() for c in ("doc_id", "lang", "n_chars", "n")] + [pa.array(sums[0]), pa.array(sums[1])]
-        return pa.record_batch(columns, ["doc_id", "lang", "n_chars", "n", "full", "outside"])
+    spark, buckets = docs.sparkSession, known.buckets
+    rows, weights = known.rows, replace(known, rows=None)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, head, held = None, None, []
-        for batch in batches:
-            for b, h, s in zip(*[batch.column(i) for i in range(3)], strict=True):
-                if b.as_py() != block:
-                    if block is not None:
-                        yield rows_of(head, held)
-                    block, head, held = b.as_py(), None, []
-                if h.is_valid:
-                    head = h.as_py()
-                else:
-                    held.append(s.as_py())
-        if block is not None:
-            yield rows_of(head, held)
-
-    return parts.mapInArrow(run, "doc_id long, lang string, n_chars long, n long, full double, outside double")
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = (Block(r) for r in rows_of(batches))
+        yield from row_batches(row for b in made for some in (b.word_rows(buckets), b.pair_rows(buckets)) for row in some)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, answers in by_block(batches):
+            words, pairs = weights.values(b, answers)
+            sums = b.n * unknown + b.sums(b.found, b.n + 1, *words) + b.sums(b.pairs, b.n, *pairs)
+            columns = [b.head[c].combine_chunks() for c in HEAD.names] + [pa.array(sums[0]), pa.array(sums[1])]
+            yield pa.record_batch(columns, [*HEAD.names, "full", "outside"])
+
+    slim = own_columns(docs, "doc_id", "lang", "text").select(F.col("doc_id").cast("long"), "lang", "text")
+    scores = None
+    with without_old_shuffles(spark):
+        for i in range(SLICES):
+            own = settle(blocks(slim.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(SLICES)) == i)), "blocks")
+            answers = settle(answered(rows, own.mapInArrow(ask, ROW_TYPE), buckets), "answers")
+            both = together(own.unionByName(answers), "block", "bucket", "part")
+            part = settle(both.mapInArrow(score, "doc_id long, lang string, n_chars long, n long, full double, outside double"), "scores")
+            discard(own, answers)
+            scores = part if scores is None else scores.unionByName(part)
+    return scores
